@@ -17,9 +17,8 @@ def strip_scheme(path: str) -> str:
 
 
 def relative_key(path: Column, root: str) -> Column:
-    """The part of ``path`` below ``root``; NULL if it is not below it."""
-    marker = strip_scheme(root) + "/"
-    return F.get(F.split(path, re.escape(marker), 2), F.lit(1))
+    """The part of ``path`` below ``root``; ``''`` if it is not below it."""
+    return F.regexp_extract(path, f"(?s)^.*?{re.escape(strip_scheme(root))}/(.*)$", 1)
 
 
 def key_part(key: Column, index: int, separator: str = "/") -> Column:

@@ -24,11 +24,11 @@ def manifest(objects: DataFrame, root: str, date_index: int = 0) -> DataFrame:
     Keys below ``root`` are ``<...>/<date>/<time>-<country>-<x>-<test type>-...`` with the date as part
     ``date_index``. Directory markers and names with too few parts are left out.
     """
-    named = objects.where(~F.col("path").endswith("/")).select(
-        "path", relative_key(F.col("path"), root).alias("key"), "length"
+    keyed = objects.where(~F.col("path").endswith("/")).select(
+        "path", "length", relative_key(F.col("path"), root).alias("key")
     )
     name = key_part(F.col("key"), date_index + 1)
-    return named.select(
+    return keyed.select(
         "path",
         "key",
         key_part(F.col("key"), date_index).alias("source_date"),

@@ -10,7 +10,7 @@ from probelake.functions.nested import drop_nulls, field_of_each, first_body
 from probelake.functions.text import meta_title, network_location, page_title
 from probelake.operators.columns import derive, drop_columns
 from probelake.plans.config import GEN_2, Generation, LakeConfig
-from probelake.sources.readers import read
+from probelake.sources.readers import table_or_none
 from probelake.sources.sinks import write_partitioned
 
 
@@ -18,14 +18,16 @@ def enrich(trusted: DataFrame, generation: Generation = GEN_2) -> DataFrame:
     """Add resolved addresses, page titles and the domain; row by row, without a shuffle."""
     body = first_body(F.col("requests"))
     answers = F.col("queries")["answers"]
-    resolved = field_of_each(answers, "ipv4")
+    if generation.first_query_only:
+        resolved = answers["ipv4"]  # a plain field access, which the scan can narrow itself to
+    else:
+        resolved = field_of_each(answers, "ipv4")
     columns = {} if generation.drop_wide else {"answers": answers}
+    rows = derive(trusted, {**columns, "dns_resolved_ips_full": resolved})
     rows = derive(
-        trusted,
+        rows,
         {
-            **columns,
-            "dns_resolved_ips_full": resolved,
-            "dns_resolved_ips": drop_nulls(resolved),
+            "dns_resolved_ips": drop_nulls(F.col("dns_resolved_ips_full")),
             "http_title": page_title(body),
             "http_meta_title": meta_title(body),
             "domain": network_location(F.col("input")),
@@ -34,10 +36,14 @@ def enrich(trusted: DataFrame, generation: Generation = GEN_2) -> DataFrame:
     return drop_columns(rows, fixed.WIDE_COLUMNS) if generation.drop_wide else rows
 
 
-def build_delivery(spark: SparkSession, cfg: LakeConfig) -> None:
-    """Rebuild the delivery table.
+def build_delivery(spark: SparkSession, cfg: LakeConfig) -> bool:
+    """Rebuild the delivery table; False, and nothing done, if there is no trusted table yet.
 
     The trusted table is stored by date, so scan tasks hold few dates each and write without a shuffle.
     """
-    rows = enrich(read(spark, cfg.trusted, "parquet"), cfg.generation)
+    trusted = table_or_none(spark, cfg.trusted)
+    if trusted is None:
+        return False
+    rows = enrich(trusted, cfg.generation)
     write_partitioned(rows, cfg.delivery, ["bucket_date"], overwrite="static", rebalance=False)
+    return True

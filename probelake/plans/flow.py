@@ -29,7 +29,6 @@ def run(spark: SparkSession, cfg: LakeConfig, run_id: str | None = None) -> RunR
     if cfg.schema:
         create_schema(spark, cfg.schema, cfg.schema_location)
         quality_log_table(spark, f"{cfg.schema}.quality_log", cfg.logs)
-    build_delivery(spark, cfg)
-    if cfg.schema:
+    if build_delivery(spark, cfg) and cfg.schema:
         delivery_table(spark, f"{cfg.schema}.delivery", cfg.delivery)
     return RunResult(landed, checked)

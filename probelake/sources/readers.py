@@ -68,12 +68,23 @@ def read_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
+def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if nothing has been written there."""
+    try:
+        return read_table(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def list_objects(
     spark: SparkSession, root: str, prefixes: Sequence[str] = ("",), glob: str | None = None
 ) -> DataFrame:
     """Path and length of every object below ``root`` whose key starts with one of ``prefixes``.
 
-    All prefixes are one listing; nothing but the file status is read. No match gives no rows. For
+    All prefixes are one listing; nothing but the file status is read. Empty objects are not listed,
+    and no match gives no rows. For
     a store too large to list, pass its inventory table with the same columns to the manifest
     functions instead.
     """

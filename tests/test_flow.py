@@ -1,0 +1,246 @@
+"""The whole chain on hand-written measurements, in both generations."""
+
+import datetime as dt
+import json
+import uuid
+from dataclasses import replace
+from pathlib import Path
+
+import pytest
+
+from probelake.plans.config import FOLDER_DATE, GEN_1, GEN_2, LakeConfig, months
+from probelake.plans.delivery import enrich
+from probelake.plans.flow import run
+from probelake.plans.ingest import ingest
+from probelake.plans.trusted import build_trusted, log_quality, read_raw, shape, transform
+from probelake.session import stage
+from probelake.sources.readers import table_or_none
+
+DELIVERY_COLUMNS = (
+    "id input measurement_start_time test_start_time probe_asn probe_cc probe_ip report_id software_name"
+    " software_version test_name test_runtime test_version control_failure blocking http_experiment_failure"
+    " tcp_connect dns_experiment_failure platform row_id bucket_date dns_resolved_ips_full dns_resolved_ips"
+    " http_title http_meta_title domain"
+).split()
+
+
+def measurement(i, day="2020-01-01", **changes):
+    document = {
+        "id": f"m{i}",
+        "input": f"https://site{i}.org/a",
+        "measurement_start_time": f"{day} 00:00:0{i}",
+        "test_start_time": f"{day} 00:00:00",
+        "probe_asn": "AS1",
+        "probe_cc": "BR",
+        "probe_ip": "1.2.3.4",
+        "test_name": "web_connectivity",
+        "bucket_date": day,
+        "test_keys": {
+            "blocking": False,
+            "queries": [{"answers": [{"answer_type": "A", "ipv4": "9.9.9.9"}, {"answer_type": "CNAME"}]}],
+            "requests": [{"response": {"body": f"<title>T{i}</title>"}}],
+        },
+        "annotations": {"platform": "linux"},
+    }
+    return {**document, **changes}
+
+
+@pytest.fixture
+def lake(tmp_path):
+    class Lake:
+        cfg = LakeConfig(
+            source=str(tmp_path / "source"),
+            raw=str(tmp_path / "raw"),
+            trusted=str(tmp_path / "trusted"),
+            delivery=str(tmp_path / "delivery"),
+            logs=str(tmp_path / "logs"),
+            schema=f"lake_{uuid.uuid4().hex}",
+            schema_location=str(tmp_path / "schema"),
+            min_mib=1e-6,
+        )
+
+        @staticmethod
+        def put(day, documents, name="a", country="BR"):
+            folder = tmp_path / "source" / day
+            folder.mkdir(parents=True, exist_ok=True)
+            text = "\n".join(map(json.dumps, documents))
+            (folder / f"20200101T0-{country}-AS1-web_connectivity-{name}.json").write_text(text)
+
+    return Lake
+
+
+def delivered(spark, cfg):
+    return {r.id: r for r in spark.read.parquet(cfg.delivery).collect()}
+
+
+def test_delivery_table(spark, lake):
+    lake.put("2020-01-01", [measurement(1), measurement(1), measurement(2)])
+    result = run(spark, lake.cfg, "r1")
+    assert result.landed.count() == 1
+    rows = delivered(spark, lake.cfg)
+    assert rows.keys() == {"m1", "m2"}
+    row = rows["m1"]
+    assert list(row.asDict()) == [c for c in DELIVERY_COLUMNS if c != "bucket_date"] + ["bucket_date"]
+    assert (row.http_title, row.http_meta_title, row.domain) == ("T1", "", "site1.org")
+    assert (row.dns_resolved_ips_full, row.dns_resolved_ips) == (["9.9.9.9", None], ["9.9.9.9"])
+    assert (row.blocking, row.platform, row.bucket_date) == ("false", "linux", dt.date(2020, 1, 1))
+    served = spark.table(f"{lake.cfg.schema}.delivery")
+    assert len(served.columns) == 17 and served.count() == 2
+    log = spark.table(f"{lake.cfg.schema}.quality_log")
+    assert log.count() == 11 and {r.bucket_date for r in log.collect()} == {"2020-01-01"}
+
+
+def test_column_order_after_enrichment(spark, lake):
+    lake.put("2020-01-01", [measurement(1)])
+    ingest(spark, lake.cfg).collect()
+    build_trusted(spark, lake.cfg)
+    assert enrich(spark.read.parquet(lake.cfg.trusted)).columns == DELIVERY_COLUMNS
+
+
+def test_checks_and_repair_are_per_folder(spark, lake):
+    lake.put("2020-01-01", [measurement(1), measurement(2, probe_cc="FR"), measurement(3, probe_cc=None)])
+    bad_but_under_threshold = [measurement(i, "2020-01-02") for i in range(9)] + [
+        measurement(9, "2020-01-02", probe_asn=None)
+    ]
+    lake.put("2020-01-02", bad_but_under_threshold)
+    checked = run(spark, lake.cfg, "r1").quality
+    failed = {(r.bucket_date, r.constraint) for r in checked.where("constraint_status = 'Failure'").collect()}
+    assert failed == {
+        ("2020-01-01", "Completeness(probe_cc)"),
+        ("2020-01-01", "Containment(probe_cc in [BR,RU,US,DE])"),
+    }
+    per_day = spark.read.parquet(lake.cfg.delivery).groupBy("bucket_date").count().collect()
+    assert {str(r.bucket_date): r["count"] for r in per_day} == {"2020-01-01": 1, "2020-01-02": 10}
+
+
+def test_keys_are_unique_per_folder_in_one_generation_and_overall_in_the_other(spark, lake):
+    lake.put("2020-01-01", [measurement(1)])
+    lake.put("2020-01-02", [measurement(1)])
+    ingest(spark, lake.cfg).collect()
+    build_trusted(spark, lake.cfg)
+    assert spark.read.parquet(lake.cfg.trusted).count() == 2
+    build_trusted(spark, replace(lake.cfg, generation=GEN_1))
+    assert spark.read.parquet(lake.cfg.trusted).count() == 1
+
+
+def test_a_row_of_another_date_does_not_replace_that_partition(spark, lake):
+    lake.put("2020-01-01", [measurement(1)])
+    lake.put("2020-01-02", [measurement(2, "2020-01-02"), measurement(3, bucket_date="2020-01-01")])
+    run(spark, lake.cfg)
+    assert delivered(spark, lake.cfg).keys() == {"m1", "m2", "m3"}
+
+
+def test_second_run_lands_only_what_is_new(spark, lake):
+    lake.put("2020-01-01", [measurement(1)])
+    run(spark, lake.cfg, "r1")
+    lake.put("2020-01-01", [measurement(2)], name="b")
+    result = run(spark, lake.cfg, "r2")
+    assert [r.dest_key.endswith("-b.json") for r in result.landed.collect()] == [True]
+    assert delivered(spark, lake.cfg).keys() == {"m1", "m2"}
+    runs = spark.read.parquet(lake.cfg.logs).groupBy("run_id").count().collect()
+    assert {r.run_id: r["count"] for r in runs} == {"r1": 11, "r2": 11}
+
+
+def test_landed_files_use_no_budget(spark, lake):
+    lake.put("2020-01-01", [measurement(1)], name="a")
+    lake.put("2020-01-01", [measurement(2)], name="b")
+    tight = replace(lake.cfg, limit_mib=0.0006)
+    assert ingest(spark, tight).count() == 1
+    assert ingest(spark, tight).count() == 1
+    assert ingest(spark, tight).count() == 0
+
+
+def test_other_countries_and_prefixes_stay(spark, lake):
+    lake.put("2020-01-01", [measurement(1)], country="FR")
+    lake.put("2020-11-01", [measurement(2)])
+    lake.put("2020-10-01", [measurement(3)])
+    landed = ingest(spark, replace(lake.cfg, prefixes=months(2020))).collect()
+    assert [r.dest_key.split("/")[0] for r in landed] == ["2020-10-01"]
+
+
+def test_nothing_to_do(spark, lake):
+    result = run(spark, lake.cfg)
+    assert result.landed.isEmpty() and result.quality is None
+
+
+def test_all_rows_removed(spark, lake):
+    lake.put("2020-01-01", [measurement(1, probe_cc="XX")])
+    checked = run(spark, replace(lake.cfg, schema=None)).quality
+    assert checked.where("constraint_status = 'Failure'").count() == 1
+    assert table_or_none(spark, lake.cfg.delivery) is None
+
+
+def test_first_generation(spark, lake):
+    lake.put(
+        "2020-01-01",
+        [measurement(i) for i in range(8)]
+        + [measurement(8, probe_ip="x"), measurement(9, probe_ip="y", id=None, probe_cc="IN")],
+    )
+    cfg = replace(lake.cfg, generation=GEN_1, schema=None)
+    checked = run(spark, cfg, "r1").quality
+    assert checked.count() == 13 and "bucket_date" not in checked.columns
+    rows = delivered(spark, cfg)
+    assert len(rows) == 8
+    row = rows["m0"]
+    assert row.is_ip_valid is True and row.is_url_valid is True
+    assert row.dns_resolved_ips == [["9.9.9.9", None]]
+    assert {"queries", "answers", "requests", "control"} <= set(row.asDict())
+    assert spark.read.parquet(cfg.trusted).columns[-2:] == ["bucket_date", "probe_cc"]
+
+
+def test_substring_match_also_drops_rows_without_id(spark, lake):
+    """With only the flag at fault, rows without id stay unless names are matched as substrings."""
+    rows = [measurement(i) for i in range(9)] + [measurement(9, id=None)]
+    rows[0]["probe_ip"] = rows[1]["probe_ip"] = "x"
+    lake.put("2020-01-01", rows)
+    cfg = replace(lake.cfg, generation=GEN_1, schema=None)
+    run(spark, cfg)
+    assert spark.read.parquet(cfg.delivery).count() == 8
+    run(spark, replace(cfg, substring_match=True))
+    assert spark.read.parquet(cfg.delivery).count() == 7
+
+
+def test_broken_lines_and_rows_without_key_become_one_row(spark, lake):
+    lake.put("2020-01-01", [measurement(i) for i in range(9)])
+    (lake_file,) = Path(lake.cfg.source).glob("*/*.json")
+    lake_file.write_text(lake_file.read_text() + '\n{"id": \n{"id"\n')
+    ingest(spark, lake.cfg).collect()
+    rows = transform(read_raw(spark, lake.cfg))
+    assert rows.count() == 10 and rows.where("row_id IS NULL").count() == 1
+    assert transform(read_raw(spark, lake.cfg), null_keys="keep").count() == 11
+
+
+def test_shape(spark, lake):
+    lake.put("2020-01-01", [measurement(1, measurement_start_time="soon", bucket_date="never")])
+    ingest(spark, lake.cfg).collect()
+    row = shape(read_raw(spark, lake.cfg)).first()
+    assert (row.measurement_start_time, row.bucket_date, row.row_id) == (None, None, None)
+    assert row[FOLDER_DATE] == "2020-01-01"
+    assert row.queries.answers[0].ipv4 == "9.9.9.9"
+    assert len(shape(read_raw(spark, lake.cfg), GEN_2).columns) == 25  # with the landing folder
+
+
+def test_run_id_must_be_a_folder_name(spark, lake):
+    with pytest.raises(ValueError):
+        log_quality(spark.range(1), GEN_2, lake.cfg.logs, "a/b", [])
+
+
+def test_delivery_reads_only_the_nested_fields_it_needs_and_does_not_shuffle(spark, lake):
+    lake.put("2020-01-01", [measurement(1)])
+    ingest(spark, lake.cfg).collect()
+    trusted = stage(transform(read_raw(spark, lake.cfg)).drop(FOLDER_DATE), "t")
+    frame = enrich(trusted)
+    plan = frame._jdf.queryExecution().executedPlan()
+    schema = plan.collectLeaves().head().schema().simpleString()
+    assert "requests:array<struct<response:struct<body:string>>>" in schema
+    assert "queries:struct<answers:array<struct<ipv4:string>>>" in schema
+    assert "control:" not in schema
+    text = plan.toString()
+    assert "Exchange" not in text and "Python" not in text
+
+
+def test_no_python_in_the_trusted_plan(spark, lake):
+    lake.put("2020-01-01", [measurement(1)])
+    ingest(spark, lake.cfg).collect()
+    text = transform(read_raw(spark, lake.cfg))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Python" not in text and "accessible" not in text

@@ -1,0 +1,136 @@
+import pytest
+from pyspark.sql import functions as F
+
+from probelake.operators import quality
+from probelake.operators.quality import complete, contained, has_rows, unique
+from probelake.plans.config import GEN_1, GEN_2
+
+
+def statuses(df, checks, by=()):
+    return {
+        (*[r[b] for b in by], r.constraint): r.constraint_status for r in quality.report(df, checks, by).collect()
+    }
+
+
+def test_a_metric_at_its_threshold_passes(spark):
+    rows = spark.range(10).select(F.when(F.col("id") > 0, F.col("id")).alias("c"))
+    assert statuses(rows, [complete("c", 0.9)]) == {("Completeness(c)",): "Success"}
+    assert statuses(rows, [complete("c", 0.91)]) == {("Completeness(c)",): "Failure"}
+
+
+def test_null_is_contained(spark):
+    rows = spark.createDataFrame([("BR",), (None,)], "cc string")
+    assert statuses(rows, [contained("cc", ["BR"])]) == {("Containment(cc in [BR])",): "Success"}
+    assert statuses(rows, [contained("cc", ["RU"])]) == {("Containment(cc in [RU])",): "Failure"}
+
+
+def test_uniqueness_ignores_nulls(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 1), (None, 2), (None, 3)], "k string, n int")
+    found = statuses(rows, [unique("k"), unique("n")])
+    assert found == {("Uniqueness(k)",): "Success", ("Uniqueness(n)",): "Failure"}
+
+
+def test_empty_table_fails_everything(spark):
+    rows = spark.createDataFrame([], "k string")
+    checks = [unique("k"), complete("k", 0.9), contained("k", ["a"]), has_rows()]
+    assert set(statuses(rows, checks).values()) == {"Failure"}
+    report = quality.report(rows, checks)
+    assert quality.remediate(rows, report, checks).isEmpty()
+
+
+def test_uniqueness_without_any_value_fails(spark):
+    rows = spark.createDataFrame([("d", None)], "day string, k string")
+    assert statuses(rows, [unique("k")]) == {("Uniqueness(k)",): "Failure"}
+    assert statuses(rows, [unique("k")], ["day"]) == {("d", "Uniqueness(k)"): "Failure"}
+
+
+def test_report_rows(spark):
+    rows = spark.createDataFrame([("a",), (None,)], "k string")
+    found = {r.constraint: r for r in quality.report(rows, [complete("k", 0.9), has_rows()]).collect()}
+    failed, passed = found["Completeness(k)"], found["Size()"]
+    assert (failed.check, failed.check_level, failed.check_status) == ("Review Check", "Warning", "Warning")
+    assert failed.constraint_message == "Value: 0.5 does not meet the constraint requirement!"
+    assert (passed.constraint_status, passed.constraint_message) == ("Success", "")
+
+
+def test_report_per_group(spark):
+    rows = spark.createDataFrame([("d1", "a"), ("d1", None), ("d2", "b")], "day string, k string")
+    found = {(r.day, r.constraint_status, r.check_status) for r in quality.report(rows, [complete("k", 0.9)], ["day"]).collect()}
+    assert found == {("d1", "Failure", "Warning"), ("d2", "Success", "Success")}
+
+
+ROWS = [("BR", 1, "a"), ("FR", 2, "b"), (None, 3, "c"), ("BR", None, "d")]
+
+
+@pytest.fixture
+def table(spark):
+    return spark.createDataFrame(ROWS, "probe_cc string, id int, t string")
+
+
+def kept(table, checks, **options):
+    report = quality.report(table, checks)
+    return {r.t for r in quality.remediate(table, report, checks, **options).collect()}
+
+
+def test_passed_checks_change_nothing(table):
+    assert kept(table, [complete("id", 0.5), contained("probe_cc", ["BR", "FR"])]) == {"a", "b", "c", "d"}
+
+
+def test_failed_completeness_drops_nulls(table):
+    assert kept(table, [complete("id", 0.9)]) == {"a", "b", "c"}
+
+
+def test_failed_containment_drops_nulls_and_others(table):
+    assert kept(table, [contained("probe_cc", ["BR"])]) == {"a", "d"}
+
+
+def test_failed_completeness_of_a_column_with_allowed_values(table):
+    checks = [complete("probe_cc", 0.98), contained("probe_cc", ["BR", "FR"])]
+    assert kept(table, checks) == {"a", "b", "d"}
+
+
+def test_failed_uniqueness_drops_nothing(spark):
+    table = spark.createDataFrame([("x", "a"), ("x", "b"), (None, "c")], "k string, t string")
+    assert kept(table, [unique("k")]) == {"a", "b", "c"}
+
+
+def test_column_match(table):
+    check = complete("is_ip_valid", 0.9)
+    names = ["id", "is_ip_valid", "probe_cc"]
+    assert quality.columns_to_drop(check, names) == ["is_ip_valid"]
+    assert quality.columns_to_drop(check, names, substring_match=True) == ["id", "is_ip_valid"]
+    assert quality.columns_to_drop(unique("row_id"), names) == []
+    assert quality.columns_to_drop(unique("row_id"), names, substring_match=True) == ["id"]
+    assert quality.columns_to_drop(has_rows(), names, substring_match=True) == []
+
+
+def test_groups_are_repaired_by_themselves(spark):
+    rows = [("d1", "BR", "a"), ("d1", "FR", "b"), ("d1", None, "c"), ("d2", "BR", "d"), ("d2", None, "e")]
+    table = spark.createDataFrame(rows, "day string, cc string, t string")
+    checks = [contained("cc", ["BR"])]
+    report = quality.report(table, checks, ["day"])
+    clean = quality.remediate(table, report, checks, by=["day"])
+    assert {r.t for r in clean.collect()} == {"a", "d", "e"} and clean.columns == table.columns
+
+
+@pytest.mark.parametrize("by", [[], ["day"]])
+def test_grouped_and_plain_repair_agree(spark, by):
+    rows = [("d", cc, n, str(i)) for i, (cc, n) in enumerate([("BR", 1), ("FR", None), (None, 2), ("XX", 3)])]
+    table = spark.createDataFrame(rows, "day string, probe_cc string, id int, t string")
+    checks = [complete("id", 0.9), complete("probe_cc", 0.98), contained("probe_cc", ["BR", "FR"]), has_rows()]
+    report = quality.report(table, checks, by)
+    assert {r.t for r in quality.remediate(table, report, checks, by=by).collect()} == {"0"}
+
+
+def test_generations(spark):
+    assert len(GEN_2.constraints) == 11 and len(GEN_1.constraints) == 13
+    assert "is_ip_valid" in GEN_1.droppable and "is_ip_valid" not in GEN_2.droppable
+
+
+def test_one_scan_for_all_but_uniqueness(spark, tmp_path):
+    spark.range(10).selectExpr("id", "id a", "id b", "id unused").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    checks = [complete("a", 0.9), complete("b", 0.9), has_rows(), unique("id")]
+    plan = quality.measure(table, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "ReadSchema: struct<a:bigint,b:bigint>" in plan
+    assert "ReadSchema: struct<id:bigint>" in plan and "unused" not in plan and "Cartesian" not in plan
