@@ -17,7 +17,7 @@ from probelake.operators.columns import derive, project
 from probelake.operators.dedup import deduplicate
 from probelake.plans.config import FOLDER_DATE, GEN_2, Generation, LakeConfig
 from probelake.schemas import measurement_schema, prune, trusted_fields
-from probelake.session import stage
+from probelake.session import staged
 from probelake.sources.readers import read
 from probelake.sources.sinks import append_table, write_partitioned
 
@@ -97,13 +97,13 @@ def build_trusted(spark: SparkSession, cfg: LakeConfig, run_id: str | None = Non
         return None
     run_id = run_id or new_run_id()
     by = [FOLDER_DATE] if generation.per_folder else []
-    rows = stage(transform(raw, generation, cfg.null_keys), "trusted")
-    checked = log_quality(rows, generation, cfg.logs, run_id, by)
-    decided = checked.withColumnRenamed("bucket_date", FOLDER_DATE) if by else checked
-    clean = quality.remediate(
-        rows, decided, generation.constraints, generation.droppable, by, cfg.substring_match
-    )
-    write_partitioned(
-        clean.drop(FOLDER_DATE), cfg.trusted, generation.partition_by, overwrite=generation.overwrite
-    )
+    with staged(transform(raw, generation, cfg.null_keys), "trusted") as rows:
+        checked = log_quality(rows, generation, cfg.logs, run_id, by)
+        decided = checked.withColumnRenamed("bucket_date", FOLDER_DATE) if by else checked
+        clean = quality.remediate(
+            rows, decided, generation.constraints, generation.droppable, by, cfg.substring_match
+        )
+        write_partitioned(
+            clean.drop(FOLDER_DATE), cfg.trusted, generation.partition_by, overwrite=generation.overwrite
+        )
     return checked

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,12 +49,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/probelake/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a Parquet table in the shared folder and return a scan of it.
 
     Unlike a cache it survives lost executors, and later jobs read only the columns they need.
     """
-    spark = df.sparkSession
-    path = path or scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``stage`` for the time of a block; then the table is overwritten by an empty one."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        spark.createDataFrame([], "empty int").write.mode("overwrite").parquet(path)

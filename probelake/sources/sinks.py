@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 
 COPY_BLOCK = 8 * 1024 * 1024
@@ -48,49 +50,50 @@ def copy_objects(objects: DataFrame, destination: str, tasks: int | None = None)
 
     Returns one row (``dest_key``, ``bytes``) per copy; the copies are made when it is evaluated.
     Files move through executors in blocks, never through the driver. A copy always goes to the same
-    place with the same bytes, so that a retried task does no harm. Path lists are spread by hash of
-    the path, so that the files of one folder do not end up in one task.
+    place with the same bytes, so that a retried task does no harm. The list is spread by hash of the
+    path, so that the files of one folder do not end up in one task.
     """
     tasks = tasks or objects.sparkSession.sparkContext.defaultParallelism
     pairs = objects.select("path", "dest_key").repartition(tasks, "path")
-    destination = destination.rstrip("/")
+    return pairs.mapInArrow(copier(destination.rstrip("/")), "dest_key string, bytes bigint")
 
-    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes = [
-                _copy_one(path, f"{destination}/{key}")
-                for path, key in zip(batch["path"], batch["dest_key"], strict=True)
-            ]
-            yield pd.DataFrame({"dest_key": batch["dest_key"], "bytes": sizes})
-
-    return pairs.mapInPandas(copy, "dest_key string, bytes bigint")
-
-
-def _filesystem(uri: str):
-    from pyarrow import fs
-
-    uri = re.sub(r"^file:/(?!/)", "file:///", re.sub(r"^s3[an]:", "s3:", uri))
-    if re.match(r"^file:///", uri):
-        return fs.LocalFileSystem(), uri[len("file://") :]
-    return fs.FileSystem.from_uri(uri)
-
-
-def _copy_one(source: str, target: str) -> int:
-    import uuid
-
-    source_fs, source_path = _filesystem(source)
-    target_fs, target_path = _filesystem(target)
-    # Object stores show an upload only once it is complete; elsewhere a rename does the same.
-    renames = target_fs.type_name in ("local", "hdfs")
-    written = f"{target_path}.{uuid.uuid4().hex}.part" if renames else target_path
-    if renames:
-        target_fs.create_dir(target_path.rsplit("/", 1)[0], recursive=True)
-    copied = 0
-    with source_fs.open_input_stream(source_path, compression=None) as read:
-        with target_fs.open_output_stream(written, compression=None) as write:
-            while block := read.read(COPY_BLOCK):
-                write.write(block)
+
+def copier(destination: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Function that copies batches of (path, dest_key).
+
+    It is sent to executors as it stands, with all it needs inside, so that they need not have this
+    package.
+    """
+
+    def locate(uri: str) -> tuple[fs.FileSystem, str]:
+        if uri.startswith(("file:", "/")):
+            return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+        return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+
+    def copy_one(source: str, target: str) -> int:
+        source_fs, source_path = locate(source)
+        target_fs, target_path = locate(target)
+        # An object store shows an upload only once it is complete; elsewhere a rename does the same.
+        renames = target_fs.type_name in ("local", "hdfs")
+        written = f"{target_path}.{uuid.uuid4().hex}.part" if renames else target_path
+        if renames:
+            target_fs.create_dir(target_path.rsplit("/", 1)[0], recursive=True)
+        copied = 0
+        with (
+            source_fs.open_input_stream(source_path, compression=None) as reader,
+            target_fs.open_output_stream(written, compression=None) as writer,
+        ):
+            while block := reader.read(COPY_BLOCK):
+                writer.write(block)
                 copied += len(block)
-    if renames:
-        target_fs.move(written, target_path)
-    return copied
+        if renames:
+            target_fs.move(written, target_path)
+        return copied
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, keys = (column.to_pylist() for column in batch.columns)
+            sizes = [copy_one(p, f"{destination}/{k}") for p, k in zip(paths, keys, strict=True)]
+            yield pa.RecordBatch.from_pydict({"dest_key": keys, "bytes": sizes})
+
+    return copy

@@ -479,7 +479,7 @@ def catalog_repair(spark, sf_dir):
     )
     before = spark.table(events).count()
     catalog.repair(spark, events)
-    return spark.table(events).withColumn("rows_before_repair", F.lit(before))
+    return spark.table(events).withColumn("rows_before_repair", F.lit(before).cast("bigint"))
 
 
 @query

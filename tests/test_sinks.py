@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from probelake.operators.columns import add_literal, derive, drop_columns, project, rename_columns
 from probelake.operators.filters import drop_null_rows, whitelist
-from probelake.session import shared_dir, stage
+from probelake.session import shared_dir, stage, staged
 from probelake.sources import catalog
 from probelake.sources.sinks import append_table, write_partitioned
 
@@ -108,6 +108,13 @@ def test_stage_is_a_table_in_the_shared_folder(spark, table):
     assert all(shared_dir(spark) in f for f in staged.inputFiles())
 
 
+def test_staged_rows_go_after_the_block(spark, table):
+    with staged(table, "x") as rows:
+        assert rows.count() == 3
+        folder = rows.inputFiles()[0].rsplit("/", 1)[0]
+    assert spark.read.parquet(folder).isEmpty()
+
+
 def test_shared_folder_must_be_set_on_a_cluster():
     class Conf:
         def get(self, *_):

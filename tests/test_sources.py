@@ -1,11 +1,14 @@
 import json
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from probelake.schemas import measurement_schema, prune, trusted_fields
 from probelake.sources.readers import UnsupportedFormat, date_folders, list_objects, read, read_measurements
-from probelake.sources.sinks import copy_objects
+from probelake.sources.sinks import copier, copy_objects
 
 LINES = [
     json.dumps({"id": "1", "test_keys": {"accessible": True, "blocking": {"k": 1}, "agent": 5, "retries": "x",
@@ -121,3 +124,17 @@ def test_copy_is_exact_and_repeatable(spark, tmp_path):
         assert sizes == {"d/x y.json": len(content)}
     assert (tmp_path / "target" / "d" / "x y.json").read_bytes() == content
     assert [p.name for p in (tmp_path / "target" / "d").iterdir()] == ["x y.json"]
+
+
+def test_copy_needs_no_package_on_the_executors(tmp_path):
+    (tmp_path / "a.json").write_text("x")
+    (tmp_path / "function").write_bytes(cloudpickle.dumps(copier(f"file:{tmp_path}/out")))
+    code = (
+        "import pickle, pyarrow as pa; f = pickle.load(open('function', 'rb'));"
+        "b = pa.RecordBatch.from_pydict({'path': ['file:' + %r], 'dest_key': ['d/a.json']});"
+        "print([r.to_pydict() for r in f(iter([b]))])"
+    ) % str(tmp_path / "a.json")
+    run = subprocess.run(
+        [sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120
+    )
+    assert run.stdout.strip() == "[{'dest_key': ['d/a.json'], 'bytes': [1]}]", run.stderr
