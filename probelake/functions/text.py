@@ -7,11 +7,23 @@ from pyspark.sql import functions as F
 
 from probelake import fixed
 
-# Lazy scans are wrapped in atomic groups and the whole pattern is anchored. If the first opening
-# tag has no match behind it, no later one has, so one pass over the page decides; the plain lazy
-# form would retry from every tag and is quadratic on broken pages.
-_TITLE = r'(?isu)\A(?>.*?<title)(?>.*?>)(.*?)</title>'
-_META_TITLE = r'(?isu)\A(?>.*?<meta)(?>.*?property="og:title")(?>.*?content=")(.*?)"'
+
+def _through(first: str, rest: str) -> str:
+    """Pattern for all text up to and with the first ``first`` (one character) that ``rest`` follows.
+
+    Runs of other characters are skipped at once and never given back.
+    """
+    return rf"[^{first}]*+(?:{first}(?!{rest})[^{first}]*+)*+{first}{rest}"
+
+
+# Same matches as a lazy search for <title.*?>(.*?)</title> and
+# <meta.*?property="og:title".*?content="(.*?)" in any case. If the first opening tag has no match
+# behind it, no later one has, so one pass over the page decides; the lazy form would start again from
+# every tag and is quadratic on broken pages.
+_TITLE = rf"(?isu)\A{_through('<', 'title')}[^>]*+>([^<]*+(?:<(?!/title>)[^<]*+)*+)</title>"
+_OG_TITLE = _through("=", '(?<=property=)"og:title"')
+_CONTENT = _through("=", '(?<=content=)"')
+_META_TITLE = rf'(?isu)\A{_through("<", "meta")}{_OG_TITLE}{_CONTENT}([^"]*+)"'
 
 # A dot and two host letters, then only path characters up to the end: the rest of the string is
 # checked once, before the host, so there is nothing to backtrack into.
