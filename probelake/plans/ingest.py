@@ -13,19 +13,28 @@ from probelake.sources.readers import list_objects
 from probelake.sources.sinks import copy_objects
 
 
-def choose(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+def choose(spark: SparkSession, cfg: LakeConfig, objects: DataFrame | None = None) -> DataFrame:
     """Source files to land: wanted, not landed before, within the budget per date and country.
 
-    Files that are there already use up no budget.
+    Files that are there already use up no budget. ``objects`` (``path``, ``length``) replaces the
+    listing of the source, for stores that keep an inventory of their objects.
     """
-    files = manifest(list_objects(spark, cfg.source, cfg.prefixes), cfg.source, cfg.source_date_index)
-    landed = list_objects(spark, cfg.raw).select(
+    if objects is None:
+        objects = list_objects(spark, cfg.source, cfg.prefixes)
+    files = manifest(objects, cfg.source, cfg.source_date_index)
+    landed = list_objects(spark, cfg.raw, _landed_prefixes(cfg)).select(
         relative_key(F.col("path"), cfg.raw).alias("dest_key")
     )
     candidates = wanted(files, cfg.test_type, cfg.landing_countries, cfg.min_mib)
     return within_budget(not_landed(candidates, landed), cfg.limit_mib, cfg.min_mib)
 
 
-def ingest(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+def ingest(spark: SparkSession, cfg: LakeConfig, objects: DataFrame | None = None) -> DataFrame:
     """Copy the chosen files; returns the copies made (``dest_key``, ``bytes``)."""
-    return stage(copy_objects(choose(spark, cfg), cfg.raw), "landed")
+    return stage(copy_objects(choose(spark, cfg, objects), cfg.raw), "landed")
+
+
+def _landed_prefixes(cfg: LakeConfig) -> list[str]:
+    """Landed keys start with the date: the dates the source prefixes speak of, or all."""
+    dates = [(p.split("/") + [""] * cfg.source_date_index)[cfg.source_date_index] for p in cfg.prefixes]
+    return [""] if "" in dates else sorted(set(dates))

@@ -11,10 +11,11 @@ import pytest
 from probelake.plans.config import FOLDER_DATE, GEN_1, GEN_2, LakeConfig, months
 from probelake.plans.delivery import enrich
 from probelake.plans.flow import run
-from probelake.plans.ingest import ingest
+from probelake.plans.ingest import _landed_prefixes, ingest
+from probelake.plans.job import main, parse
 from probelake.plans.trusted import build_trusted, log_quality, read_raw, shape, transform
 from probelake.session import stage
-from probelake.sources.readers import table_or_none
+from probelake.sources.readers import list_objects, table_or_none
 
 DELIVERY_COLUMNS = (
     "id input measurement_start_time test_start_time probe_asn probe_cc probe_ip report_id software_name"
@@ -158,6 +159,22 @@ def test_other_countries_and_prefixes_stay(spark, lake):
     assert [r.dest_key.split("/")[0] for r in landed] == ["2020-10-01"]
 
 
+def test_only_the_months_asked_for_are_compared_with_what_is_landed(lake):
+    dates = lambda prefixes, index: _landed_prefixes(
+        replace(lake.cfg, prefixes=prefixes, source_date_index=index)
+    )
+    assert dates(months(2020, 1, 2), 0) == ["2020-01", "2020-02"]
+    assert dates(["a/b/2020-01", "a/b/2020-01"], 2) == ["2020-01"]
+    assert dates(["a/b"], 2) == [""] and dates(["2020-01", ""], 0) == [""]
+
+
+def test_an_inventory_replaces_the_listing(spark, lake):
+    lake.put("2020-01-01", [measurement(1)], name="a")
+    lake.put("2020-01-01", [measurement(2)], name="b")
+    inventory = list_objects(spark, lake.cfg.source).where("path LIKE '%-b.json'")
+    assert [r.dest_key[-7:] for r in ingest(spark, lake.cfg, inventory).collect()] == ["-b.json"]
+
+
 def test_nothing_to_do(spark, lake):
     result = run(spark, lake.cfg)
     assert result.landed.isEmpty() and result.quality is None
@@ -244,3 +261,22 @@ def test_no_python_in_the_trusted_plan(spark, lake):
     ingest(spark, lake.cfg).collect()
     text = transform(read_raw(spark, lake.cfg))._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1 and "Python" not in text and "accessible" not in text
+
+
+def test_job_arguments(capsys):
+    stage, cfg = parse(
+        ["trusted", "--raw", "r", "--trusted", "t", "--logs", "l", "--generation", "1", "--prefix", "2020-01"]
+    )
+    assert (stage, cfg.raw, cfg.generation, cfg.prefixes) == ("trusted", "r", GEN_1, ["2020-01"])
+    with pytest.raises(SystemExit):
+        parse(["delivery", "--trusted", "t"])
+    assert "--delivery" in capsys.readouterr().err
+
+
+def test_job_stages_one_by_one(spark, lake):
+    lake.put("2020-01-01", [measurement(1)])
+    cfg = lake.cfg
+    main(["ingest", "--source", cfg.source, "--raw", cfg.raw, "--min-mib", "1e-6"])
+    main(["trusted", "--raw", cfg.raw, "--trusted", cfg.trusted, "--logs", cfg.logs])
+    main(["delivery", "--trusted", cfg.trusted, "--delivery", cfg.delivery])
+    assert delivered(spark, cfg).keys() == {"m1"}
