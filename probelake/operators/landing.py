@@ -81,7 +81,7 @@ def within_budget(
     limit = float(limit_mib)
     candidates = files.where((F.col(size) >= min_mib) & (F.col(size) <= limit))
     open_files = candidates.withColumn("__used", F.lit(0.0))
-    taken = None
+    taken, repeated = None, False
     while True:
         folded = stage(
             _fold_round(open_files, files.columns, limit, min_mib, group, key, size, round_size), "budget"
@@ -93,6 +93,8 @@ def within_budget(
         unfinished = folded.where("more")
         if unfinished.isEmpty():
             return taken
+        if not repeated:
+            candidates, repeated = stage(candidates, "candidates"), True
         open_files = _after_round(candidates, unfinished, limit, group, key, size)
 
 

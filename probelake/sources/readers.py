@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from probelake.functions.paths import key_part, relative_key
 from probelake.schemas import measurement_schema
+from probelake.session import scratch_path
 
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint"
 
@@ -84,13 +85,17 @@ def list_objects(
     """Path and length of every object below ``root`` whose key starts with one of ``prefixes``.
 
     All prefixes are one listing; nothing but the file status is read. Empty objects are not listed,
-    and no match gives no rows. For
-    a store too large to list, pass its inventory table with the same columns to the manifest
-    functions instead.
+    and no match gives no rows. For a store too large to list, pass its inventory table with the same
+    columns to the manifest functions instead.
+
+    The scan would get one task per 128 MB of objects although it does not open them, so it runs in a
+    session of its own with the number of tasks limited, and the result is staged.
     """
     starts = ",".join(f"{p}*" for p in prefixes)
     pattern = f"{root.rstrip('/')}/" + (f"{{{starts}}}" if len(prefixes) > 1 else starts)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listing = spark.newSession()
+    listing.conf.set("spark.sql.files.maxPartitionNum", str(spark.sparkContext.defaultParallelism))
+    reader = listing.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:
@@ -99,7 +104,9 @@ def list_objects(
         if not _is_missing_path(error):
             raise
         return spark.createDataFrame([], LISTING_SCHEMA)
-    return objects.select("path", "modificationTime", "length")
+    path = scratch_path(spark, "listing")
+    objects.select("path", "modificationTime", "length").write.parquet(path)
+    return spark.read.schema(LISTING_SCHEMA).parquet(path)
 
 
 def date_folders(objects: DataFrame, root: str) -> DataFrame:

@@ -89,6 +89,17 @@ def test_listing_by_prefix(spark, raw):
     }
 
 
+def test_listing_large_objects_takes_few_tasks(spark, tmp_path):
+    """One task per object or per 128 MB would be far more than the session has cores."""
+    (tmp_path / "d").mkdir()
+    for i in range(40):
+        with open(tmp_path / "d" / f"{i}.json", "wb") as file:
+            file.truncate(150_000_000)  # takes no space
+    listed = list_objects(spark, str(tmp_path / "d"))
+    assert listed.count() == 40 and {r.length for r in listed.collect()} == {150_000_000}
+    assert len(listed.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_prune():
     schema = prune(measurement_schema(), ["id", "test_keys.requests.response.body", "test_keys.blocking"])
     assert schema.simpleString() == (
