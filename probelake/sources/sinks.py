@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 COPY_BLOCK = 8 * 1024 * 1024
 
@@ -53,9 +53,20 @@ def copy_objects(objects: DataFrame, destination: str, tasks: int | None = None)
     place with the same bytes, so that a retried task does no harm. The list is spread by hash of the
     path, so that the files of one folder do not end up in one task.
     """
-    tasks = tasks or objects.sparkSession.sparkContext.defaultParallelism
-    pairs = objects.select("path", "dest_key").repartition(tasks, "path")
-    return pairs.mapInArrow(copier(destination.rstrip("/")), "dest_key string, bytes bigint")
+    spark = objects.sparkSession
+    pairs = objects.select("path", "dest_key").repartition(
+        tasks or spark.sparkContext.defaultParallelism, "path"
+    )
+    target = with_scheme(spark, destination).rstrip("/")
+    return pairs.mapInArrow(copier(target), "dest_key string, bytes bigint")
+
+
+def with_scheme(spark: SparkSession, path: str) -> str:
+    """The path as Spark understands it: without a scheme it is on the default file system."""
+    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path):
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    return f"{default.rstrip('/')}/{path.lstrip('/')}"
 
 
 def copier(destination: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -66,7 +77,7 @@ def copier(destination: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     """
 
     def locate(uri: str) -> tuple[fs.FileSystem, str]:
-        if uri.startswith(("file:", "/")):
+        if uri.startswith("file:"):
             return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
         return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
 

@@ -62,8 +62,18 @@ trusted AS (
   FROM measured)
 """
 
-NETLOC = "regexp_extract(input, '^(?:[a-zA-Z][a-zA-Z0-9+.\\-]*:)?//([^/?#]*)', 1)"
-TITLE = "regexp_extract(coalesce(html, ''), '<title.*?>(.*?)</title>', 1, 'is')"
+
+
+def _netloc(url: str) -> str:
+    return f"regexp_extract({url}, '^(?:[a-zA-Z][a-zA-Z0-9+.\\-]*:)?//([^/?#]*)', 1)"
+
+
+def _title(body: str) -> str:
+    return f"regexp_extract(coalesce({body}, ''), '<title.*?>(.*?)</title>', 1, 'is')"
+
+
+NETLOC = _netloc("input")
+TITLE = _title("html")
 META_TITLE = (
     "regexp_extract(coalesce({}, ''), '<meta.*?property=\"og:title\".*?content=\"(.*?)\"', 1, 'is')"
 )
@@ -265,8 +275,17 @@ ORACLES: dict[str, str] = {
                     '^(https?:\/\/)?([\da-z\.-]+)\.([a-z\.]{2,6})([\/\w \.-]*)*\/?$')
                     THEN true END AS is_url_valid
         FROM pages""",
-    "netloc": f"SELECT page_id, {NETLOC.replace('input', 'url')} AS domain FROM pages",
-    "http_title": f"SELECT page_id, {TITLE} AS http_title FROM pages",
+    "netloc": f"""
+        SELECT page_id, {_netloc('url')} AS domain,
+               {_netloc("replace(url, '://', '://me:secret@')")} AS with_user,
+               {_netloc('url')} || ':8080' AS with_port, {_netloc('url')} AS without_scheme,
+               '' AS path_only, '' AS bracket, {_netloc('url')} AS blanks
+        FROM pages""",
+    "http_title": f"""
+        SELECT page_id, {_title('html')} AS http_title, {_title('html')} AS in_capitals,
+               {_title("replace(html, '</title>', '<title>')")} AS unclosed,
+               {_title("html || html")} AS two_titles
+        FROM pages""",
     "meta_title": f"""
         WITH tagged AS (
           SELECT page_id, html, replace(html, '</title>', '</title><meta charset="x"><META property="og:title"'

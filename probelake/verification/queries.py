@@ -19,7 +19,7 @@ from probelake.plans.delivery import enrich
 from probelake.plans.flow import run
 from probelake.plans.ingest import ingest
 from probelake.plans.trusted import transform
-from probelake.schemas import measurement_schema
+from probelake.schemas import measurement_schema, prune, trusted_fields
 from probelake.session import scratch_path
 from probelake.sources import catalog
 from probelake.sources.readers import date_folders, read_measurements, read_table
@@ -48,7 +48,8 @@ def query(function: Query) -> Query:
 def as_measurements(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:
     """The derived measurements as the JSON scan would give them."""
     rows = measurements(spark, sf_dir, copies)
-    document = F.from_json(F.to_json(F.struct("*")), measurement_schema())
+    schema = prune(measurement_schema(), trusted_fields())
+    document = F.from_json(F.to_json(F.struct("*")), schema)
     return rows.select(document.alias("m")).select("m.*")
 
 
@@ -293,14 +294,32 @@ def url_valid(spark, sf_dir):
 
 @query
 def netloc(spark, sf_dir):
+    url = F.col("url")
+    variants = {
+        "domain": url,
+        "with_user": F.replace(url, F.lit("://"), F.lit("://me:secret@")),
+        "with_port": F.regexp_replace(url, r"(//[^/]*)", "$1:8080"),
+        "without_scheme": F.regexp_replace(url, "^[a-z]+:", ""),
+        "path_only": F.regexp_replace(url, "^[a-z]+://", ""),
+        "bracket": F.replace(url, F.lit("://"), F.lit("://[")),
+        "blanks": F.concat(F.lit(" \t"), F.replace(url, F.lit("/"), F.lit("/\n"))),
+    }
     pages = table(spark, sf_dir, "pages")
-    return pages.select("page_id", text.network_location(F.col("url")).alias("domain"))
+    return pages.select("page_id", *[text.network_location(u).alias(n) for n, u in variants.items()])
 
 
 @query
 def http_title(spark, sf_dir):
+    html = F.col("html")
+    tag = F.lit('<TITLE\nlang="x">')
+    variants = {
+        "http_title": html,
+        "in_capitals": F.replace(html, F.lit("<title>"), tag),
+        "unclosed": F.replace(html, F.lit("</title>"), F.lit("<title>")),
+        "two_titles": F.concat(html, html),
+    }
     pages = table(spark, sf_dir, "pages")
-    return pages.select("page_id", text.page_title(F.col("html")).alias("http_title"))
+    return pages.select("page_id", *[text.page_title(h).alias(n) for n, h in variants.items()])
 
 
 @query

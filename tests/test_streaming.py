@@ -1,6 +1,6 @@
 import json
 
-from probelake.streaming.incremental import run_incremental
+from probelake.streaming.incremental import not_in_table, run_incremental
 
 
 def put(folder, name, rows):
@@ -42,3 +42,13 @@ def test_a_repeated_batch_adds_nothing(spark, tmp_path):
     for checkpoint in ("c1", "c2"):  # a lost checkpoint repeats everything
         run_incremental(spark, raw, trusted, str(tmp_path / checkpoint))
     assert len(ids(spark, trusted)) == 22
+
+
+def test_missing_keys_are_compared_too(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], "row_id string")
+    assert not_in_table(rows, path, "row_id").count() == 3
+    rows.where("row_id = 'a' OR row_id IS NULL").write.parquet(path)
+    new = not_in_table(rows, path, "row_id")
+    assert [r.row_id for r in new.collect()] == ["b"]
+    assert "NestedLoop" not in new._jdf.queryExecution().executedPlan().toString()
