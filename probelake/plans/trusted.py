@@ -17,8 +17,8 @@ from probelake.operators.columns import derive, project
 from probelake.operators.dedup import deduplicate
 from probelake.plans.config import FOLDER_DATE, GEN_2, Generation, LakeConfig
 from probelake.schemas import measurement_schema, prune, trusted_fields
-from probelake.session import staged
-from probelake.sources.readers import read
+from probelake.session import sized_for, staged
+from probelake.sources.readers import RAW_FILES, list_objects, read
 from probelake.sources.sinks import append_table, write_partitioned
 
 # Copies of a measurement differ, if at all, in when and by which report they were sent.
@@ -84,7 +84,7 @@ def log_quality(
 
 
 def build_trusted(spark: SparkSession, cfg: LakeConfig, run_id: str | None = None) -> DataFrame | None:
-    """Write the trusted table from all raw files in one job; returns the quality report of the run.
+    """Write the trusted table from all raw files; returns the quality report of the run.
 
     The de-duplicated rows are written to a staging table once. The checks then read a few narrow
     columns of it, and the repaired rows go from it to the trusted table: the raw JSON is parsed, and
@@ -92,12 +92,15 @@ def build_trusted(spark: SparkSession, cfg: LakeConfig, run_id: str | None = Non
     nothing to do.
     """
     generation = cfg.generation
-    raw = read_raw(spark, cfg)
-    if raw.isEmpty():
+    raw_bytes = list_objects(spark, cfg.raw, glob=RAW_FILES).agg(F.sum("length")).first()[0]
+    if not raw_bytes:
         return None
     run_id = run_id or new_run_id()
     by = [FOLDER_DATE] if generation.per_folder else []
-    with staged(transform(raw, generation, cfg.null_keys), "trusted") as rows:
+    with (
+        sized_for(spark, raw_bytes),
+        staged(transform(read_raw(spark, cfg), generation, cfg.null_keys), "trusted") as rows,
+    ):
         checked = log_quality(rows, generation, cfg.logs, run_id, by)
         decided = checked.withColumnRenamed("bucket_date", FOLDER_DATE) if by else checked
         clean = quality.remediate(

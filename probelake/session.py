@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -36,6 +37,33 @@ def build_session(app: str = "probelake", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+# Input bytes per task of a wide shuffle. A gigabyte of raw JSON is some 300 MB shuffled; smaller pieces
+# of a very large input would make the number of blocks (scan tasks x shuffle tasks) the bottleneck.
+TASK_BYTES = 1024**3
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Within the block, shuffles have enough partitions and scans few enough tasks for the input.
+
+    Settings are only raised. Scan tasks grow up to ``TASK_BYTES`` as long as every core still gets
+    several of them; adaptive execution merges shuffle partitions that turn out small.
+    """
+    before = {key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, SCAN_BYTES)}
+    partitions = max(int(before[SHUFFLE_PARTITIONS]), math.ceil(input_bytes / TASK_BYTES))
+    per_task = input_bytes // (8 * spark.sparkContext.defaultParallelism)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(partitions))
+    if per_task > 128 * 1024**2:
+        spark.conf.set(SCAN_BYTES, str(min(per_task, TASK_BYTES)))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors reach: what the cluster names, or a new local one in local mode."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)

@@ -13,6 +13,7 @@ from probelake.functions.paths import key_part, relative_key
 from probelake.schemas import measurement_schema
 from probelake.session import scratch_path
 
+RAW_FILES = "*.json"
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint"
 
 
@@ -35,7 +36,7 @@ def read_measurements(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: T.StructType | None = None,
-    glob: str = "*.json",
+    glob: str = RAW_FILES,
     folder_column: str | None = None,
 ) -> DataFrame:
     """One row per line of JSON in all files below ``path`` whose name matches ``glob``.

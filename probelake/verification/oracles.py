@@ -331,7 +331,7 @@ ORACLES: dict[str, str] = {
         SELECT strftime(ts, '%Y-%m-%d') AS source_date,
                '{"event_id":' || event_id || ',"event_type":"' || event_type || '","value":' || value || '}' AS line,
                1::BIGINT AS copies
-        FROM events WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-20'""",
+        FROM events WHERE event_type <> 'error'""",
     "partition_roundtrip": """
         SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year,
                CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus

@@ -424,7 +424,7 @@ def landing(spark, sf_dir):
         trusted=f"{scratch}/trusted",
         delivery=f"{scratch}/delivery",
         logs=f"{scratch}/logs",
-        prefixes=["2024-01-0", "2024-01-1"],
+        prefixes=["2024-01-0", "2024-01-1", "2024-01-2", "2024-01-3"],  # every day there is
         min_mib=1e-6,
     )
     first = ingest(spark, cfg)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from probelake.operators.columns import add_literal, derive, drop_columns, project, rename_columns
 from probelake.operators.filters import drop_null_rows, whitelist
-from probelake.session import shared_dir, stage, staged
+from probelake.session import shared_dir, sized_for, stage, staged
 from probelake.sources import catalog
 from probelake.sources.sinks import append_table, write_partitioned
 
@@ -108,6 +108,18 @@ def test_stage_is_a_table_in_the_shared_folder(spark, table):
     assert all(shared_dir(spark) in f for f in staged.inputFiles())
 
 
+def test_sizes_for_the_input(spark):
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    current = lambda: [spark.conf.get(k) for k in keys]
+    before = current()
+    with sized_for(spark, 1000):
+        assert current() == before
+    with pytest.raises(ZeroDivisionError), sized_for(spark, 100 * 1024**4):
+        assert current() == [str(100 * 1024), str(1024**3)]
+        1 / 0
+    assert current() == before
+
+
 def test_staged_rows_go_after_the_block(spark, table):
     with staged(table, "x") as rows:
         assert rows.count() == 3
