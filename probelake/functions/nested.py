@@ -19,9 +19,14 @@ def first_body(requests: Column) -> Column:
     return F.coalesce(first_element(requests)["response"]["body"], F.lit(""))
 
 
-def field_of_each(array: Column, field: str) -> Column:
-    """The named field of every element; works on arrays of structs and on arrays of such arrays."""
-    return F.transform(array, lambda x: x.getField(field))
+def field_of_each(array: Column, field: str, inner: bool = False) -> Column:
+    """The named field of every struct in an array, or, with ``inner``, in an array of arrays.
+
+    On a plain array this is a field access, to which the scan can narrow itself.
+    """
+    if inner:
+        return F.transform(array, lambda x: x.getField(field))
+    return array.getField(field)
 
 
 def drop_nulls(array: Column) -> Column:

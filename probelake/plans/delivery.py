@@ -18,10 +18,7 @@ def enrich(trusted: DataFrame, generation: Generation = GEN_2) -> DataFrame:
     """Add resolved addresses, page titles and the domain; row by row, without a shuffle."""
     body = first_body(F.col("requests"))
     answers = F.col("queries")["answers"]
-    if generation.first_query_only:
-        resolved = answers["ipv4"]  # a plain field access, which the scan can narrow itself to
-    else:
-        resolved = field_of_each(answers, "ipv4")
+    resolved = field_of_each(answers, "ipv4", inner=not generation.first_query_only)
     columns = {} if generation.drop_wide else {"answers": answers}
     rows = derive(trusted, {**columns, "dns_resolved_ips_full": resolved})
     rows = derive(

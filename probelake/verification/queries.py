@@ -367,7 +367,7 @@ def dns_ips_nested(spark, sf_dir):
         F.struct(_word_answers().alias("answers")),
     )
     documents = table(spark, sf_dir, "documents").select("doc_id", queries.alias("queries"))
-    full = nested.field_of_each(F.col("queries")["answers"], "ipv4")
+    full = nested.field_of_each(F.col("queries")["answers"], "ipv4", inner=True)
     rows = documents.select("doc_id", full.alias("full"))
     rows = rows.withColumn("ips", nested.drop_nulls(F.col("full")))
     return rows.select(

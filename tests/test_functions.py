@@ -45,17 +45,19 @@ def test_first_body(values):
 
 
 def test_addresses_of_answers(values):
-    data = [[{"ipv4": "1.1.1.1"}, {"ipv4": None}, {"ipv4": "2.2.2.2"}], [], None]
+    data = [[{"ipv4": "1.1.1.1"}, {"ipv4": None}, None, {"ipv4": "2.2.2.2"}], [], None]
     kind = "array<struct<ipv4 string>>"
     full = lambda c: nested.field_of_each(c, "ipv4")
-    assert values(data, full, kind) == [["1.1.1.1", None, "2.2.2.2"], [], None]
+    assert values(data, full, kind) == [["1.1.1.1", None, None, "2.2.2.2"], [], None]
     assert values(data, lambda c: nested.drop_nulls(full(c)), kind) == [["1.1.1.1", "2.2.2.2"], [], None]
 
 
 def test_only_missing_inner_arrays_go(values):
     data = [[[{"ipv4": "1.1.1.1"}, {"ipv4": None}], None]]
     result = values(
-        data, lambda c: nested.drop_nulls(nested.field_of_each(c, "ipv4")), "array<array<struct<ipv4 string>>>"
+        data,
+        lambda c: nested.drop_nulls(nested.field_of_each(c, "ipv4", inner=True)),
+        "array<array<struct<ipv4 string>>>",
     )
     assert result == [[["1.1.1.1", None]]]
 
