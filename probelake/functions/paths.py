@@ -26,6 +26,11 @@ def key_part(key: Column, index: int, separator: str = "/") -> Column:
     return F.get(F.split(key, re.escape(separator)), F.lit(index))
 
 
+def top_folder(key: Column) -> Column:
+    """First part of the key, or NULL if it is a file name only."""
+    return F.when(F.contains(key, F.lit("/")), key_part(key, 0))
+
+
 def base_name(key: Column) -> Column:
     return F.substring_index(key, "/", -1)
 

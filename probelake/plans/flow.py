@@ -21,7 +21,6 @@ class RunResult:
 
 def run(spark: SparkSession, cfg: LakeConfig, run_id: str | None = None) -> RunResult:
     """Ingest, trusted table, catalog, delivery table."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")  # row keys contain timestamps as text
     landed = ingest(spark, cfg)
     checked = build_trusted(spark, cfg, run_id)
     if checked is None:

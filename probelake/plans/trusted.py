@@ -17,7 +17,7 @@ from probelake.operators.columns import derive, project
 from probelake.operators.dedup import deduplicate
 from probelake.plans.config import FOLDER_DATE, GEN_2, Generation, LakeConfig
 from probelake.schemas import measurement_schema, prune, trusted_fields
-from probelake.session import sized_for, staged
+from probelake.session import UTC, settings, sized_for, staged
 from probelake.sources.readers import RAW_FILES, list_objects, read
 from probelake.sources.sinks import append_table, write_partitioned
 
@@ -56,14 +56,15 @@ def transform(
 
 
 def read_raw(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
-    """Scan of the raw folder that parses only what the trusted table needs."""
-    return read(
-        spark,
-        cfg.raw,
-        "json",
-        schema=prune(measurement_schema(), trusted_fields()),
-        folder_column=FOLDER_DATE if cfg.generation.per_folder else None,
-    )
+    """Scan of the raw folder that parses only what the trusted table needs.
+
+    Where folders are units, files outside of any folder are left out.
+    """
+    schema = prune(measurement_schema(), trusted_fields())
+    if not cfg.generation.per_folder:
+        return read(spark, cfg.raw, "json", schema=schema)
+    rows = read(spark, cfg.raw, "json", schema=schema, folder_column=FOLDER_DATE)
+    return rows.where(F.col(FOLDER_DATE).isNotNull())
 
 
 def new_run_id() -> str:
@@ -98,6 +99,7 @@ def build_trusted(spark: SparkSession, cfg: LakeConfig, run_id: str | None = Non
     run_id = run_id or new_run_id()
     by = [FOLDER_DATE] if generation.per_folder else []
     with (
+        settings(spark, UTC),
         sized_for(spark, raw_bytes),
         staged(transform(read_raw(spark, cfg), generation, cfg.null_keys), "trusted") as rows,
     ):

@@ -5,17 +5,19 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Iterator, Mapping
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Text of a timestamp depends on the time zone and is part of the row key; appends and file
-# copies must not run twice at the same time, so speculation stays off.
+# The text of a timestamp depends on the time zone and is part of the row key.
+UTC = {"spark.sql.session.timeZone": "UTC"}
+
+# Appends and file copies must not run twice at the same time, so speculation stays off.
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+    **UTC,
     "spark.speculation": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -45,25 +47,32 @@ SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 @contextmanager
-def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Within the block, shuffles have enough partitions and scans few enough tasks for the input.
-
-    Settings are only raised. Scan tasks grow up to ``TASK_BYTES`` as long as every core still gets
-    several of them; adaptive execution merges shuffle partitions that turn out small.
-    """
-    before = {key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, SCAN_BYTES)}
-    partitions = max(int(before[SHUFFLE_PARTITIONS]), math.ceil(input_bytes / TASK_BYTES))
-    per_task = input_bytes // (8 * spark.sparkContext.defaultParallelism)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(partitions))
-    if per_task > 128 * 1024**2:
-        spark.conf.set(SCAN_BYTES, str(min(per_task, TASK_BYTES)))
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block."""
+    before = {key: spark.conf.get(key) for key in values}
     try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
         yield
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
 
 
+def sized_for(spark: SparkSession, input_bytes: int) -> AbstractContextManager[None]:
+    """Within the block, shuffles have enough partitions and scans few enough tasks for the input.
+
+    Shuffle partitions are only raised; adaptive execution merges those that turn out small. Scan tasks
+    grow up to ``TASK_BYTES`` as long as every core still gets several of them.
+    """
+    partitions = max(int(spark.conf.get(SHUFFLE_PARTITIONS)), math.ceil(input_bytes / TASK_BYTES))
+    values = {SHUFFLE_PARTITIONS: str(partitions)}
+    per_task = input_bytes // (8 * spark.sparkContext.defaultParallelism)
+    if per_task > 128 * 1024**2:
+        values[SCAN_BYTES] = str(min(per_task, TASK_BYTES))
+    return settings(spark, values)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors reach: what the cluster names, or a new local one in local mode."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from probelake.functions.paths import key_part, relative_key
+from probelake.functions.paths import relative_key, top_folder
 from probelake.schemas import measurement_schema
 from probelake.session import scratch_path
 
@@ -42,8 +42,8 @@ def read_measurements(
     """One row per line of JSON in all files below ``path`` whose name matches ``glob``.
 
     A broken line gives a row of NULLs, a value of the wrong type a NULL field. ``folder_column``
-    adds the name of the top-level folder below ``path`` (a single root) the row was read from.
-    A missing or empty folder gives no rows.
+    adds the name of the top-level folder below ``path`` (a single root) the row was read from, NULL for
+    files in none. A missing or empty folder gives no rows.
     """
     schema = schema or measurement_schema()
     paths = [path] if isinstance(path, str) else list(path)
@@ -61,7 +61,7 @@ def read_measurements(
         return rows.withColumn(folder_column, F.lit(None).cast("string")) if folder_column else rows
     if folder_column:
         uri = F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))")
-        rows = rows.select("*", key_part(relative_key(uri, paths[0]), 0).alias(folder_column))
+        rows = rows.select("*", top_folder(relative_key(uri, paths[0])).alias(folder_column))
     return rows
 
 
@@ -113,7 +113,7 @@ def list_objects(
 def date_folders(objects: DataFrame, root: str) -> DataFrame:
     """Distinct top-level folders below ``root`` in an object listing."""
     return (
-        objects.select(key_part(relative_key(F.col("path"), root), 0).alias("source_date"))
+        objects.select(top_folder(relative_key(F.col("path"), root)).alias("source_date"))
         .where(F.col("source_date").isNotNull())
         .distinct()
     )

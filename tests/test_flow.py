@@ -14,7 +14,7 @@ from probelake.plans.flow import run
 from probelake.plans.ingest import _landed_prefixes, ingest
 from probelake.plans.job import main, parse
 from probelake.plans.trusted import build_trusted, log_quality, read_raw, shape, transform
-from probelake.session import stage
+from probelake.session import settings, stage
 from probelake.sources.readers import list_objects, table_or_none
 
 DELIVERY_COLUMNS = (
@@ -237,6 +237,20 @@ def test_shape(spark, lake):
     assert len(shape(read_raw(spark, lake.cfg), GEN_2).columns) == 25  # with the landing folder
 
 
+def test_row_keys_do_not_depend_on_the_time_zone_of_the_session(spark, lake):
+    lake.put("2020-01-01", [measurement(1)])
+    (Path(lake.cfg.source) / "top.json").write_text(json.dumps(measurement(2)))
+    ingest(spark, lake.cfg).collect()
+    keys = []
+    for zone in ("UTC", "America/Sao_Paulo"):
+        with settings(spark, {"spark.sql.session.timeZone": zone}):
+            build_trusted(spark, lake.cfg)
+            keys += [(r.row_id, r.u) for r in spark.read.parquet(lake.cfg.trusted).selectExpr(
+                "row_id", "unix_seconds(measurement_start_time) u").collect()]
+            assert spark.conf.get("spark.sql.session.timeZone") == zone
+    assert len(keys) == 2 and len(set(keys)) == 1
+
+
 def test_run_id_must_be_a_folder_name(spark, lake):
     with pytest.raises(ValueError):
         log_quality(spark.range(1), GEN_2, lake.cfg.logs, "a/b", [])

@@ -1,4 +1,5 @@
 import json
+import pathlib
 import subprocess
 import sys
 
@@ -51,9 +52,11 @@ def test_json_scan_of_pruned_schema_gives_the_same(spark, raw):
 
 
 def test_folder_column_is_the_top_folder(spark, raw):
+    (pathlib.Path(raw) / "top.json").write_text('{"id": "5"}')
     rows = read_measurements(spark, raw, folder_column="folder").select("folder", "id").collect()
     assert {(r.folder, r.id) for r in rows} == {
         ("2020-01-01", "1"), ("2020-01-01", None), ("2020-01-01", "3"), ("2020-01-02", "4"),
+        (None, "5"),
     }
 
 
