@@ -66,7 +66,7 @@ def within_budget(
     size: str = "size_mb",
     round_size: int = ROUND_SIZE,
 ) -> DataFrame:
-    """First-fit choice of files per group, in key order, up to ``limit_mib`` in total.
+    """First-fit choice of files per group, in order of their (unique) keys, up to ``limit_mib`` in total.
 
     A file is taken if it has at least ``min_mib`` and still fits next to those taken before it; one
     that does not fit is passed over and smaller ones after it may still fit. That is a sequential rule,

@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probelake import fixed
 from probelake.functions import casts, nested, text
 from probelake.operators import quality
 from probelake.operators.columns import add_literal, drop_columns, project, rename_columns
@@ -27,7 +26,6 @@ from probelake.sources.sinks import append_table, write_partitioned
 from probelake.streaming.incremental import run_incremental
 from probelake.verification.fixtures import (
     COUNTRY_OF_EVENT,
-    COUNTRY_OF_PRIORITY,
     labelled_documents,
     mapped,
     measurements,

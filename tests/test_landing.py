@@ -139,7 +139,9 @@ def test_rounds_are_limited_before_the_shuffle(spark):
 
 def test_later_rounds_join_by_group(spark):
     files = spark.createDataFrame([("d", "BR", "k", 1.0)], FILES)
-    state = spark.createDataFrame([("d", None, "a", 0.5)], "source_date string, country string, last_key string, used double")
+    state = spark.createDataFrame(
+        [("d", None, "a", 0.5)], "source_date string, country string, last_key string, used double"
+    )
     rest = landing._after_round(files, state, 10.0, ["source_date", "country"], "key", "size_mb")
     assert "NestedLoop" not in rest._jdf.queryExecution().executedPlan().toString()
     assert rest.columns == [*files.columns, "__used"] and rest.isEmpty()

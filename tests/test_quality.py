@@ -55,7 +55,8 @@ def test_report_rows(spark):
 
 def test_report_per_group(spark):
     rows = spark.createDataFrame([("d1", "a"), ("d1", None), ("d2", "b")], "day string, k string")
-    found = {(r.day, r.constraint_status, r.check_status) for r in quality.report(rows, [complete("k", 0.9)], ["day"]).collect()}
+    report = quality.report(rows, [complete("k", 0.9)], ["day"]).collect()
+    found = {(r.day, r.constraint_status, r.check_status) for r in report}
     assert found == {("d1", "Failure", "Warning"), ("d2", "Success", "Success")}
 
 

@@ -12,7 +12,8 @@ META = re.compile(r'<meta.*?property="og:title".*?content="(.*?)"', re.IGNORECAS
 URL = re.compile(r"^(https?://)?([\da-z.-]+)\.([a-z.]{2,6})([/\w .-])*/?$", re.ASCII)
 PIECES = [
     "<title", "<TITLE>", "<Title lang='x'\n>", "</title>", "</TITLE>", ">", "<", "a", "é\n", "<meta ",
-    '<META property="og:title" ', 'property="og:title"', 'content="', '"', 'content="x y"', 'PROPERTY="OG:Title"', "Content=", "=", 'metaproperty=', "'", " ", "&amp;",
+    '<META property="og:title" ', 'property="og:title"', 'content="', '"', 'content="x y"', "'", " ", "&amp;",
+    'PROPERTY="OG:Title"', "Content=", "=", "metaproperty=",
 ]
 
 
