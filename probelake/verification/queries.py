@@ -539,8 +539,11 @@ TRUSTED_SCALARS = (
 )
 
 
-def _times():
-    return [F.col(c).cast("string").alias(c) for c in ("measurement_start_time", "test_start_time")]
+def _times(utc: bool = False):
+    """Start times as text: in the zone of the session, which is also that of the cast, or in UTC."""
+    names = ("measurement_start_time", "test_start_time")
+    times = {c: F.to_utc_timestamp(c, F.current_timezone()) if utc else F.col(c) for c in names}
+    return [time.cast("string").alias(name) for name, time in times.items()]
 
 
 @query
@@ -574,10 +577,10 @@ def delivery_table(spark, sf_dir):
     return _flat_delivery(rows)
 
 
-def _flat_delivery(rows: DataFrame) -> DataFrame:
+def _flat_delivery(rows: DataFrame, utc: bool = False) -> DataFrame:
     return rows.select(
         *TRUSTED_SCALARS,
-        *_times(),
+        *_times(utc),
         joined("dns_resolved_ips_full"),
         joined("dns_resolved_ips"),
         "http_title",
@@ -612,7 +615,7 @@ def lake_run(spark, sf_dir):
     """Everything: land, trust, check, repair, log, register, deliver."""
     cfg = _lake(spark, sf_dir, GEN_2)
     run(spark, cfg)
-    return _flat_delivery(read_table(spark, cfg.delivery))
+    return _flat_delivery(read_table(spark, cfg.delivery), utc=True)
 
 
 @query
@@ -622,7 +625,7 @@ def lake_run_gen1(spark, sf_dir):
     rows = read_table(spark, cfg.delivery)
     full = F.array_join(F.flatten("dns_resolved_ips_full"), ",", "-")
     return rows.select(
-        *TRUSTED_SCALARS, *_times(), "is_ip_valid", "is_url_valid", "domain",
+        *TRUSTED_SCALARS, *_times(utc=True), "is_ip_valid", "is_url_valid", "domain",
         full.alias("dns_resolved_ips_full"),
     )
 
