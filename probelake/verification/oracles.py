@@ -259,7 +259,7 @@ ORACLES: dict[str, str] = {
         WHERE (NOT no_value OR error_value IS NOT NULL)
           AND (NOT bad_type OR event_type IN ('click', 'error'))""",
     "remediate_passthrough": "SELECT event_id, event_type, value FROM events",
-    "whitelist_rows": "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'view')",
+    "whitelist": "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'view')",
     "ip_valid": r"""
         WITH addressed AS (
           SELECT event_id, user_id || '.' || json_extract_string(props, '$.k') || '.' ||

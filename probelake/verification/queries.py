@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probelake.functions import casts, nested, text
-from probelake.operators import quality
+from probelake.operators import filters, quality
 from probelake.operators.columns import add_literal, drop_columns, project, rename_columns
 from probelake.operators.dedup import deduplicate
-from probelake.operators.filters import whitelist
 from probelake.operators.landing import manifest, not_landed, wanted, within_budget
 from probelake.plans.config import GEN_1, GEN_2, Generation, LakeConfig
 from probelake.plans.delivery import enrich
@@ -262,10 +261,9 @@ def remediate_passthrough(spark, sf_dir):
 
 
 @query
-def whitelist_rows(spark, sf_dir):
-    return whitelist(table(spark, sf_dir, "events"), "event_type", ["click", "view"]).select(
-        "event_id", "event_type"
-    )
+def whitelist(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return filters.whitelist(events, "event_type", ["click", "view"]).select("event_id", "event_type")
 
 
 # --- text and arrays --------------------------------------------------------------
