@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probelake.functions.paths import base_name
+from probelake.session import stage
 from probelake.sources.readers import list_objects
 from probelake.sources.sinks import copy_objects
 
@@ -37,7 +38,10 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One object per order: date folders by month, country by priority, size by price."""
+    """One object per order: date folders by month, country by priority, size by price.
+
+    A table, like every listing, not an expression that each use of the path would work out again.
+    """
     month = F.date_format(F.trunc("o_orderdate", "MM"), "yyyy-MM-dd")
     test_type = F.when(F.col("o_orderstatus") == "P", "dash").otherwise("web_connectivity")
     name = F.concat_ws(
@@ -48,10 +52,11 @@ def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         test_type,
         F.concat(F.col("o_orderkey").cast("string"), F.lit(".json")),
     )
-    return table(spark, sf_dir, "orders").select(
+    objects = table(spark, sf_dir, "orders").select(
         F.concat_ws("/", F.lit("store:/bucket/archive/jsonl"), month, name).alias("path"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("length"),
     )
+    return stage(objects, "listing")
 
 
 def measurements(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:

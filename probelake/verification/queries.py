@@ -422,6 +422,7 @@ def landing(spark, sf_dir):
         logs=f"{scratch}/logs",
         prefixes=["2024-01-0", "2024-01-1", "2024-01-2", "2024-01-3"],  # every day there is
         min_mib=1e-6,
+        limit_mib=1e9,
     )
     first = ingest(spark, cfg)
     again = ingest(spark, cfg)
@@ -604,7 +605,7 @@ def _lake(spark, sf_dir, generation: Generation) -> LakeConfig:
         schema="lake_" + scratch.rsplit("-", 1)[1],
         schema_location=f"{scratch}/schema",
         min_mib=1e-6,
-        limit_mib=1e6,
+        limit_mib=1e9,
     )
 
 
