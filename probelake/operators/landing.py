@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from probelake import fixed
@@ -101,20 +101,30 @@ def within_budget(
 def _after_round(
     candidates: DataFrame, unfinished: DataFrame, limit: float, group: list[str], key: str, size: str
 ) -> DataFrame:
-    """Files behind the last one folded that are not too large for what is left."""
+    """Files behind the last one folded that are not too large for what is left.
+
+    The one row per unfinished group is repeated for every salt, so that a large group does not meet in
+    one task even if there are too many groups to broadcast.
+    """
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
     state = unfinished.select(
         *[F.col(g).alias(f"__{g}") for g in group],
         F.col("last_key").alias("__last"),
         F.col("used").alias("__used"),
+        F.explode(salts).alias("__part"),
     )
     same_group = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
     return (
-        candidates.join(state, same_group)
+        candidates.join(state, [*same_group, _salt(key) == F.col("__part")])
         .where((F.col(key) > F.col("__last")) & (F.col("__used") + F.col(size) <= limit))
-        .drop("__last", *[f"__{g}" for g in group])
+        .drop("__last", "__part", *[f"__{g}" for g in group])
     )
 
 
+def _salt(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SALTS))
+
+
 def _fold_round(
     open_files: DataFrame,
     columns: Sequence[str],
@@ -130,7 +140,7 @@ def _fold_round(
     A group is cut to its first files per salt, and per task before that, so that no task ever gathers
     more than ``SALTS * (round_size + 1)`` files of it.
     """
-    salted = open_files.withColumn("__salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
+    salted = open_files.withColumn("__salt", _salt(key))
     first = Window.partitionBy(*group, "__salt").orderBy(key)
     heads = salted.withColumn("__rank", F.row_number().over(first)).where(
         F.col("__rank") <= round_size + 1

@@ -16,6 +16,8 @@ COMPLETENESS = "Completeness"
 UNIQUENESS = "Uniqueness"
 CONTAINMENT = "Containment"
 
+SALTS = 64  # tasks a group of rows is spread over when it is joined with its failed constraints
+
 
 @dataclass(frozen=True)
 class Constraint:
@@ -191,8 +193,18 @@ def _remediate_groups(
     by: list[str],
     substring_match: bool,
 ) -> DataFrame:
-    """The same decision for every group in one plan: a join with the failed constraints per group."""
+    """The same decision for every group in one plan: a join with the failed constraints per group.
+
+    Spark broadcasts the few rows per group if they are small enough. Beyond that the salt spreads the
+    rows of a large group over many tasks; the rows of the plan are repeated for every salt.
+    """
+    checked = sorted({c.column for c in constraints if c.column})
+    if not checked:
+        return df
     plan = failures(quality).groupBy(*by).agg(F.collect_set("constraint").alias("__failed"))
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    plan = plan.withColumn("__salt", F.explode(salts))
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*checked), F.lit(SALTS)))
     whitelists = _whitelists(constraints)
     keep = F.lit(True)
     for constraint in constraints:
@@ -202,4 +214,4 @@ def _remediate_groups(
                 bad = bad | ~F.col(column).isin(*whitelists[column])
             failed = F.coalesce(F.array_contains("__failed", constraint.text), F.lit(False))
             keep = keep & ~(failed & bad)
-    return df.join(plan, by, "left").where(keep).select(*df.columns)
+    return salted.join(plan, [*by, "__salt"], "left").where(keep).select(*df.columns)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from probelake.operators import quality
 from probelake.operators.quality import complete, contained, has_rows, unique
 from probelake.plans.config import GEN_1, GEN_2
+from probelake.session import settings
 
 
 def statuses(df, checks, by=()):
@@ -135,3 +136,22 @@ def test_one_scan_for_all_but_uniqueness(spark, tmp_path):
     plan = quality.measure(table, checks)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 2 and "ReadSchema: struct<a:bigint,b:bigint>" in plan
     assert "ReadSchema: struct<id:bigint>" in plan and "unused" not in plan and "Cartesian" not in plan
+
+
+def test_a_large_group_is_spread_when_the_plan_is_too_large_to_broadcast(spark):
+    rows = spark.range(0, 50_000, 1, 4).select(
+        F.when(F.col("id") < 45_000, "d1").otherwise("d2").alias("day"),
+        F.col("id").alias("row_id"),
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("n"),
+    )
+    checks = [quality.unique("row_id"), complete("n", 0.9)]
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    with settings(spark, limits):
+        report = quality.report(rows, checks, ["day"])
+        clean = quality.remediate(rows, report, checks, by=["day"])
+        sizes = [r.n for r in clean.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 25_000 and max(sizes) < 25_000 / 3
