@@ -175,6 +175,18 @@ def test_an_inventory_replaces_the_listing(spark, lake):
     assert [r.dest_key[-7:] for r in ingest(spark, lake.cfg, inventory).collect()] == ["-b.json"]
 
 
+def test_source_with_the_date_deeper_in_the_key(spark, lake):
+    lake.put("archive/jsonl/2020-01-01", [measurement(1)])
+    lake.put("archive/jsonl/2020-02-01", [measurement(2)])
+    lake.put("archive/csv/2020-01-01", [measurement(3)])
+    cfg = replace(lake.cfg, source_date_index=2, prefixes=["archive/jsonl/2020-01"])
+    name = "20200101T0-BR-AS1-web_connectivity-a.json"
+    assert [r.dest_key for r in ingest(spark, cfg).collect()] == [f"2020-01-01/{name}"]
+    assert ingest(spark, cfg).isEmpty()
+    run(spark, replace(cfg, schema=None))
+    assert delivered(spark, cfg).keys() == {"m1"}
+
+
 def test_nothing_to_do(spark, lake):
     result = run(spark, lake.cfg)
     assert result.landed.isEmpty() and result.quality is None
