@@ -17,7 +17,7 @@ from probelake.operators.columns import derive, project
 from probelake.operators.dedup import deduplicate
 from probelake.plans.config import FOLDER_DATE, GEN_2, Generation, LakeConfig
 from probelake.schemas import measurement_schema, prune, trusted_fields
-from probelake.session import UTC, settings, sized_for, staged
+from probelake.session import NARROW, UTC, settings, sized_for, staged
 from probelake.sources.readers import RAW_FILES, list_objects, read
 from probelake.sources.sinks import append_table, write_partitioned
 
@@ -100,8 +100,8 @@ def build_trusted(spark: SparkSession, cfg: LakeConfig, run_id: str | None = Non
     by = [FOLDER_DATE] if generation.per_folder else []
     with (
         settings(spark, UTC),
-        sized_for(spark, raw_bytes),
-        staged(transform(read_raw(spark, cfg), generation, cfg.null_keys), "trusted") as rows,
+        staged(transform(read_raw(spark, cfg), generation, cfg.null_keys), "trusted", raw_bytes) as rows,
+        sized_for(spark, raw_bytes, raw_bytes // NARROW),
     ):
         checked = log_quality(rows, generation, cfg.logs, run_id, by)
         decided = checked.withColumnRenamed("bucket_date", FOLDER_DATE) if by else checked

@@ -42,6 +42,7 @@ def build_session(app: str = "probelake", master: str | None = None, **conf: str
 # Input bytes per task of a wide shuffle. A gigabyte of raw JSON is some 300 MB shuffled; smaller pieces
 # of a very large input would make the number of blocks (scan tasks x shuffle tasks) the bottleneck.
 TASK_BYTES = 1024**3
+NARROW = 32  # a shuffle of keys or of rows by few partition values needs so many times fewer pieces
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
 
@@ -59,15 +60,17 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
-def sized_for(spark: SparkSession, input_bytes: int) -> AbstractContextManager[None]:
-    """Within the block, shuffles have enough partitions and scans few enough tasks for the input.
+def sized_for(
+    spark: SparkSession, scanned_bytes: int, shuffled_bytes: int
+) -> AbstractContextManager[None]:
+    """Within the block, shuffles have enough partitions and scans few enough tasks for the data.
 
     Shuffle partitions are only raised; adaptive execution merges those that turn out small. Scan tasks
     grow up to ``TASK_BYTES`` as long as every core still gets several of them.
     """
-    partitions = max(int(spark.conf.get(SHUFFLE_PARTITIONS)), math.ceil(input_bytes / TASK_BYTES))
+    partitions = max(int(spark.conf.get(SHUFFLE_PARTITIONS)), math.ceil(shuffled_bytes / TASK_BYTES))
     values = {SHUFFLE_PARTITIONS: str(partitions)}
-    per_task = input_bytes // (8 * spark.sparkContext.defaultParallelism)
+    per_task = scanned_bytes // (8 * spark.sparkContext.defaultParallelism)
     if per_task > 128 * 1024**2:
         values[SCAN_BYTES] = str(min(per_task, TASK_BYTES))
     return settings(spark, values)
@@ -100,11 +103,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """``stage`` for the time of a block; then the table is overwritten by an empty one."""
+def staged(df: DataFrame, name: str, input_bytes: int = 0) -> Iterator[DataFrame]:
+    """``stage`` for the time of a block; then the table is overwritten by an empty one.
+
+    The job that writes it is sized for ``input_bytes``.
+    """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     try:
-        df.write.parquet(path)
+        with sized_for(spark, input_bytes, input_bytes):
+            df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         spark.createDataFrame([], "empty int").write.mode("overwrite").parquet(path)

@@ -112,9 +112,9 @@ def test_sizes_for_the_input(spark):
     keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
     current = lambda: [spark.conf.get(k) for k in keys]
     before = current()
-    with sized_for(spark, 1000):
+    with sized_for(spark, 1000, 1000):
         assert current() == before
-    with pytest.raises(ZeroDivisionError), sized_for(spark, 100 * 1024**4):
+    with pytest.raises(ZeroDivisionError), sized_for(spark, 100 * 1024**4, 100 * 1024**4):
         assert current() == [str(100 * 1024), str(1024**3)]
         1 / 0
     assert current() == before
