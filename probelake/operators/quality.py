@@ -203,8 +203,11 @@ def _remediate_groups(
         return df
     plan = failures(quality).groupBy(*by).agg(F.collect_set("constraint").alias("__failed"))
     salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    plan = plan.withColumn("__salt", F.explode(salts))
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*checked), F.lit(SALTS)))
+    plan = plan.select(
+        *[F.col(b).alias(f"__{b}") for b in by], "__failed", F.explode(salts).alias("__salt")
+    )
+    same_group = [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by]
+    salt = F.pmod(F.xxhash64(*checked), F.lit(SALTS))
     whitelists = _whitelists(constraints)
     keep = F.lit(True)
     for constraint in constraints:
@@ -214,4 +217,4 @@ def _remediate_groups(
                 bad = bad | ~F.col(column).isin(*whitelists[column])
             failed = F.coalesce(F.array_contains("__failed", constraint.text), F.lit(False))
             keep = keep & ~(failed & bad)
-    return salted.join(plan, [*by, "__salt"], "left").where(keep).select(*df.columns)
+    return df.join(plan, [*same_group, salt == F.col("__salt")], "left").where(keep).select(*df.columns)

@@ -107,12 +107,13 @@ def test_column_match(table):
 
 
 def test_groups_are_repaired_by_themselves(spark):
-    rows = [("d1", "BR", "a"), ("d1", "FR", "b"), ("d1", None, "c"), ("d2", "BR", "d"), ("d2", None, "e")]
+    rows = [("d1", "BR", "a"), ("d1", "FR", "b"), ("d1", None, "c"), ("d2", "BR", "d"), ("d2", None, "e"),
+            (None, "BR", "f"), (None, "FR", "g")]
     table = spark.createDataFrame(rows, "day string, cc string, t string")
     checks = [contained("cc", ["BR"])]
     report = quality.report(table, checks, ["day"])
     clean = quality.remediate(table, report, checks, by=["day"])
-    assert {r.t for r in clean.collect()} == {"a", "d", "e"} and clean.columns == table.columns
+    assert {r.t for r in clean.collect()} == {"a", "d", "e", "f"} and clean.columns == table.columns
 
 
 @pytest.mark.parametrize("by", [[], ["day"]])
