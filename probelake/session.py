@@ -23,6 +23,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Keeps the sizes of large blocks exact in shuffles of more than 2000 partitions.
+    "spark.shuffle.accurateBlockSkewedFactor": "5",
     # Page bodies are most of every row; zstd moves and stores a good third less than the defaults.
     "spark.io.compression.codec": "zstd",
     "spark.sql.parquet.compression.codec": "zstd",

@@ -10,8 +10,14 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
+from probelake.session import SHUFFLE_PARTITIONS
+
 COPY_BLOCK = 8 * 1024 * 1024
 
+# Up to this many shuffle partitions Spark keeps the size of every block. Beyond, it keeps averages, and
+# adaptive execution does not see, and does not split, a partition that holds most of the rows.
+EXACT_SIZES = 2000
+
 
 def write_partitioned(
     df: DataFrame,
@@ -32,7 +38,8 @@ def write_partitioned(
     if overwrite not in ("dynamic", "static"):
         raise ValueError(f"overwrite must be dynamic or static, not {overwrite!r}")
     if rebalance:
-        df = df.hint("rebalance", *partition_by)
+        pieces = min(int(df.sparkSession.conf.get(SHUFFLE_PARTITIONS)), EXACT_SIZES)
+        df = df.hint("rebalance", pieces, *partition_by)
     (
         df.write.partitionBy(*partition_by)
         .mode(mode)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from probelake.operators.columns import add_literal, derive, drop_columns, project, rename_columns
 from probelake.operators.filters import drop_null_rows, whitelist
-from probelake.session import shared_dir, sized_for, stage, staged
+from probelake.session import settings, shared_dir, sized_for, stage, staged
 from probelake.sources import catalog
 from probelake.sources.sinks import append_table, write_partitioned
 
@@ -56,19 +56,19 @@ def test_append(spark, table, tmp_path):
     assert spark.read.parquet(path).count() == 6
 
 
-def test_large_partition_is_split_and_small_ones_get_one_file(spark, tmp_path):
+@pytest.mark.parametrize("partitions", [4, 3200])
+def test_large_partition_is_split_and_small_ones_get_one_file(spark, tmp_path, partitions):
     """Most rows have one date; it is written by many tasks."""
     rows = spark.range(0, 300_000, 1, 8).select(
         F.expr("uuid()").alias("text"),
         F.when(F.col("id") < 290_000, "2020-01-01").otherwise(F.lit("2020-01-02")).alias("day"),
     )
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size)
-    spark.conf.set(size, "1m")
-    try:
+    sizes = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+    with settings(spark, sizes):
         write_partitioned(rows, str(tmp_path / "t"), ["day"])
-    finally:
-        spark.conf.set(size, before)
     files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "t").glob("day=*")}
     assert files["day=2020-01-01"] >= 4 and files["day=2020-01-02"] <= 2
     assert spark.read.parquet(str(tmp_path / "t")).count() == 300_000
