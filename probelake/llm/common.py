@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Texts are handed to Python in pieces of about so many characters, whatever the number of rows in a batch.
 PIECE_CHARS = 4_000_000
@@ -38,7 +39,7 @@ def importable(spark: SparkSession) -> None:
 
 
 def map_texts(
-    df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
+    df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """Apply ``work`` to slices of the Arrow batches of ``df``; each slice is freed before the next."""
 

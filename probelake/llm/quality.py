@@ -210,15 +210,14 @@ def fit(rows: DataFrame) -> DataFrame:
     )
     now = stage(_estimates(whole).unionByName(robust), "mcd-start")
     for _ in range(STEPS):
-        near = rows.join(now, "g")
-        bucket = F.floor(F.log2(distance() + 1e-9) * BUCKETS_PER_DOUBLING)
-        near = near.withColumn("bucket", bucket)
-        counts = near.groupBy("g", "start", "size", "bucket").agg(F.count("*").alias("n"))
+        bucket = F.floor(F.log2(distance() + 1e-9) * BUCKETS_PER_DOUBLING).alias("bucket")
+        counts = rows.join(now, "g").groupBy("g", "start", "size", bucket).agg(F.count("*").alias("n"))
         running = Window.partitionBy("g", "start").orderBy("bucket")
         enough = F.sum("n").over(running) >= F.ceil(F.col("size") * KEEP)
         cut = counts.withColumn("enough", enough).where("enough").groupBy("g", "start")
         cut = cut.agg(F.min("bucket").alias("cut"))
-        inner = near.join(cut, ["g", "start"]).where(F.col("bucket") <= F.col("cut"))
+        bounded = stage(now.join(cut, ["g", "start"]), "mcd-bounds")  # a few rows: the rows themselves don't move
+        inner = rows.join(bounded, "g").where(bucket <= F.col("cut"))
         now = stage(_estimates(_sums(inner, ["g", "start", "size"], consistency())), "mcd-step")
     best = now.groupBy("g").agg(F.min_by(F.struct("centre", "precision"), F.struct("log_det", "start")).alias("e"))
     return best.select("g", "e.centre", "e.precision")

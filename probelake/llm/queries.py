@@ -4,18 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from probelake.llm.common import documents
+from probelake.llm.packing import pack
 from probelake.llm.quality import quality_rules
+from probelake.llm.secrets import find_secrets
+from probelake.llm.transducer import token_counts
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(documents(spark, sf_dir))
+    return found.withColumn("base_sha256", F.sha2(F.col("base_spans").cast("binary"), 256)).drop("base_spans")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), with_ids=False).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_token_counts": op3_token_counts,
+    "op5_secret_scan": op5_secret_scan,
+    "op8_packing": op8_packing,
 }
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.
