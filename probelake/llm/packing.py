@@ -7,14 +7,20 @@ drawn from one bucket. Nothing is shuffled: pieces depend on their document only
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from probelake.llm.common import map_texts, record, texts
+from probelake.llm.transducer import PRE_TOKEN, UNSTABLE, byte_alphabet
 from probelake.llm.units import Memory
 
 LONGEST = 2048
@@ -33,15 +39,37 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Memory:
-    """Ids of words as little-endian unsigned 32-bit numbers."""
-    from tokenizers import Tokenizer
+    """Ids of words as little-endian unsigned 32-bit numbers.
 
+    Where ids follow the order of merges, as in most files, a vocabulary is its own list of ranks, and the faster
+    of two libraries encodes words; what they could see differently (special strings, characters of recent Unicode
+    versions) always goes to ``tokenizers``.
+    """
     encode = Tokenizer.from_file(path).encode
-    return Memory(
-        lambda unit: b"".join(
-            i.to_bytes(4, "little") for i in encode(unit, add_special_tokens=False).ids
-        )
-    )
+    plain, doubtful = ranked(path)
+
+    def ids(unit: str) -> bytes:
+        if plain is None or doubtful.search(unit):
+            numbers = encode(unit, add_special_tokens=False).ids
+        else:
+            numbers = plain.encode_ordinary(unit)
+        return array("I", numbers).tobytes()
+
+    return Memory(ids)
+
+
+def ranked(path: str) -> tuple[tiktoken.Encoding | None, re.Pattern]:
+    """The vocabulary as ranks (None if its ids are not in the order of merges), and what it is not used for."""
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    special = [t["content"] for t in parts["added_tokens"]]
+    doubtful = re.compile("|".join([UNSTABLE.pattern, *map(re.escape, special)]))
+    alphabet, vocab = byte_alphabet(), parts["model"]["vocab"]
+    merges = [m if isinstance(m, str) else " ".join(m) for m in parts["model"]["merges"]]
+    if [vocab.get(m.replace(" ", "")) for m in merges] != list(range(256, 256 + len(merges))):
+        return None, doubtful
+    ranks = {bytes(map(alphabet.__getitem__, t)): i for t, i in vocab.items() if i < 256 + len(merges)}
+    return tiktoken.Encoding("ranked", pat_str=PRE_TOKEN.pattern, mergeable_ranks=ranks, special_tokens={}), doubtful
 
 
 def lengths(n: int, longest: int = LONGEST) -> list[int]:

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probelake.llm.common import documents
+from probelake.llm.language import identify
 from probelake.llm.packing import pack
 from probelake.llm.quality import quality_rules
 from probelake.llm.secrets import find_secrets
+from probelake.llm.toxicity import score, train
 from probelake.llm.transducer import token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,15 +32,26 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("base_sha256", F.sha2(F.col("base_spans").cast("binary"), 256)).drop("base_spans")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), with_ids=False).drop("ids")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_token_counts": op3_token_counts,
     "op5_secret_scan": op5_secret_scan,
+    "op6_toxicity": op6_toxicity,
     "op8_packing": op8_packing,
+    "op9_language_id": op9_language_id,
 }
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.
