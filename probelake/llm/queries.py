@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probelake.llm.common import documents
+from probelake.llm.decontamination import find_leaks
 from probelake.llm.language import identify
 from probelake.llm.packing import pack
 from probelake.llm.quality import quality_rules
@@ -37,6 +38,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), with_ids=False).drop("ids")
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op5_secret_scan": op5_secret_scan,
     "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
 }

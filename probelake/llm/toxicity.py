@@ -33,7 +33,7 @@ LEAST_DOCS = 5
 #: Least log-likelihood ratio of a feature; among a million that mean nothing hardly one gets there by chance.
 LEAST_GAIN = 14.0
 #: A voter has at least this share of class 1 among the documents it fires on.
-LEAST_PRECISION = 0.5
+LEAST_PRECISION = 0.7
 ROUNDS = 30
 RIDGE = 0.5
 THRESHOLD = 0.3
