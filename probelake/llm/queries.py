@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from probelake.llm.common import documents
 from probelake.llm.decontamination import find_leaks
+from probelake.llm.jaccard import connected
 from probelake.llm.language import identify
 from probelake.llm.packing import pack
 from probelake.llm.quality import quality_rules
@@ -50,6 +51,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return connected(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_token_counts": op3_token_counts,
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.
