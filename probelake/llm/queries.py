@@ -14,6 +14,7 @@ from probelake.llm.jaccard import connected
 from probelake.llm.language import identify
 from probelake.llm.packing import pack
 from probelake.llm.quality import quality_rules
+from probelake.llm import sharding
 from probelake.llm.secrets import find_secrets
 from probelake.llm.toxicity import score, train
 from probelake.llm.transducer import token_counts
@@ -21,6 +22,10 @@ from probelake.llm.transducer import token_counts
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(documents(spark, sf_dir).select("doc_id"), sharding.shard_names())
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -56,6 +61,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
     "op3_token_counts": op3_token_counts,
     "op5_secret_scan": op5_secret_scan,
@@ -67,4 +73,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_sharding": sharding.ORACLE}
