@@ -434,3 +434,21 @@ def connected(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
     mine = mine.join(least, "root", "left")
     own = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return mine.select("doc_id", "row", "n_shingles", own.alias("component_id"), "root")
+
+
+def without_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The documents, all columns, with one document of each group of linked ones: that with the smallest id.
+
+    Documents with an empty set are in no group and stay; of rows that are equal in id and text one stays.
+    """
+    found = connected(docs, width, percent)
+    of, row = "__row", "__keep"
+    while {of, row} & {c.lower() for c in docs.columns}:
+        of, row = f"_{of}", f"_{row}"
+    grouped = F.coalesce(F.col("root"), F.col("row"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    kept = found.groupBy(grouped).agg(F.min_by("row", order).alias(row)).select(row).distinct()
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.withColumn(of, F.xxhash64(doc_id, "text")).join(kept, F.col(of) == F.col(row), "left_semi")
+    first = F.row_number().over(Window.partitionBy(of).orderBy(F.lit(0)))
+    return rows.withColumn(row, first).where(F.col(row) == 1).drop(of, row)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from probelake.llm.common import documents
 from probelake.llm.decontamination import find_leaks
+from probelake.llm.html import extract
 from probelake.llm.jaccard import connected
 from probelake.llm.language import identify
 from probelake.llm.packing import pack
@@ -34,6 +35,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(documents(spark, sf_dir))
     return found.withColumn("base_sha256", F.sha2(F.col("base_spans").cast("binary"), 256)).drop("base_spans")
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
     "op3_token_counts": op3_token_counts,
+    "op4_html_extraction": op4_html_extraction,
     "op5_secret_scan": op5_secret_scan,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
