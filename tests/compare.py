@@ -61,7 +61,7 @@ def main() -> int:
     from probelake.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     conf = {"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
     spark = build_session("compare", "local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
