@@ -10,7 +10,8 @@ right; the most common ones come last, so that passages which many documents sha
 block over ``TILE`` nodes is cut by size and hash, and each pair of its tiles goes to a task of its own. In a task
 an R-tree over the points, packed by size and widest coordinate, is joined with itself: pairs of boxes whose upper
 corners don't share enough are left, and the points of the remaining leaves bounded one by one. Survivors are
-verified on the whole sets, which are made again from the texts of the nodes concerned only.
+bounded again by counts in more groups, about one for ``PER_GROUP`` shingles, as random sets of many shingles are
+alike in few groups; then they are verified on the whole sets, made again from the texts concerned.
 
 Blocks of more than ``SMALL`` nodes would give all pairs of a group of near copies. They are first joined along
 their sizes and to their first node; what that leaves in different components is then searched in full, as a
@@ -36,6 +37,7 @@ WIDTH = 5
 #: The least similarity, in percent.
 PERCENT = 80
 GROUPS = 64
+PER_GROUP = 4
 #: The order of shingles puts so many of the most common last, counted where a piece of the corpus has several.
 COMMON = 65_536
 SEVERAL = 4
@@ -81,17 +83,30 @@ def node_of(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.md5(shingles.tobytes()).digest()[:8], "little", signed=True)
 
 
-def counted(shingles: np.ndarray) -> bytes:
-    """How many shingles fall in each group: bytes, or 32-bit numbers if one is over 255."""
-    counts = np.bincount((shingles >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS)
-    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.int32).tobytes()
+def counted(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
+    """How many shingles fall in each group, as 32-bit numbers after a 0, or as bytes after a 1 if all fit."""
+    counts = np.bincount(((shingles >> np.uint64(32)) % np.uint64(groups)).astype(np.int64), minlength=groups)
+    return b"\1" + counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"\0" + counts.astype("<i4").tobytes()
+
+
+def fine_groups(n: int) -> int:
+    """Groups of a finer count: a power of two, so that about ``PER_GROUP`` of n shingles fall in each."""
+    return max(GROUPS, 1 << (n // PER_GROUP).bit_length())
+
+
+def point(vector: bytes) -> np.ndarray:
+    return np.frombuffer(vector, np.uint8 if vector[0] else "<i4", offset=1)
 
 
 def points(vectors: list[bytes]) -> np.ndarray:
-    out = np.empty((len(vectors), GROUPS), np.int32)
-    for i, v in enumerate(vectors):
-        out[i] = np.frombuffer(v, np.uint8 if len(v) == GROUPS else np.int32)
-    return out
+    return np.stack([point(v).astype(np.int32) for v in vectors])
+
+
+def most_shared(a: bytes, b: bytes) -> int:
+    """What two sets share at most by their finer counts; the one with more groups is folded."""
+    x, y = sorted((point(a), point(b)), key=len)
+    y = y.reshape(-1, len(x)).sum(0, dtype=np.int64) if len(y) > len(x) else y
+    return int(np.minimum(x, y).sum(dtype=np.int64))
 
 
 def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
@@ -111,10 +126,11 @@ PROFILE = [
     ("node", pa.int64()),
     ("n", pa.int64()),
     ("counts", pa.binary()),
+    ("fine", pa.binary()),
     ("shingle", pa.int64()),
     ("documents", pa.int64()),
 ]
-PROFILE_SCHEMA = "doc_id long, row long, node long, n long, counts binary, shingle long, documents long"
+PROFILE_SCHEMA = "doc_id long, row long, node long, n long, counts binary, fine binary, shingle long, documents long"
 
 
 def _profile(piece: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
@@ -128,6 +144,7 @@ def _profile(piece: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
         [node_of(s) if ok else None for s, ok in zip(sets, some)],
         [len(s) for s in sets],
         [counted(s) if ok else None for s, ok in zip(sets, some)],
+        [counted(s, fine_groups(len(s))) if ok else None for s, ok in zip(sets, some)],
     ]
     none = [None] * piece.num_rows
     yield record(PROFILE, [*mine, none, none])
@@ -135,7 +152,7 @@ def _profile(piece: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
     shared, times = shared[times >= SEVERAL], times[times >= SEVERAL]
     if len(shared):
         none = [None] * len(shared)
-        yield record(PROFILE, [none, none, none, none, none, shared.view(np.int64), times])
+        yield record(PROFILE, [none, none, none, none, none, none, shared.view(np.int64), times])
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, common: np.ndarray):
@@ -258,11 +275,11 @@ def _joined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """The pairs whose points allow for enough shared shingles."""
+    """The pairs whose sizes and finer counts allow for enough shared shingles."""
     for batch in batches:
         n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
-        share = np.minimum(*(points(batch.column(c).to_pylist()) for c in ("counts", "other_counts"))).sum(1)
-        ok = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (share >= needed(n + m, percent))
+        share = [most_shared(x, y) for x, y in zip(*(batch.column(c).to_pylist() for c in ("fine", "other_fine")))]
+        ok = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (np.array(share) >= needed(n + m, percent))
         yield batch.select(["a", "b"]).filter(pa.array(ok))
 
 
@@ -323,18 +340,19 @@ def _common(profile: DataFrame) -> np.ndarray:
 
 
 def _blocks(prefixes: DataFrame) -> DataFrame:
-    """(key, node, n) of the keys that several nodes have; of blocks with the same nodes one is left."""
-    rows = prefixes.where(~F.col("common")).drop("common")
-    key = Window.partitionBy("key")
+    """(key, node, n) of the keys that several nodes have; of blocks with the same nodes one is left.
+
+    Blocks of common shingles are not bounded in size: their rows are spread and pass every test.
+    """
+    spread = F.when(F.col("common"), F.pmod(F.xxhash64("node"), F.lit(1 << 20))).otherwise(-1)
+    key = Window.partitionBy("key", "spread")
+    rows = prefixes.withColumn("spread", spread)
     rows = rows.withColumns({"least": F.min("node").over(key), "most": F.max("node").over(key)})
-    rows = rows.where("least <> most").drop("least", "most").dropDuplicates(["key", "node"])
-    rows = rows.withColumns(
-        {"size": F.count("*").over(key), "sum": F.sum(F.xxhash64("node").cast("decimal(38,0)")).over(key)}
-    )
-    rows = rows.withColumn("first", F.min("key").over(Window.partitionBy("size", "sum"))).where("key = first")
-    # The common ones are not bounded in size, so no window runs over them.
-    common = prefixes.where("common").drop("common").dropDuplicates(["key", "node"])
-    return rows.select("key", "node", "n").unionByName(common)
+    rows = rows.where("common or least <> most").dropDuplicates(["key", "spread", "node"])
+    hashed = F.xxhash64("node").cast("decimal(38,0)")
+    rows = rows.withColumns({"size": F.count("*").over(key), "sum": F.sum(hashed).over(key)})
+    alike = Window.partitionBy("size", "sum", F.when(F.col("common"), F.xxhash64("key", "node")))
+    return rows.withColumn("first", F.min("key").over(alike)).where("key = first").select("key", "node", "n")
 
 
 def _tiled(blocks: DataFrame, percent: int) -> DataFrame:
@@ -373,6 +391,11 @@ def _searched(units: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(lambda batches: _joined(batches, percent), PAIRS_SCHEMA).distinct()
 
 
+def _bounded_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    both = _with_both(pairs, nodes, {"n": "m", "fine": "other_fine"})
+    return stage(both.mapInArrow(lambda batches: _bounded(batches, percent), PAIRS_SCHEMA), "jaccard-pairs")
+
+
 def _connected(profile: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, root) of all nodes that are similar to another one."""
     common = rows.sparkSession.sparkContext.broadcast(_common(profile))
@@ -381,7 +404,7 @@ def _connected(profile: DataFrame, rows: DataFrame, width: int, percent: int) ->
     prefixes = texts_only.mapInArrow(lambda batches: _prefixes(batches, width, percent, common.value), schema)
     blocks = stage(_tiled(_blocks(prefixes), percent), "jaccard-blocks")
     nodes = profile.where(F.col("node").isNotNull()).groupBy("node")
-    nodes = stage(nodes.agg(F.min(F.struct("row", "n", "counts")).alias("of")).select("node", "of.*"), "jaccard-nodes")
+    nodes = stage(nodes.agg(F.min(F.struct("row", "n", "counts", "fine")).alias("of")).select("node", "of.*"), "jaccard-nodes")
 
     small = blocks.where(F.col("total") <= SMALL)
     units = small.select(F.col("key").alias("unit"), F.lit(2).alias("part"), "node", "n", F.col("node").alias("root"))
@@ -390,29 +413,28 @@ def _connected(profile: DataFrame, rows: DataFrame, width: int, percent: int) ->
     along = large.select("node", F.lag("node").over(tile.orderBy("n", "node")).alias("other"))
     to_first = large.select("node", F.min("node").over(tile).alias("other"))
     pairs = along.unionByName(to_first).where(F.col("other").isNotNull() & (F.col("node") != F.col("other")))
-    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    pairs = _with_both(pairs, nodes, {"n": "m", "counts": "other_counts"})
-    pairs = pairs.mapInArrow(lambda batches: _bounded(batches, percent), PAIRS_SCHEMA)
-    pairs = stage(_searched(units, nodes, percent).unionByName(pairs).distinct(), "jaccard-pairs")
-
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
-    wanted = involved.join(nodes, "node").select(F.col("row").alias("wanted"))
-    chosen = rows.join(wanted, F.col("row") == F.col("wanted"), "left_semi").dropDuplicates(["row"])
-    sets = stage(map_texts(chosen.select("text"), lambda p: _sets(p, width), "node long, shingles binary"), "jaccard-sets")
-
-    def verified(candidates: DataFrame) -> DataFrame:
-        both = _with_both(candidates, sets, {"shingles": "other_shingles"})
-        return both.mapInArrow(lambda batches: _verified(batches, percent), PAIRS_SCHEMA)
-
-    links = stage(verified(pairs), "jaccard-links")
+    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    pairs = _bounded_pairs(pairs.unionByName(_searched(units, nodes, percent)).distinct(), nodes, percent)
+
+    def verified(candidates: DataFrame, name: str) -> DataFrame:
+        """The candidates that are similar, by the sets of the texts that they concern."""
+        involved = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = involved.join(nodes, "node").select(F.col("row").alias("wanted"))
+        chosen = rows.join(wanted, F.col("row") == F.col("wanted"), "left_semi").dropDuplicates(["row"])
+        sets = map_texts(chosen.select("text"), lambda p: _sets(p, width), "node long, shingles binary")
+        both = _with_both(candidates, stage(sets, f"{name}-sets"), {"shingles": "other_shingles"})
+        return stage(both.mapInArrow(lambda batches: _verified(batches, percent), PAIRS_SCHEMA), f"{name}-links")
+
+    links = verified(pairs, "jaccard")
     roots = components(links)
     left = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = left.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
     left = stage(left.join(apart, "key"), "jaccard-apart")
-    if left.isEmpty():
-        return roots
     more = _searched(_units(left), nodes, percent).join(pairs, ["a", "b"], "left_anti")
-    return components(links.unionByName(stage(verified(more), "jaccard-more")))
+    more = _bounded_pairs(more, nodes, percent)
+    if more.isEmpty():
+        return roots
+    return components(links.unionByName(verified(more, "jaccard-more")))
 
 
 def connected(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
