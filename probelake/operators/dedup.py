@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from probelake.session import stage
+
+# Keys that occur more than once are sent to every executor up to this number; a key is some 100 bytes.
+FEW_KEYS = 200_000
+
 
 def deduplicate(
     df: DataFrame,
@@ -18,23 +23,57 @@ def deduplicate(
 ) -> DataFrame:
     """Keep one row per ``key`` (per value of the ``within`` columns, if given).
 
-    ``keep="first"`` keeps the first row by ``order_by``, then by content, so that a recomputed
-    partition gives the same survivor; ``"arbitrary"`` keeps any. ``null_keys="collapse"`` treats NULL
-    as one more key, ``"keep"`` leaves all rows without a key in place.
+    ``keep="first"`` keeps the first row by ``order_by`` (columns by name: NULLs last, so that a copy whose
+    value is broken does not win), then by content, so that a recomputed partition gives the same survivor;
+    ``"arbitrary"`` keeps any. ``null_keys="collapse"`` treats NULL as one more key, ``"keep"`` leaves all
+    rows without a key in place.
 
     Both ways reduce each key to one row per task before the shuffle, so that a key with very many
     copies sends few rows to the task that owns it.
     """
-    if null_keys == "keep":
-        with_key = deduplicate(df.where(F.col(key).isNotNull()), key, keep, order_by, within)
-        return df.where(F.col(key).isNull()).unionByName(with_key)
-    if null_keys != "collapse":
+    if null_keys not in ("collapse", "keep"):
         raise ValueError(f"null_keys must be collapse or keep, not {null_keys!r}")
-    if keep == "arbitrary":
-        return df.dropDuplicates([*within, key])
-    if keep != "first":
+    if keep not in ("first", "arbitrary"):
         raise ValueError(f"keep must be first or arbitrary, not {keep!r}")
-    rank = "__rank"
+    rank, own = "__rank", "__own"
+    keys, rows = [*within, key], df
+    if null_keys == "keep":
+        # A row without a key is a copy of none: it gets a number of its own as one more part of the key.
+        number = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+        keys, rows = [*keys, own], df.withColumn(own, number)
+    if keep == "arbitrary":
+        return rows.dropDuplicates(keys).drop(own)
     content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    copies = Window.partitionBy(*within, key).orderBy(*order_by, content)
-    return df.withColumn(rank, F.row_number().over(copies)).where(F.col(rank) == 1).drop(rank)
+    order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
+    copies = Window.partitionBy(*keys).orderBy(*order, content)
+    return rows.withColumn(rank, F.row_number().over(copies)).where(F.col(rank) == 1).drop(rank, own)
+
+
+def deduplicate_stored(
+    df: DataFrame,
+    key: str = "row_id",
+    keep: str = "first",
+    order_by: Sequence[Column | str] = (),
+    within: Sequence[str] = (),
+    null_keys: str = "collapse",
+    few_keys: int = FEW_KEYS,
+) -> DataFrame:
+    """The same rows as ``deduplicate`` for a table that is stored and can be read several times.
+
+    The keys are counted first, from the key columns alone. Rows whose key occurs once then pass without a
+    shuffle; only those of the keys that occur more often are compared. If these keys are more than
+    ``few_keys``, all rows are compared as in ``deduplicate``.
+    """
+    keys = [*within, key]
+    named = df if null_keys == "collapse" else df.where(F.col(key).isNotNull())
+    counts = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1")
+    repeated = stage(counts.select(*[F.col(c).alias(f"__{c}") for c in keys]), "repeated")
+    n = repeated.count()
+    if n == 0:
+        return df
+    if n > few_keys:
+        return deduplicate(df, key, keep, order_by, within, null_keys)
+    few = F.broadcast(repeated)
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys]
+    copies = deduplicate(df.join(few, same, "left_semi"), key, keep, order_by, within, null_keys)
+    return df.join(few, same, "left_anti").unionByName(copies)

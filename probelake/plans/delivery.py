@@ -10,6 +10,7 @@ from probelake.functions.nested import drop_nulls, field_of_each, first_body
 from probelake.functions.text import meta_title, network_location, page_title
 from probelake.operators.columns import derive, drop_columns
 from probelake.plans.config import GEN_2, Generation, LakeConfig
+from probelake.plans.trusted import trusted_schema
 from probelake.sources.readers import table_or_none
 from probelake.sources.sinks import write_partitioned
 
@@ -36,9 +37,11 @@ def enrich(trusted: DataFrame, generation: Generation = GEN_2) -> DataFrame:
 def build_delivery(spark: SparkSession, cfg: LakeConfig) -> bool:
     """Rebuild the delivery table; False, and nothing done, if there is no trusted table yet.
 
+    A trusted table without rows gives a delivery table without rows.
+
     The trusted table is stored by date, so scan tasks hold few dates each and write without a shuffle.
     """
-    trusted = table_or_none(spark, cfg.trusted)
+    trusted = table_or_none(spark, cfg.trusted, trusted_schema(spark, cfg.generation))
     if trusted is None:
         return False
     rows = enrich(trusted, cfg.generation)

@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from probelake import fixed
 from probelake.functions.casts import row_key, to_date, to_timestamp
@@ -14,12 +15,12 @@ from probelake.functions.nested import first_element
 from probelake.functions.text import ip_flag, url_flag
 from probelake.operators import quality
 from probelake.operators.columns import derive, project
-from probelake.operators.dedup import deduplicate
+from probelake.operators.dedup import deduplicate, deduplicate_stored
 from probelake.plans.config import FOLDER_DATE, GEN_2, Generation, LakeConfig
 from probelake.schemas import measurement_schema, prune, trusted_fields
 from probelake.session import NARROW, UTC, settings, sized_for, staged
 from probelake.sources.readers import RAW_FILES, list_objects, read
-from probelake.sources.sinks import append_table, write_partitioned
+from probelake.sources.sinks import empty_partitions, write_partitioned
 
 # Copies of a measurement differ, if at all, in when and by which report they were sent.
 SURVIVOR_ORDER = ("test_start_time", "report_id")
@@ -55,6 +56,12 @@ def transform(
     return deduplicate(rows, "row_id", keep, SURVIVOR_ORDER, within, null_keys)
 
 
+def trusted_schema(spark: SparkSession, generation: Generation = GEN_2) -> StructType:
+    """Columns of the trusted table."""
+    empty = spark.createDataFrame([], prune(measurement_schema(), trusted_fields()))
+    return shape(empty, generation).schema
+
+
 def read_raw(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     """Scan of the raw folder that parses only what the trusted table needs.
 
@@ -74,41 +81,55 @@ def new_run_id() -> str:
 def log_quality(
     rows: DataFrame, generation: Generation, path: str, run_id: str, by: list[str]
 ) -> DataFrame:
-    """Check ``rows``, append the report to the log and return this run's part of the log."""
+    """Check ``rows``, add the report to the log and return this run's part of the log.
+
+    A run that is repeated under its id replaces its own report, so decisions never mix two reports.
+    """
     if not re.fullmatch(r"[\w.-]+", run_id):
         raise ValueError(f"run_id is used as a folder name: {run_id!r}")
     checked = quality.report(rows, generation.constraints, by)
     if by:
         checked = checked.withColumnRenamed(by[0], "bucket_date")
-    append_table(checked.withColumn("run_id", F.lit(run_id)), path, ["run_id"])
+    write_partitioned(checked.withColumn("run_id", F.lit(run_id)), path, ["run_id"], rebalance=False)
     return rows.sparkSession.read.parquet(f"{path}/run_id={run_id}")
 
 
-def build_trusted(spark: SparkSession, cfg: LakeConfig, run_id: str | None = None) -> DataFrame | None:
+def publish(rows: DataFrame, path: str, generation: Generation, dates: DataFrame) -> None:
+    """Write repaired rows to the trusted table; of ``dates`` (one column) those without rows become empty."""
+    write_partitioned(rows, path, generation.partition_by, overwrite=generation.overwrite)
+    if generation.overwrite == "dynamic":
+        empty_partitions(rows, path, dates)
+
+
+def build_trusted(
+    spark: SparkSession, cfg: LakeConfig, run_id: str | None = None, objects: DataFrame | None = None
+) -> DataFrame | None:
     """Write the trusted table from all raw files; returns the quality report of the run.
 
-    The de-duplicated rows are written to a staging table once. The checks then read a few narrow
-    columns of it, and the repaired rows go from it to the trusted table: the raw JSON is parsed, and
-    the wide rows are de-duplicated, once, whichever executors are lost. Returns None if there is
-    nothing to do.
+    The shaped rows are written to a staging table once, without a shuffle. The keys are then counted and the
+    checks made from a few narrow columns of it, and the rows that stay go from it to the trusted table: the raw
+    JSON is parsed once, and a wide row is shuffled once, to the date it is stored under, unless it has copies.
+    Returns None if there is nothing to do. ``objects`` (``path``, ``length``) replaces the listing of the raw
+    folder that the sizes of the jobs are taken from.
     """
     generation = cfg.generation
-    raw_bytes = list_objects(spark, cfg.raw, glob=RAW_FILES).agg(F.sum("length")).first()[0]
+    if objects is None:
+        objects = list_objects(spark, cfg.raw, glob=RAW_FILES)
+    raw_bytes = objects.agg(F.sum("length")).first()[0]
     if not raw_bytes:
         return None
     run_id = run_id or new_run_id()
     by = [FOLDER_DATE] if generation.per_folder else []
     with (
         settings(spark, UTC),
-        staged(transform(read_raw(spark, cfg), generation, cfg.null_keys), "trusted", raw_bytes) as rows,
+        staged(shape(read_raw(spark, cfg), generation), "trusted", raw_bytes) as shaped,
         sized_for(spark, raw_bytes, raw_bytes // NARROW),
     ):
+        rows = deduplicate_stored(shaped, "row_id", "first", SURVIVOR_ORDER, by, cfg.null_keys)
         checked = log_quality(rows, generation, cfg.logs, run_id, by)
         decided = checked.withColumnRenamed("bucket_date", FOLDER_DATE) if by else checked
         clean = quality.remediate(
             rows, decided, generation.constraints, generation.droppable, by, cfg.substring_match
         )
-        write_partitioned(
-            clean.drop(FOLDER_DATE), cfg.trusted, generation.partition_by, overwrite=generation.overwrite
-        )
+        publish(clean.drop(FOLDER_DATE), cfg.trusted, generation, shaped.select("bucket_date"))
     return checked

@@ -27,8 +27,8 @@ def create_table(
 
 
 def repair(spark: SparkSession, name: str) -> None:
-    """Register partitions that jobs wrote as folders."""
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    """Register partitions that jobs wrote as folders, and forget those whose folders are gone."""
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
 def delivery_table(spark: SparkSession, name: str, location: str) -> None:

@@ -70,12 +70,20 @@ def read_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
-def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None if nothing has been written there."""
+def table_or_none(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if nothing has been written there.
+
+    A table that was written without any row has no file to take columns from; with ``schema`` it is an empty
+    table, without it is None as well.
+    """
     try:
         return read_table(spark, path)
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None if schema is None else spark.read.schema(schema).parquet(path)
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 

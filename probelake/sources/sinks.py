@@ -9,8 +9,10 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from probelake.session import SHUFFLE_PARTITIONS
+from probelake.sources.readers import table_or_none
 
 COPY_BLOCK = 8 * 1024 * 1024
 
@@ -48,6 +50,26 @@ def write_partitioned(
     )
 
 
+def empty_partitions(written: DataFrame, path: str, dates: DataFrame) -> None:
+    """Empty the partitions of a table for the values of ``dates`` (one column) that ``written`` has no row for.
+
+    A dynamic overwrite leaves a partition alone that gets no rows; here its files are replaced by one
+    without rows. At most the values of one run come to the driver.
+    """
+    spark, column = written.sparkSession, dates.columns[0]
+    table = table_or_none(spark, path)
+    if table is None:
+        return
+    now = written.select(F.col(column).alias("__now")).distinct()
+    gone = dates.distinct().join(now, F.col(column).eqNullSafe(F.col("__now")), "left_anti")
+    gone = gone.select(F.col(column).alias("__gone"))
+    there = table.select(column).distinct().join(gone, F.col(column).eqNullSafe(F.col("__gone")), "left_semi")
+    empty = spark.createDataFrame([], table.drop(column).schema)
+    for row in there.collect():
+        value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
+        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={value}")
+
+
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.partitionBy(*partition_by).mode("append").parquet(path)
 
