@@ -1,8 +1,8 @@
 """Language identification: words first, then shorter and shorter pieces of unseen words.
 
 Words are counted per language over all documents to learn from, and the n-grams of the counted words up to
-``ORDER`` characters. Of both the most frequent are kept, ``ENTRIES`` in all, so the model has a size that does
-not grow with the corpus and can be sent to every worker. A known word adds its log frequency in each language;
+``ORDER`` characters. Of both the most frequent are kept, at most ``ENTRIES`` in all (equally frequent ones all or
+none), so the model has a size that does not grow with the corpus and can be sent to every worker. A known word adds its log frequency in each language;
 an unseen one the log frequencies of the longest known n-grams that begin at its characters.
 """
 
@@ -26,7 +26,7 @@ ORDER = 5
 #: Words and n-grams that the model keeps, over all languages; and languages, the most frequent ones.
 ENTRIES = 300_000
 LANGUAGES = 200
-#: Words that a task counts before it passes its counts on; token vectors that a worker remembers.
+#: Words that a task counts before it passes its counts on; pieces of text that a worker remembers.
 COUNTED = 400_000
 REMEMBERED = 300_000
 UNKNOWN = "und"
@@ -38,11 +38,6 @@ def words_of(token: str) -> list[str]:
     return WORD.findall(token.lower())
 
 
-def grams_of(word: str, order: int) -> list[str]:
-    padded = f" {word} "
-    return [padded[i : i + order] for i in range(len(padded) - order + 1)]
-
-
 def _flushed(counts: dict[str, Counter]) -> pa.RecordBatch:
     words: Counter = Counter()
     for lang, tokens in counts.items():
@@ -68,64 +63,62 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [("lang", pa.string()), ("size", pa.int32()), ("gram", pa.string()), ("n", pa.int64())]
     for batch in batches:
-        grams: Counter = Counter()
+        counts: dict[str, list[dict[str, int]]] = {}
         for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
-            for size in range(1, ORDER + 1):
-                for gram in grams_of(word, size):
-                    grams[lang, size, gram] += n
-        yield record(kinds, [*([k[i] for k in grams] for i in range(3)), grams.values()])
+            padded, end = f" {word} ", len(word) + 2
+            of = counts.get(lang) or counts.setdefault(lang, [{} for _ in range(ORDER)])
+            for size, grams in enumerate(of, 1):
+                for at in range(end - size + 1):
+                    gram = padded[at : at + size]
+                    grams[gram] = grams.get(gram, 0) + n
+        for lang, of in counts.items():
+            for size, grams in enumerate(of, 1):
+                yield record(kinds, [[lang] * len(grams), [size] * len(grams), grams, grams.values()])
 
 
 class Model:
-    """Log frequencies of words (size 0) and n-grams by language."""
-
-    def __init__(self, langs: list[str], keys: dict[tuple[int, str], int], logs: np.ndarray):
-        self.langs, self.keys, self.logs = langs, keys, logs
-        self.forget()
+    """Log frequencies of words (size 0) and n-grams by language; ``rows`` has a dictionary for each size."""
 
-    def __getstate__(self):
-        return self.langs, self.keys, self.logs
+    def __init__(self, langs: list[str], rows: list[dict[str, int]], logs: np.ndarray):
+        self.langs, self.rows, self.logs = langs, rows, logs
+        self.tokens: dict[str, tuple[int, ...]] = {}
 
-    def __setstate__(self, state):
-        self.__init__(*state)
-
-    def forget(self) -> None:
-        self.tokens: dict[str, int] = {}
-        self.vectors = np.zeros((1024, len(self.langs)))
+    def __reduce__(self):
+        return Model, (self.langs, self.rows, self.logs)
 
     def rows_of(self, word: str) -> list[int]:
         """Rows of ``logs`` that a word adds up: its own, or those of the longest known n-grams."""
-        known = self.keys.get((0, word))
+        known = self.rows[0].get(word)
         if known is not None:
             return [known]
-        padded, rows = f" {word} ", []
+        padded, found = f" {word} ", []
+        longest_first = list(enumerate(self.rows))[:0:-1]
         for at in range(len(padded) - 1):
-            for size in range(min(ORDER, len(padded) - at), 0, -1):
-                row = self.keys.get((size, padded[at : at + size]))
+            for size, rows in longest_first:
+                row = rows.get(padded[at : at + size])
                 if row is not None:
-                    rows.append(row)
+                    found.append(row)
                     break
-        return rows
+        return found
 
-    def token(self, token: str) -> int:
-        """The number of a token's vector."""
-        rows = [r for word in words_of(token) for r in self.rows_of(word)]
-        number = len(self.tokens)
-        if number == len(self.vectors):
-            self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-        self.vectors[number] = self.logs[rows].sum(0) if rows else 0.0
-        self.tokens[token] = number
-        return number
+    def token(self, token: str) -> tuple[int, ...]:
+        """Rows of a piece of text without spaces, remembered."""
+        rows = tuple(r for word in words_of(token) for r in self.rows_of(word))
+        self.tokens[token] = rows
+        return rows
 
     def predict(self, text: str) -> tuple[str, float]:
         """The language of a text and the share it gets among all languages."""
         if not self.langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         if len(self.tokens) > REMEMBERED:
-            self.forget()
-        tokens = text.split()
-        numbers = [n if (n := self.tokens.get(t)) is not None else self.token(t) for t in tokens]
-        sums = self.vectors[numbers].sum(0)
+            self.tokens.clear()
+        tokens, known = text.split(), self.tokens.get
+        rows: list[int] = []
+        for token in tokens:
+            found = known(token)
+            rows.extend(self.token(token) if found is None else found)
+        sums = self.logs[rows].sum(0) if rows else np.zeros(len(self.langs))
         best = int(sums.argmax())
         return self.langs[best], float(1 / np.exp((sums - sums[best]) / math.sqrt(len(tokens))).sum())
 
@@ -133,32 +126,38 @@ class Model:
 def train(docs: DataFrame) -> Model:
     """Learn from the documents with a language that are not held out."""
     importable(docs.sparkSession)
-    rows = docs.where(~held_out() & F.col("lang").isNotNull()).select("lang", "text")
-    counted = rows.mapInArrow(_count_words, "lang string, word string, n long")
+    learned = docs.where(~held_out() & F.col("lang").isNotNull()).select("lang", "text")
+    counted = learned.mapInArrow(_count_words, "lang string, word string, n long")
     words = stage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     langs = sorted(r.lang for r in totals.collect())
     if not langs:
-        return Model([], {}, np.zeros((0, 0)))
+        return Model([], [], np.zeros((0, 0)))
     each = ENTRIES // (len(langs) * (ORDER + 1))
     words = words.where(F.col("lang").isin(langs))
     grams = words.mapInArrow(_count_grams, "lang string, size int, gram string, n long")
     grams = grams.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
     entries = stage(words.select("lang", F.lit(0).alias("size"), F.col("word").alias("gram"), "n").unionByName(grams), "language-grams")
     sums = {(r.lang, r.size): r.n for r in entries.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
-    frequent = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram")
-    kept = entries.withColumn("rank", F.row_number().over(frequent)).where(F.col("rank") <= each)
-    kept = entries.join(kept.select("size", "gram").distinct(), ["size", "gram"], "left_semi").toArrow()
+    # The least count with which no more than ``each`` entries of a language and size are kept.
+    tally = entries.groupBy("lang", "size", "n").agg(F.count("*").alias("with_n"))
+    so_far = F.sum("with_n").over(Window.partitionBy("lang", "size").orderBy(F.desc("n")))
+    least = tally.withColumn("so_far", so_far).where(F.col("so_far") <= each)
+    least = stage(least.groupBy("lang", "size").agg(F.min("n").alias("least")), "language-least")
+    frequent = entries.join(least, ["lang", "size"]).where(F.col("n") >= F.col("least"))
+    kept = entries.join(frequent.select("size", "gram").distinct(), ["size", "gram"], "left_semi").toArrow()
     sizes, names, of, counts = (kept.column(c).to_pylist() for c in ("size", "gram", "lang", "n"))
-    keys: dict[tuple[int, str], int] = {}
-    for key in sorted(set(zip(sizes, names))):
-        keys[key] = len(keys)
-    logs = np.full((len(keys), len(langs)), 0.5)
+    rows: list[dict[str, int]] = [{} for _ in range(ORDER + 1)]
+    places = sorted(set(zip(sizes, names)))
+    for i, (size, name) in enumerate(places):
+        rows[size][name] = i
+    logs = np.full((len(places), len(langs)), 0.5)
+    number = {lang: i for i, lang in enumerate(langs)}
     for size, name, lang, n in zip(sizes, names, of, counts):
-        logs[keys[size, name], langs.index(lang)] += n
+        logs[rows[size][name], number[lang]] += n
     scale = np.array([[sums.get((lang, size), 0) + 1.0 for lang in langs] for size in range(ORDER + 1)])
-    logs = np.log(logs / scale[np.array([size for size, _ in keys], dtype=int)])
-    return Model(langs, keys, logs)
+    logs = np.log(logs / scale[np.array([size for size, _ in places], dtype=int)])
+    return Model(langs, rows, logs)
 
 
 PREDICTED = [
