@@ -16,6 +16,7 @@ from probelake.session import stage
 # many per group before the shuffle.
 ROUND_SIZE = 999
 SALTS = 16
+PART = "__part"
 
 
 def manifest(objects: DataFrame, root: str, date_index: int = 0) -> DataFrame:
@@ -70,34 +71,60 @@ def within_budget(
 
     A file is taken if it has at least ``min_mib`` and still fits next to those taken before it; one
     that does not fit is passed over and smaller ones after it may still fit. That is a sequential rule,
-    so a group is folded in rounds, each over a bounded number of its first open files. After a round
-    only later files no larger than the room left are open. The first open file always fits, so a
-    group needs at most ``limit_mib / min_mib`` rounds; nearly always one is enough, as a round of a
-    thousand files leaves less room than the smallest file needs.
+    so a group is folded in rounds, each over a bounded number of its first open files. The files lie in
+    parts by order of their keys, and before a round the leading parts that fit as a whole are taken by their
+    sums, all groups at once: a group whose files all fit is never folded. After a round only later files no
+    larger than the room left are open. The first open file always fits, so a group needs at most
+    ``limit_mib / min_mib`` rounds; nearly always one is enough, as a round of a thousand files leaves less
+    room than the smallest file needs.
     """
     if min_mib <= 0:
         raise ValueError("min_mib must be above 0: it bounds the number of files taken")
     group = list(group)
     limit = float(limit_mib)
     candidates = files.where((F.col(size) >= min_mib) & (F.col(size) <= limit))
+    candidates = candidates.repartitionByRange(*group, key).withColumn(PART, F.spark_partition_id())
+    candidates = stage(candidates, "candidates")
     open_files = candidates.withColumn("__used", F.lit(0.0))
-    taken, repeated = None, False
+    taken = candidates.limit(0).select(files.columns)
     while True:
+        whole, rest = _whole_parts(open_files, limit, group, size)
         folded = stage(
-            _fold_round(open_files, files.columns, limit, min_mib, group, key, size, round_size), "budget"
+            _fold_round(rest, files.columns, limit, min_mib, group, key, size, round_size), "budget"
         )
         chosen = folded.select(F.explode("taken").alias("file")).select(
             *[F.col("file")[c].alias(c) for c in files.columns]
         )
-        taken = chosen if taken is None else taken.unionByName(chosen)
+        taken = taken.unionByName(whole.select(files.columns)).unionByName(chosen)
         unfinished = folded.where("more")
         if unfinished.isEmpty():
             return taken
-        if not repeated:
-            candidates, repeated = stage(candidates, "candidates"), True
         open_files = _after_round(candidates, unfinished, limit, group, key, size)
 
 
+def _whole_parts(
+    open_files: DataFrame, limit: float, group: list[str], size: str
+) -> tuple[DataFrame, DataFrame]:
+    """The files of the leading parts of each group that fit as a whole, and the others with what is used then."""
+    sums = open_files.groupBy(*group, PART).agg(
+        F.sum(size).alias("__sum"), F.first("__used").alias("__before")
+    )
+    in_group = Window.partitionBy(*group)
+    total = F.col("__before") + F.sum("__sum").over(in_group.orderBy(PART))
+    parts = sums.withColumn("__total", total)
+    used = F.max(F.when(F.col("__total") <= limit, F.col("__total"))).over(in_group)
+    parts = parts.select(
+        *[F.col(g).alias(f"__{g}") for g in group],
+        F.col(PART).alias("__of"),
+        (F.col("__total") <= limit).alias("__fits"),
+        F.coalesce(used, F.col("__before")).alias("__now"),
+    )
+    same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
+    joined = open_files.join(stage(parts, "parts"), [*same, F.col(PART) == F.col("__of")])
+    rest = joined.where(~F.col("__fits")).withColumn("__used", F.col("__now"))
+    return joined.where("__fits"), rest
+
+
 def _after_round(
     candidates: DataFrame, unfinished: DataFrame, limit: float, group: list[str], key: str, size: str
 ) -> DataFrame:

@@ -16,8 +16,6 @@ COMPLETENESS = "Completeness"
 UNIQUENESS = "Uniqueness"
 CONTAINMENT = "Containment"
 
-SALTS = 64  # tasks a group of rows is spread over when it is joined with its failed constraints
-
 
 @dataclass(frozen=True)
 class Constraint:
@@ -195,26 +193,26 @@ def _remediate_groups(
 ) -> DataFrame:
     """The same decision for every group in one plan: a join with the failed constraints per group.
 
-    Spark broadcasts the few rows per group if they are small enough. Beyond that the salt spreads the
-    rows of a large group over many tasks; the rows of the plan are repeated for every salt.
+    What failed is one number per group, a bit per constraint, so decades of daily groups are a few hundred KB,
+    which Spark broadcasts by its own size check.
     """
-    checked = sorted({c.column for c in constraints if c.column})
-    if not checked:
+    if not any(c.column for c in constraints):
         return df
-    plan = failures(quality).groupBy(*by).agg(F.collect_set("constraint").alias("__failed"))
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    plan = plan.select(
-        *[F.col(b).alias(f"__{b}") for b in by], "__failed", F.explode(salts).alias("__salt")
+    if len(constraints) > 63:
+        raise ValueError("at most 63 constraints can be repaired by group")
+    bit = F.coalesce(
+        *[F.when(F.col("constraint") == c.text, F.lit(1 << i)) for i, c in enumerate(constraints)]
     )
+    plan = failures(quality).groupBy(*by).agg(F.bit_or(bit.cast("bigint")).alias("__failed"))
+    plan = plan.select(*[F.col(b).alias(f"__{b}") for b in by], "__failed")
     same_group = [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by]
-    salt = F.pmod(F.xxhash64(*checked), F.lit(SALTS))
     whitelists = _whitelists(constraints)
     keep = F.lit(True)
-    for constraint in constraints:
+    for i, constraint in enumerate(constraints):
         for column in columns_to_drop(constraint, droppable, substring_match):
             bad = F.col(column).isNull()
             if column in whitelists:
                 bad = bad | ~F.col(column).isin(*whitelists[column])
-            failed = F.coalesce(F.array_contains("__failed", constraint.text), F.lit(False))
+            failed = F.coalesce(F.getbit("__failed", F.lit(i)) == 1, F.lit(False))
             keep = keep & ~(failed & bad)
-    return df.join(plan, [*same_group, salt == F.col("__salt")], "left").where(keep).select(*df.columns)
+    return df.join(plan, same_group, "left").where(keep).select(*df.columns)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from probelake import fixed
 from probelake.operators.quality import Constraint, complete, contained, has_rows, unique
@@ -86,3 +86,8 @@ class LakeConfig:
 def months(year: int, first: int = 1, last: int = 10) -> list[str]:
     """Key prefixes of a backfill, one per month, both ends included."""
     return [f"{year}-{month:02d}" for month in range(first, last + 1)]
+
+
+def small_landing(cfg: LakeConfig) -> LakeConfig:
+    """The same run with the small budget per country, for sources with the date first in the key."""
+    return replace(cfg, limit_mib=fixed.SMALL_COUNTRY_LIMIT_MIB, source_date_index=0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,10 @@ from probelake.session import stage
 from probelake.sources.readers import list_objects
 from probelake.sources.sinks import copy_objects
 
+# A task copies about so much; while the files are few, each gets a task of its own.
+COPY_TASK_MIB = 256
+MANY_TASKS = 64
+
 
 def choose(spark: SparkSession, cfg: LakeConfig, objects: DataFrame | None = None) -> DataFrame:
     """Source files to land: wanted, not landed before, within the budget per date and country.
@@ -31,7 +37,15 @@ def choose(spark: SparkSession, cfg: LakeConfig, objects: DataFrame | None = Non
 
 def ingest(spark: SparkSession, cfg: LakeConfig, objects: DataFrame | None = None) -> DataFrame:
     """Copy the chosen files; returns the copies made (``dest_key``, ``bytes``)."""
-    return stage(copy_objects(choose(spark, cfg, objects), cfg.raw), "landed")
+    chosen = stage(choose(spark, cfg, objects), "chosen")
+    return stage(copy_objects(chosen, cfg.raw, copy_tasks(chosen)), "landed")
+
+
+def copy_tasks(chosen: DataFrame) -> int:
+    """Tasks to copy the files with, by their number and bytes, whatever executors there are at the start."""
+    total = chosen.agg(F.count("*").alias("files"), F.sum("size_mb").alias("mib")).first()
+    least = chosen.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(total.files, max(least, math.ceil((total.mib or 0) / COPY_TASK_MIB), MANY_TASKS)))
 
 
 def _landed_prefixes(cfg: LakeConfig) -> list[str]:

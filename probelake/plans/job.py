@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import SparkSession
 
 from probelake import fixed
-from probelake.plans.config import GEN_1, GEN_2, LakeConfig
+from probelake.plans.config import GEN_1, GEN_2, LakeConfig, small_landing
 from probelake.plans.delivery import build_delivery
 from probelake.plans.flow import run
 from probelake.plans.ingest import ingest
@@ -35,6 +35,10 @@ def parse(arguments: Sequence[str] | None = None) -> tuple[str, LakeConfig]:
     parser.add_argument("--source-date-index", type=int, default=0)
     parser.add_argument("--min-mib", type=float, default=fixed.MIN_FILE_MIB)
     parser.add_argument("--limit-mib", type=float, default=fixed.COUNTRY_LIMIT_MIB)
+    parser.add_argument("--small", action="store_true", help="small budget, date first in the key")
+    parser.add_argument("--test-type", default=fixed.TEST_TYPE)
+    parser.add_argument("--country", action="append", dest="landing_countries", help="repeatable")
+    parser.add_argument("--null-keys", choices=("collapse", "keep"), default="collapse")
     parser.add_argument("--substring-match", action="store_true")
     options = vars(parser.parse_args(arguments))
     stage = options.pop("stage")
@@ -49,7 +53,10 @@ def parse(arguments: Sequence[str] | None = None) -> tuple[str, LakeConfig]:
         parser.error(f"{stage} needs {' '.join(missing)}")
     options["generation"] = GEN_1 if options["generation"] == "1" else GEN_2
     options["prefixes"] = options["prefixes"] or ("",)
-    return stage, LakeConfig(**options)
+    options["landing_countries"] = options["landing_countries"] or fixed.LANDING_COUNTRIES
+    small = options.pop("small")
+    cfg = LakeConfig(**options)
+    return stage, small_landing(cfg) if small else cfg
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

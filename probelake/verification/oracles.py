@@ -182,6 +182,27 @@ QUALITY_LOG_TEXTS = [
     ("Size()", "true"),
 ]
 
+
+def _first_fit(limit: float, least: float) -> str:
+    """The files that fit one after the other, up to ``limit`` in each group."""
+    return f"""
+        WITH RECURSIVE {FILES},
+        numbered AS (
+          SELECT *, row_number() OVER (PARTITION BY source_date, country ORDER BY name) AS n FROM files
+          WHERE test_type = 'web_connectivity' AND country IN ('BR', 'DE', 'RU', 'US') AND size_mb >= {least}),
+        scan AS (
+          SELECT source_date, country, name, size_mb, n, size_mb <= {limit} AS taken,
+                 CASE WHEN size_mb <= {limit} THEN size_mb ELSE 0 END AS used
+          FROM numbered WHERE n = 1
+          UNION ALL
+          SELECT f.source_date, f.country, f.name, f.size_mb, f.n, s.used + f.size_mb <= {limit},
+                 CASE WHEN s.used + f.size_mb <= {limit} THEN s.used + f.size_mb ELSE s.used END
+          FROM scan s JOIN numbered f
+            ON f.source_date = s.source_date AND f.country = s.country AND f.n = s.n + 1)
+        SELECT source_date, country, 'archive/jsonl/' || source_date || '/' || name AS key, size_mb
+        FROM scan WHERE taken"""
+
+
 ORACLES: dict[str, str] = {
     "project_nested": """
         SELECT event_id AS id, event_type AS blocking,
@@ -311,22 +332,8 @@ ORACLES: dict[str, str] = {
     "anti_landed": """
         SELECT 'd/' || doc_id AS dest_key, lang FROM documents d
         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
-    "budget_select": f"""
-        WITH RECURSIVE {FILES},
-        numbered AS (
-          SELECT *, row_number() OVER (PARTITION BY source_date, country ORDER BY name) AS n FROM files
-          WHERE test_type = 'web_connectivity' AND country IN ('BR', 'DE', 'RU', 'US') AND size_mb >= 0.3),
-        scan AS (
-          SELECT source_date, country, name, size_mb, n, size_mb <= 100 AS taken,
-                 CASE WHEN size_mb <= 100 THEN size_mb ELSE 0 END AS used
-          FROM numbered WHERE n = 1
-          UNION ALL
-          SELECT f.source_date, f.country, f.name, f.size_mb, f.n, s.used + f.size_mb <= 100,
-                 CASE WHEN s.used + f.size_mb <= 100 THEN s.used + f.size_mb ELSE s.used END
-          FROM scan s JOIN numbered f
-            ON f.source_date = s.source_date AND f.country = s.country AND f.n = s.n + 1)
-        SELECT source_date, country, 'archive/jsonl/' || source_date || '/' || name AS key, size_mb
-        FROM scan WHERE taken""",
+    "budget_select": _first_fit(100, 0.3),
+    "budget_rounds": _first_fit(4, 0.01),
     "landing": """
         SELECT strftime(ts, '%Y-%m-%d') AS source_date,
                '{"event_id":' || event_id || ',"event_type":"' || event_type || '","value":' || value || '}' AS line,
@@ -400,6 +407,25 @@ ORACLES: dict[str, str] = {
                CASE WHEN holds THEN 'Success' ELSE 'Failure' END AS constraint_status,
                strftime(bucket_date, '%Y-%m-%d') AS bucket_date, 'run' AS run_id
         FROM judged""",
+    "dedup_broken_copy": f"WITH {MEASUREMENTS} SELECT {SCALARS} FROM trusted",
+    "rerun_same_id": f"""
+        WITH {MEASUREMENTS}, {REPAIRED_BY_DAY} SELECT id, bucket_date, 11::BIGINT AS n_log FROM repaired""",
+    "stale_dates": f"""
+        WITH {MEASUREMENTS}, {REPAIRED_BY_DAY}
+        SELECT place, id, bucket_date FROM repaired, (VALUES ('trusted'), ('delivery')) AS places(place)
+        WHERE bucket_date > (SELECT min(bucket_date) FROM trusted)""",
+    "incremental_by_folder": f"""
+        WITH {MEASUREMENTS},
+        foldered AS (SELECT *, bucket_date <= DATE '2024-01-15' AS first_half FROM trusted),
+        shares AS (
+          SELECT *, {_share("probe_asn IS NOT NULL")} OVER (PARTITION BY first_half) AS asn_share,
+                 min(CASE WHEN probe_cc IN ('BR', 'RU', 'US', 'DE') THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY first_half) AS all_contained
+          FROM foldered)
+        SELECT {SCALARS.replace(', measurement_start_time, test_start_time', '')}, files_per_batch
+        FROM shares, (VALUES (1::BIGINT), (1000::BIGINT)) AS batches(files_per_batch)
+        WHERE (asn_share >= 0.9 OR probe_asn IS NOT NULL)
+          AND (all_contained = 1 OR probe_cc IN ('BR', 'RU', 'US', 'DE'))""",
     # Every delivery fails the check on the network (no sign-up has one) and on the country (errors).
     "incremental_stream": f"""
         WITH {MEASUREMENTS}

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probelake.functions import casts, nested, text
+from probelake.functions.paths import relative_key
 from probelake.operators import filters, quality
 from probelake.operators.columns import add_literal, drop_columns, project, rename_columns
 from probelake.operators.dedup import deduplicate
@@ -20,8 +22,8 @@ from probelake.plans.trusted import transform
 from probelake.schemas import measurement_schema, prune, trusted_fields
 from probelake.session import scratch_path
 from probelake.sources import catalog
-from probelake.sources.readers import date_folders, read_measurements, read_table
-from probelake.sources.sinks import append_table, write_partitioned
+from probelake.sources.readers import date_folders, list_objects, read_measurements, read_table
+from probelake.sources.sinks import append_table, copy_objects, write_partitioned
 from probelake.streaming.incremental import run_incremental
 from probelake.verification.fixtures import (
     COUNTRY_OF_EVENT,
@@ -405,6 +407,13 @@ def budget_select(spark, sf_dir):
     return chosen.select("source_date", "country", "key", "size_mb")
 
 
+@query
+def budget_rounds(spark, sf_dir):
+    """A small limit folded seven files at a time, so that groups need several rounds."""
+    chosen = within_budget(wanted(_files(spark, sf_dir), min_mib=0.01), 4.0, 0.01, round_size=7)
+    return chosen.select("source_date", "country", "key", "size_mb")
+
+
 @query
 def landing(spark, sf_dir):
     """Events as source files, budgeted and copied twice; the second run finds nothing new."""
@@ -420,7 +429,6 @@ def landing(spark, sf_dir):
         trusted=f"{scratch}/trusted",
         delivery=f"{scratch}/delivery",
         logs=f"{scratch}/logs",
-        prefixes=["2024-01-0", "2024-01-1", "2024-01-2", "2024-01-3"],  # every day there is
         min_mib=1e-6,
         limit_mib=1e9,
     )
@@ -570,6 +578,15 @@ def trusted_table_gen1(spark, sf_dir):
     )
 
 
+@query
+def dedup_broken_copy(spark, sf_dir):
+    """Every measurement twice, once with a start time that is none: the good copy stays."""
+    rows = as_measurements(spark, sf_dir, copies=False)
+    broken = rows.withColumn("test_start_time", F.lit("soon"))
+    kept = transform(rows.unionByName(broken), GEN_2)
+    return kept.select(*TRUSTED_SCALARS, *_times())
+
+
 @query
 def delivery_table(spark, sf_dir):
     rows = enrich(transform(as_measurements(spark, sf_dir, copies=False), GEN_2))
@@ -588,15 +605,19 @@ def _flat_delivery(rows: DataFrame, utc: bool = False) -> DataFrame:
     )
 
 
-def _lake(spark, sf_dir, generation: Generation) -> LakeConfig:
-    scratch = scratch_path(spark, "lake")
-    documents = measurements(spark, sf_dir).select(
-        F.to_json(F.struct("*")).alias("value"),
-        F.col("bucket_date").alias("day"),
-        F.lit("US").alias("country"),
+def _documents(rows: DataFrame, folder="bucket_date") -> DataFrame:
+    """Measurements as lines of source files, by default in the folder of their date."""
+    folder = F.col(folder) if isinstance(folder, str) else folder
+    return rows.select(
+        F.to_json(F.struct("*")).alias("value"), folder.alias("day"), F.lit("US").alias("country")
     )
+
+
+def _lake(spark, sf_dir, generation: Generation, rows: DataFrame | None = None) -> LakeConfig:
+    scratch = scratch_path(spark, "lake")
+    rows = measurements(spark, sf_dir) if rows is None else rows
     return LakeConfig(
-        source=write_source_objects(documents, scratch),
+        source=write_source_objects(_documents(rows), scratch),
         raw=f"{scratch}/raw",
         trusted=f"{scratch}/trusted",
         delivery=f"{scratch}/delivery",
@@ -649,19 +670,65 @@ def quality_log(spark, sf_dir):
     )
 
 
+@query
+def rerun_same_id(spark, sf_dir):
+    """A run that is repeated under its id after more files came: one report, one table."""
+    rows = measurements(spark, sf_dir)
+    first = _lake(spark, sf_dir, GEN_2, rows.where(F.col("annotations.platform") == "signup"))
+    run(spark, replace(first, schema=None), "run")
+    second = replace(first, source=_lake(spark, sf_dir, GEN_2, rows).source, raw=f"{first.raw}-all")
+    run(spark, second, "run")
+    log = spark.table(f"{second.schema}.quality_log").groupBy("bucket_date").agg(F.count("*").alias("n_log"))
+    log = log.select(F.to_date("bucket_date").alias("bucket_date"), "n_log")
+    return read_table(spark, second.trusted).join(log, "bucket_date").select("id", "bucket_date", "n_log")
+
+
+@query
+def stale_dates(spark, sf_dir):
+    """A second run in which every row of the first date fails its check: nothing of it stays."""
+    rows = measurements(spark, sf_dir)
+    cfg = _lake(spark, sf_dir, GEN_2, rows)
+    run(spark, cfg)
+    first = rows.agg(F.min("bucket_date")).first()[0]
+    country = F.when(F.col("bucket_date") == first, F.lit("XX")).otherwise(F.col("probe_cc"))
+    changed = _lake(spark, sf_dir, GEN_2, rows.withColumn("probe_cc", country))
+    run(spark, replace(cfg, source=changed.source, raw=f"{cfg.raw}-changed"))
+    tables = {"trusted": read_table(spark, cfg.trusted), "delivery": spark.table(f"{cfg.schema}.delivery")}
+    trusted, delivery = (t.select(F.lit(n).alias("place"), "id", "bucket_date") for n, t in tables.items())
+    return trusted.unionByName(delivery)
+
+
 @query
 def incremental_stream(spark, sf_dir):
-    """Two deliveries that overlap, each streamed into the trusted table."""
+    """Two deliveries of files for the same folder, which overlap, each streamed into the trusted table."""
     scratch = scratch_path(spark, "stream")
     raw, trusted = f"{scratch}/raw", f"{scratch}/trusted"
     rows = measurements(spark, sf_dir)
     deliveries = {"one": rows.where(F.col("annotations.platform") != "purchase"), "two": rows}
     for name, delivery in deliveries.items():
-        lines = delivery.select(
-            F.to_json(F.struct("*")).alias("value"),
-            F.lit(name).alias("day"),
-            F.lit("US").alias("country"),
-        )
-        write_source_objects(lines, f"{raw}/{name}")
+        _deliver(spark, _documents(delivery, F.lit("2024-01-01")), f"{scratch}/{name}", raw)
         run_incremental(spark, raw, trusted, f"{scratch}/checkpoint")
     return read_table(spark, trusted).select(*TRUSTED_SCALARS)
+
+
+def _deliver(spark, documents: DataFrame, scratch: str, raw: str) -> None:
+    """Add files to the raw folder, in their folders by date."""
+    source = write_source_objects(documents, scratch)
+    files = list_objects(spark, source).select("path", relative_key(F.col("path"), source).alias("dest_key"))
+    copy_objects(files, raw).write.format("noop").mode("overwrite").save()
+
+
+@query
+def incremental_by_folder(spark, sf_dir):
+    """Files of two folders streamed one by one and all at once: the same rows, those of a batch run."""
+    scratch, results = scratch_path(spark, "folders"), []
+    rows = measurements(spark, sf_dir)
+    folder = F.when(F.col("bucket_date") <= "2024-01-15", "2024-01-01").otherwise("2024-01-16")
+    for name, part in {"one": F.col("test_runtime") < 50, "two": F.col("test_runtime") >= 50}.items():
+        _deliver(spark, _documents(rows.where(part), folder), f"{scratch}/{name}", f"{scratch}/raw")
+    for files in (1, 1000):
+        place = f"{scratch}/{files}"
+        run_incremental(spark, f"{scratch}/raw", f"{place}/trusted", f"{place}/checkpoint", files_per_batch=files)
+        table_rows = read_table(spark, f"{place}/trusted").select(*TRUSTED_SCALARS)
+        results.append(table_rows.withColumn("files_per_batch", F.lit(files).cast("bigint")))
+    return results[0].unionByName(results[1])
