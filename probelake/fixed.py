@@ -10,6 +10,10 @@ MIB = 1024 * 1024
 
 # --- patterns ----------------------------------------------------------------
 IPV4_PATTERN = r"^((25[0-5]|(2[0-4]|1\d|[1-9]|)\d)\.?\b){4}$"
+URL_PATTERN = r"^(https?:\/\/)?([\da-z\.-]+)\.([a-z\.]{2,6})([\/\w \.-]*)*\/?$"
+TITLE_PATTERN = r"<title.*?>(.*?)</title>"
+META_TITLE_PATTERN = r'<meta.*?property="og:title".*?content="(.*?)"'
+NETLOC_PATTERN = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//([^/?#]*)"
 
 # --- quality check -----------------------------------------------------------
 CHECK_NAME = "Review Check"

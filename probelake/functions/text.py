@@ -16,8 +16,7 @@ def _through(first: str, rest: str) -> str:
     return rf"[^{first}]*+(?:{first}(?!{rest})[^{first}]*+)*+{first}{rest}"
 
 
-# Same matches as a lazy search for <title.*?>(.*?)</title> and
-# <meta.*?property="og:title".*?content="(.*?)" in any case. If the first opening tag has no match
+# Same matches as a lazy search for fixed.TITLE_PATTERN and fixed.META_TITLE_PATTERN in any case. If the first opening tag has no match
 # behind it, no later one has, so one pass over the page decides; the lazy form would start again from
 # every tag and is quadratic on broken pages.
 _TITLE = rf"(?isu)\A{_through('<', 'title')}[^>]*+>([^<]*+(?:<(?!/title>)[^<]*+)*+)</title>"
@@ -25,11 +24,10 @@ _OG_TITLE = _through("=", '(?<=property=)"og:title"')
 _CONTENT = _through("=", '(?<=content=)"')
 _META_TITLE = rf'(?isu)\A{_through("<", "meta")}{_OG_TITLE}{_CONTENT}([^"]*+)"'
 
-# A dot and two host letters, then only path characters up to the end: the rest of the string is
+# Same matches as fixed.URL_PATTERN: a dot and two host letters, then only path characters up to the end: the rest of the string is
 # checked once, before the host, so there is nothing to backtrack into.
 _URL = r"^(?:https?://)?(?=[/\w .-]*+$)[\da-z.-]+\.[a-z.]{2}"
 
-_NETLOC = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//([^/?#]*)"
 _CONTROL_OR_SPACE = r"^[\x00-\x20]+"
 
 
@@ -50,7 +48,7 @@ def network_location(url: Column) -> Column:
     location with an unpaired square bracket gives ``''``; NULL gives NULL.
     """
     clean = F.regexp_replace(F.translate(url, "\t\r\n", ""), _CONTROL_OR_SPACE, "")
-    location = F.regexp_extract(clean, _NETLOC, 1)
+    location = F.regexp_extract(clean, fixed.NETLOC_PATTERN, 1)
     unpaired = F.contains(location, F.lit("[")) != F.contains(location, F.lit("]"))
     return F.when(unpaired, F.lit("")).otherwise(location)
 

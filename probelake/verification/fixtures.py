@@ -56,7 +56,11 @@ def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("/", F.lit("store:/bucket/archive/jsonl"), month, name).alias("path"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("length"),
     )
-    return stage(objects, "listing")
+    # Every folder also has a marker and a file whose name says too little; neither is a measurement file.
+    folders = objects.select(F.regexp_extract("path", "^.*/", 0).alias("folder")).distinct()
+    names = folders.withColumn("name", F.explode(F.array(F.lit(""), F.lit("short-name.json"))))
+    others = names.select(F.concat("folder", "name").alias("path"), F.lit(0).cast("bigint").alias("length"))
+    return stage(objects.unionByName(others), "listing")
 
 
 def measurements(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from probelake import fixed
+
 CHECKED_EVENTS = """
 checked AS (
   SELECT event_id, user_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS error_value,
@@ -55,28 +57,24 @@ measured AS (
   FROM events e LEFT JOIN pages ON event_id = page_id),
 trusted AS (
   SELECT {TRUSTED_COLUMNS}, {TIMES}, k, user_id, html,
-         regexp_matches(user_id || '.' || k || '.0.1',
-           '^((25[0-5]|(2[0-4]|1\\d|[1-9]|)\\d)\\.?\\b){{4}}$') AS ip_matches,
-         regexp_matches(input,
-           '^(https?:\\/\\/)?([\\da-z\\.-]+)\\.([a-z\\.]{{2,6}})([\\/\\w \\.-]*)*\\/?$') AS url_matches
+         regexp_matches(user_id || '.' || k || '.0.1', '{fixed.IPV4_PATTERN}') AS ip_matches,
+         regexp_matches(input, '{fixed.URL_PATTERN}') AS url_matches
   FROM measured)
 """
 
 
 
 def _netloc(url: str) -> str:
-    return f"regexp_extract({url}, '^(?:[a-zA-Z][a-zA-Z0-9+.\\-]*:)?//([^/?#]*)', 1)"
+    return f"regexp_extract({url}, '{fixed.NETLOC_PATTERN}', 1)"
 
 
 def _title(body: str) -> str:
-    return f"regexp_extract(coalesce({body}, ''), '<title.*?>(.*?)</title>', 1, 'is')"
+    return f"regexp_extract(coalesce({body}, ''), '{fixed.TITLE_PATTERN}', 1, 'is')"
 
 
 NETLOC = _netloc("input")
 TITLE = _title("html")
-META_TITLE = (
-    "regexp_extract(coalesce({}, ''), '<meta.*?property=\"og:title\".*?content=\"(.*?)\"', 1, 'is')"
-)
+META_TITLE = "regexp_extract(coalesce({}, ''), '" + fixed.META_TITLE_PATTERN + "', 1, 'is')"
 
 SCALARS = """
 id, input, probe_asn, probe_cc, probe_ip, report_id, test_name, test_runtime, blocking, platform, row_id,
@@ -164,25 +162,33 @@ def _contained(allowed: list[str]) -> str:
     listed = ", ".join(f"'{a}'" for a in allowed)
     return (
         f"SELECT 'Containment(event_type in [{','.join(allowed)}])' AS \"constraint\","
-        f" avg(CASE WHEN event_type IN ({listed}) THEN 1.0 ELSE 0.0 END) AS metric FROM events"
+        f" avg(CASE WHEN event_type IS NULL OR event_type IN ({listed}) THEN 1.0 ELSE 0.0 END) AS metric FROM events"
     )
 
 
 QUALITY_LOG_TEXTS = [
-    ("Uniqueness(row_id)", "true"),
-    ("Completeness(id)", "true"),
+    ("Uniqueness(row_id)", "n_keys = n_rows"),
+    ("Completeness(id)", "id_share >= 0.9"),
     ("Completeness(probe_asn)", "asn_share >= 0.9"),
-    ("Completeness(probe_cc)", "true"),
-    ("Completeness(probe_ip)", "true"),
-    ("Completeness(test_start_time)", "true"),
-    ("Completeness(test_name)", "true"),
-    ("Completeness(bucket_date)", "true"),
-    ("Completeness(measurement_start_time)", "true"),
+    ("Completeness(probe_cc)", "cc_share >= 0.98"),
+    ("Completeness(probe_ip)", "ip_share >= 0.9"),
+    ("Completeness(test_start_time)", "test_share >= 0.9"),
+    ("Completeness(test_name)", "name_share >= 0.9"),
+    ("Completeness(bucket_date)", "date_share >= 0.98"),
+    ("Completeness(measurement_start_time)", "start_share >= 0.9"),
     ("Containment(probe_cc in [BR,RU,US,DE])", "all_contained = 1"),
-    ("Size()", "true"),
+    ("Size()", "n_rows > 0"),
 ]
 
 
+# Columns of the trusted table that are text in the document, at its top or below.
+PLAIN_PROJECTED = (
+    "id", "input", "probe_asn", "probe_cc", "probe_ip", "report_id", "software_name", "software_version",
+    "test_name", "test_version",
+)
+NESTED_PROJECTED = ("control_failure", "blocking", "http_experiment_failure", "dns_experiment_failure")
+
+
 def _first_fit(limit: float, least: float) -> str:
     """The files that fit one after the other, up to ``limit`` in each group."""
     return f"""
@@ -281,20 +287,17 @@ ORACLES: dict[str, str] = {
           AND (NOT bad_type OR event_type IN ('click', 'error'))""",
     "remediate_passthrough": "SELECT event_id, event_type, value FROM events",
     "whitelist": "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'view')",
-    "ip_valid": r"""
+    "ip_valid": f"""
         WITH addressed AS (
           SELECT event_id, user_id || '.' || json_extract_string(props, '$.k') || '.' ||
                  (extract(second FROM ts) * 5)::BIGINT || '.' || extract(minute FROM ts) AS probe_ip
           FROM events)
         SELECT event_id, probe_ip,
-               CASE WHEN regexp_matches(probe_ip, '^((25[0-5]|(2[0-4]|1\d|[1-9]|)\d)\.?\b){4}$')
-                    THEN true END AS is_ip_valid
+               CASE WHEN regexp_matches(probe_ip, '{fixed.IPV4_PATTERN}') THEN true END AS is_ip_valid
         FROM addressed""",
-    "url_valid": r"""
+    "url_valid": f"""
         SELECT page_id,
-               CASE WHEN regexp_matches(url,
-                    '^(https?:\/\/)?([\da-z\.-]+)\.([a-z\.]{2,6})([\/\w \.-]*)*\/?$')
-                    THEN true END AS is_url_valid
+               CASE WHEN regexp_matches(url, '{fixed.URL_PATTERN}') THEN true END AS is_url_valid
         FROM pages""",
     "netloc": f"""
         SELECT page_id, {_netloc('url')} AS domain,
@@ -397,7 +400,15 @@ ORACLES: dict[str, str] = {
         FROM repaired""",
     "quality_log": f"""
         WITH {MEASUREMENTS}, {REPAIRED_BY_DAY},
-        days AS (SELECT DISTINCT bucket_date, asn_share, all_contained FROM shares),
+        days AS (
+          SELECT bucket_date, count(*) AS n_rows, count(DISTINCT row_id) AS n_keys,
+                 min(asn_share) AS asn_share, min(all_contained) AS all_contained,
+                 count(id) / n_rows::DOUBLE AS id_share, count(probe_cc) / n_rows::DOUBLE AS cc_share,
+                 count(probe_ip) / n_rows::DOUBLE AS ip_share, count(test_name) / n_rows::DOUBLE AS name_share,
+                 count(test_start_time) / n_rows::DOUBLE AS test_share,
+                 count(bucket_date) / n_rows::DOUBLE AS date_share,
+                 count(measurement_start_time) / n_rows::DOUBLE AS start_share
+          FROM shares GROUP BY bucket_date),
         judged AS ({' UNION ALL '.join(
             f"SELECT bucket_date, '{text}' AS \"constraint\", {holds} AS holds FROM days"
             for text, holds in QUALITY_LOG_TEXTS)})
@@ -407,6 +418,28 @@ ORACLES: dict[str, str] = {
                CASE WHEN holds THEN 'Success' ELSE 'Failure' END AS constraint_status,
                strftime(bucket_date, '%Y-%m-%d') AS bucket_date, 'run' AS run_id
         FROM judged""",
+    "all_projected": f"""
+        SELECT {", ".join(f"'{c}-' || event_id AS {c}" for c in PLAIN_PROJECTED)},
+               event_id AS status_code, value AS test_runtime, event_type AS platform,
+               {", ".join(f"'{c}/' || event_id AS {c}" for c in NESTED_PROJECTED)}
+        FROM events""",
+    "quality_messages": f"""
+        WITH {LABELLED},
+        named AS (SELECT quality, CASE WHEN lang <> 'es' THEN lang END AS lang FROM labelled),
+        counts AS (SELECT quality, count(*) AS n FROM named WHERE quality IS NOT NULL GROUP BY quality),
+        metrics AS (
+          SELECT 'Completeness(quality)' AS "constraint", count(quality) / count(*)::DOUBLE AS metric FROM named
+          UNION ALL SELECT 'Uniqueness(quality)', sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) / sum(n)::DOUBLE FROM counts
+          UNION ALL SELECT 'Containment(lang in [en,de,fr])',
+                           avg(CASE WHEN lang IS NULL OR lang IN ('en', 'de', 'fr') THEN 1.0 ELSE 0.0 END) FROM named
+          UNION ALL SELECT 'Containment(lang in [en])',
+                           avg(CASE WHEN lang IS NULL OR lang = 'en' THEN 1.0 ELSE 0.0 END) FROM named)
+        SELECT "constraint", CASE WHEN metric >= 0.9 AND ("constraint" NOT LIKE 'Con%' OR metric >= 1) THEN 'Success'
+                                  ELSE 'Failure' END AS constraint_status,
+               CASE WHEN constraint_status = 'Success' THEN ''
+                    ELSE 'Value: # does not meet the constraint requirement!' END AS words,
+               CASE WHEN constraint_status = 'Failure' THEN metric END AS metric
+        FROM metrics""",
     "dedup_broken_copy": f"WITH {MEASUREMENTS} SELECT {SCALARS} FROM trusted",
     "rerun_same_id": f"""
         WITH {MEASUREMENTS}, {REPAIRED_BY_DAY} SELECT id, bucket_date, 11::BIGINT AS n_log FROM repaired""",

@@ -18,7 +18,7 @@ from probelake.plans.config import GEN_1, GEN_2, Generation, LakeConfig
 from probelake.plans.delivery import enrich
 from probelake.plans.flow import run
 from probelake.plans.ingest import ingest
-from probelake.plans.trusted import transform
+from probelake.plans.trusted import shape, transform
 from probelake.schemas import measurement_schema, prune, trusted_fields
 from probelake.session import scratch_path
 from probelake.sources import catalog
@@ -222,6 +222,27 @@ def quality_report_by_day(spark, sf_dir):
     return report.select("day", "check_status", "constraint", "constraint_status")
 
 
+@query
+def quality_messages(spark, sf_dir):
+    """Messages of checks over columns with NULLs; the metric apart from the words around it."""
+    rows = labelled_documents(spark, sf_dir).select("quality", F.when(F.col("lang") != "es", F.col("lang")).alias("lang"))
+    checks = [
+        quality.complete("quality", 0.9),
+        quality.unique("quality"),
+        quality.contained("lang", ["en", "de", "fr"]),
+        quality.contained("lang", ["en"]),
+    ]
+    number = r"(\d[\d.E-]*)"
+    message = F.col("constraint_message")
+    found = F.regexp_extract(message, number, 1)
+    return quality.report(rows, checks).select(
+        "constraint",
+        "constraint_status",
+        F.regexp_replace(message, number, "#").alias("words"),
+        F.when(found != "", found.cast("double")).alias("metric"),
+    )
+
+
 LABEL_CHECKS = [
     quality.complete("quality", 0.9),
     quality.complete("doc_id", 0.9),
@@ -587,6 +608,38 @@ def dedup_broken_copy(spark, sf_dir):
     return kept.select(*TRUSTED_SCALARS, *_times())
 
 
+@query
+def all_projected(spark, sf_dir):
+    """Every plain projected column from a field of its own name, with values that name the column."""
+    nested_text = ("control_failure", "blocking", "http_experiment_failure", "dns_experiment_failure")
+    plain = (
+        "id", "input", "probe_asn", "probe_cc", "probe_ip", "report_id", "software_name", "software_version",
+        "test_name", "test_version",
+    )
+    number = F.col("event_id").cast("string")
+    named = {c: F.concat(F.lit(f"{c}-"), number) for c in plain}
+    inside = [F.concat(F.lit(f"{c}/"), number).alias(c) for c in nested_text]
+    control = F.struct(F.struct(F.col("event_id").alias("status_code")).alias("http_request")).alias("control")
+    line = F.to_json(
+        F.struct(
+            *[v.alias(c) for c, v in named.items()],
+            F.col("value").alias("test_runtime"),
+            F.struct(*inside, control).alias("test_keys"),
+            F.struct(F.col("event_type").alias("platform")).alias("annotations"),
+        )
+    )
+    documents = table(spark, sf_dir, "events").select(
+        F.from_json(line, prune(measurement_schema(), trusted_fields())).alias("m")
+    )
+    return shape(documents.select("m.*")).select(
+        *plain,
+        F.col("control")["http_request"]["status_code"].alias("status_code"),
+        "test_runtime",
+        "platform",
+        *nested_text,
+    )
+
+
 @query
 def delivery_table(spark, sf_dir):
     rows = enrich(transform(as_measurements(spark, sf_dir, copies=False), GEN_2))

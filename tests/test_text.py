@@ -5,11 +5,13 @@ import re
 import time
 from urllib.parse import urlparse
 
+from probelake import fixed
 from probelake.functions import text
 
-TITLE = re.compile(r"<title.*?>(.*?)</title>", re.IGNORECASE | re.DOTALL)
-META = re.compile(r'<meta.*?property="og:title".*?content="(.*?)"', re.IGNORECASE | re.DOTALL)
-URL = re.compile(r"^(https?://)?([\da-z.-]+)\.([a-z.]{2,6})([/\w .-])*/?$", re.ASCII)
+TITLE = re.compile(fixed.TITLE_PATTERN, re.IGNORECASE | re.DOTALL)
+META = re.compile(fixed.META_TITLE_PATTERN, re.IGNORECASE | re.DOTALL)
+# The path part is repeated once only: nested repeats match the same and take exponential time in Python.
+URL = re.compile(fixed.URL_PATTERN.replace("*)*", "*)"), re.ASCII)
 PIECES = [
     "<title", "<TITLE>", "<Title lang='x'\n>", "</title>", "</TITLE>", ">", "<", "a", "é\n", "<meta ",
     '<META property="og:title" ', 'property="og:title"', 'content="', '"', 'content="x y"', "'", " ", "&amp;",
