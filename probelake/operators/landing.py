@@ -16,7 +16,7 @@ from probelake.session import stage
 # many per group before the shuffle.
 ROUND_SIZE = 999
 SALTS = 16
-PART = "__part"
+PART = "__in_part"
 
 
 def manifest(objects: DataFrame, root: str, date_index: int = 0) -> DataFrame:

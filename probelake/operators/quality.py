@@ -16,6 +16,10 @@ COMPLETENESS = "Completeness"
 UNIQUENESS = "Uniqueness"
 CONTAINMENT = "Containment"
 
+# Groups whose failed constraints are sent to every task; beyond, their rows are dealt over so many salts.
+FEW_GROUPS = 100_000
+SALTS = 64
+
 
 @dataclass(frozen=True)
 class Constraint:
@@ -193,8 +197,9 @@ def _remediate_groups(
 ) -> DataFrame:
     """The same decision for every group in one plan: a join with the failed constraints per group.
 
-    What failed is one number per group, a bit per constraint, so decades of daily groups are a few hundred KB,
-    which Spark broadcasts by its own size check.
+    What failed is one number per group, a bit per constraint. Up to ``FEW_GROUPS`` groups that is broadcast, a
+    few MB. Beyond that a salt spreads the rows of a large group over many tasks, and the numbers are repeated
+    for every salt.
     """
     if not any(c.column for c in constraints):
         return df
@@ -205,6 +210,13 @@ def _remediate_groups(
     )
     plan = failures(quality).groupBy(*by).agg(F.bit_or(bit.cast("bigint")).alias("__failed"))
     plan = plan.select(*[F.col(b).alias(f"__{b}") for b in by], "__failed")
+    salt = F.lit(0).cast("bigint")
+    if plan.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
+        plan = F.broadcast(plan.withColumn("__salt", salt))
+    else:
+        salts = F.sequence(salt, F.lit(SALTS - 1).cast("bigint"))
+        plan = plan.withColumn("__salt", F.explode(salts))
+        salt = F.pmod(F.xxhash64(*sorted({c.column for c in constraints if c.column})), F.lit(SALTS))
     same_group = [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by]
     whitelists = _whitelists(constraints)
     keep = F.lit(True)
@@ -215,4 +227,4 @@ def _remediate_groups(
                 bad = bad | ~F.col(column).isin(*whitelists[column])
             failed = F.coalesce(F.getbit("__failed", F.lit(i)) == 1, F.lit(False))
             keep = keep & ~(failed & bad)
-    return df.join(plan, same_group, "left").where(keep).select(*df.columns)
+    return df.join(plan, [*same_group, salt == F.col("__salt")], "left").where(keep).select(*df.columns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from probelake.operators import landing
 from probelake.operators.landing import manifest, not_landed, wanted, within_budget
+from probelake.plans.ingest import copy_tasks
 
 FILES = "source_date string, country string, key string, size_mb double"
 
@@ -148,3 +149,23 @@ def test_later_rounds_join_by_group(spark):
 
 
 FILES_COLUMNS = ["source_date", "country", "key", "size_mb"]
+
+
+def test_a_large_group_that_fits_is_never_folded(spark, monkeypatch):
+    folded = []
+    fold = landing._fold_round
+    monkeypatch.setattr(landing, "_fold_round", lambda *a: folded.append(1) or fold(*a))
+    files = spark.range(100_000).selectExpr(
+        "'d' AS source_date", "'BR' AS country", "lpad(cast(id as string), 6, '0') AS key", "0.5D AS size_mb"
+    )
+    assert within_budget(files, 1e9, 1e-6).count() == 100_000
+    assert len(folded) == 1
+
+
+def test_large_files_are_copied_by_tasks_of_their_own(spark):
+    sizes = lambda *mib: spark.createDataFrame([(float(m),) for m in mib], "size_mb double")
+    assert copy_tasks(sizes(5000, 5000)) == 2
+    assert copy_tasks(sizes(*[1] * 500)) == 64
+    assert copy_tasks(sizes(*[1024] * 500)) == 500
+    assert copy_tasks(sizes(*[512] * 10_000, *[0.001] * 20_000)) == 20_001
+    assert copy_tasks(sizes(1).limit(0)) == 1

@@ -139,7 +139,9 @@ def test_one_scan_for_all_but_uniqueness(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint>" in plan and "unused" not in plan and "Cartesian" not in plan
 
 
-def test_a_large_group_is_spread_when_the_plan_is_too_large_to_broadcast(spark):
+@pytest.mark.parametrize("few_groups", [0, 100_000])
+def test_a_large_group_is_spread_when_the_plan_is_too_large_to_broadcast(spark, monkeypatch, few_groups):
+    monkeypatch.setattr(quality, "FEW_GROUPS", few_groups)
     rows = spark.range(0, 50_000, 1, 4).select(
         F.when(F.col("id") < 45_000, "d1").otherwise("d2").alias("day"),
         F.col("id").alias("row_id"),
