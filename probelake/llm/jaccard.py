@@ -169,7 +169,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, commo
                 rank = np.searchsorted(common[0], shingles)
                 rank[rank == len(common[0])] = 0
                 is_common = common[0][rank] == shingles if len(common[0]) else np.zeros(len(shingles), bool)
-                order = np.argsort(np.where(is_common, common[1][rank] if len(common[0]) else 0, -1), kind="stable")
+                place = common[1][rank].astype(np.int64) if len(common[0]) else np.zeros(len(shingles), np.int64)
+                order = np.argsort(np.where(is_common, place, -1), kind="stable")
                 first = order[: int(prefix_size(np.int64(len(shingles)), percent))]
                 keys.append(shingles[first])
                 commons.append(is_common[first])
@@ -307,12 +308,13 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each component, for all nodes that have a link.
 
     Large and small stars in turn: every node sends its larger neighbours, then its smaller ones, to the smallest it
-    knows. The number of rounds grows with the logarithm of the longest chain.
+    knows, until all that is left are stars around roots. The number of rounds grows with the logarithm of the
+    longest chain.
     """
     def smallest(edges: DataFrame) -> DataFrame:
         return edges.groupBy("u").agg(F.min("v").alias("least"))
 
-    edges, before = stage(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "links"), None
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = smallest(both).withColumn("least", F.least("least", "u"))
@@ -322,12 +324,11 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
         small = small.unionByName(least.select("u", F.col("least").alias("v"))).where("u <> v").distinct()
         edges = stage(small, "links-small")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        n, ends = edges.agg(F.count("*"), F.countDistinct("u")).first()
+        if n == ends and edges.join(edges.select(F.col("v").alias("u")), "u", "left_semi").isEmpty():
             break
-        before = now
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return stage(stars.unionByName(stars.select(F.col("root").alias("node"), "root")).distinct(), "components")
+    return stars.unionByName(stars.select(F.col("root").alias("node"), "root")).distinct()
 
 
 def _common(profile: DataFrame) -> np.ndarray:
