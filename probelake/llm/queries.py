@@ -1,4 +1,7 @@
-"""The operators over the given tables, as they are registered."""
+"""The operators over the given tables, as they are registered.
+
+Queries without SQL in ``ORACLES`` are tested against brute force in tests/llm.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +16,7 @@ from probelake.llm.decontamination import find_leaks
 from probelake.llm.html import extract
 from probelake.llm.jaccard import connected
 from probelake.llm.language import identify
+from probelake.llm.oracles import ORACLES as ORACLES
 from probelake.llm.packing import pack
 from probelake.llm.quality import quality_rules
 from probelake.llm import sharding
@@ -50,7 +54,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.drop("longest")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +82,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
 }
-
-#: Queries that SQL can express; the others are tested against brute force in tests/llm.
-ORACLES: dict[str, str] = {"op1_sharding": sharding.ORACLE}
