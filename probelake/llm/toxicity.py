@@ -81,28 +81,32 @@ def surprise(both: np.ndarray, alone: np.ndarray, n: float, n_toxic: float) -> n
     return np.where(both > expected, both * np.log(np.maximum(both, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
 
 
-def label_model(votes: np.ndarray, weights: np.ndarray, start: np.ndarray) -> np.ndarray:
+def label_model(votes: np.ndarray, weights: np.ndarray, start: np.ndarray, share: float) -> np.ndarray:
     """Posterior of class 1 for each row of ``votes`` (0 or 1, a voter for class 0 first).
 
-    ``start`` holds each voter's share of class 1 to begin with; ``weights`` counts equal rows.
+    ``start`` holds each voter's share of class 1 and ``share`` that of all rows, as the labels have them; the
+    model stays half way to them, so that voters which only agree with each other don't make a class of their
+    own. ``weights`` counts equal rows.
     """
     total = weights.sum()
     fired = (weights @ votes + 1.0) / (total + 2.0)
-    share = 0.1
-    yes, no = fired * start / share, fired * (1 - start) / (1 - share)
+    first = [np.clip(fired * start / share, 1e-4, 0.9), np.clip(fired * (1 - start) / (1 - share), 1e-6, 1.0)]
+    (yes, no), begun = first, share
     discount = np.ones(votes.shape[1])
     for _ in range(ROUNDS):
         evidence = discount * (np.log(np.clip(yes, 1e-6, 1)) - np.log(np.clip(no, 1e-6, 1)))
         odds = np.log(share / (1 - share)) + votes @ evidence
         posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         in_class = [weights * posterior, weights * (1 - posterior)]
-        share = float(np.clip(in_class[0].sum() / total, 0.01, 0.9))
-        yes, no = ((w @ votes + 0.05) / (w.sum() + 0.1) for w in in_class)
+        share = float(np.clip((in_class[0].sum() / total + begun) / 2, 0.01, 0.9))
+        yes, no = (((w @ votes + 0.05) / (w.sum() + 0.1) + f) / 2 for w, f in zip(in_class, first))
         together = np.zeros((votes.shape[1],) * 2)
-        for w, rate in zip(in_class, (yes, no)):
+        for w in in_class:
+            rate = (w @ votes + 0.05) / (w.sum() + 0.1)
             spread = np.sqrt(rate * (1 - rate))
             both = (votes * w[:, None]).T @ votes / max(w.sum(), 1e-9) - np.outer(rate, rate)
-            together = np.maximum(together, both / np.maximum(np.outer(spread, spread), 1e-9) * (w.sum() / total))
+            both = both / np.maximum(np.outer(spread, spread), 1e-9) * (w.sum() / total)
+            together = np.maximum(together, both)
         np.fill_diagonal(together, 0.0)
         discount = 1 / (1 + np.clip(together, 0, 1).sum(1))
     return posterior
@@ -188,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
         votes[i, fired or [0]] = 1.0
     start = np.clip(np.append(0.01, both[voters] / alone[voters]), 0.01, 0.99)
     patterns, inverse, times = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    posterior = label_model(patterns, times.astype(float), start)[inverse.ravel()]
+    posterior = label_model(patterns, times.astype(float), start, sizes.toxic / sizes.n)[inverse.ravel()]
     weights = regression(vectors, posterior, len(names))
     return Classifier(names, weights[:-1], float(weights[-1]))
 
