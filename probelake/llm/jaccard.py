@@ -13,9 +13,9 @@ corners don't share enough are left, and the points of the remaining leaves boun
 bounded again by counts in more groups, about one for ``PER_GROUP`` shingles, as random sets of many shingles are
 alike in few groups; then they are verified on the whole sets, made again from the texts concerned.
 
-Blocks of more than ``SMALL`` nodes would give all pairs of a group of near copies. They are first joined along
-their sizes and to their first node; what that leaves in different components is then searched in full, as a
-link within a component changes nothing. Words, shingles and sets are compared by 64-bit hashes.
+Blocks of more than ``SMALL`` nodes would give all pairs of a group of near copies. Their nodes are first compared
+with a few random neighbours; what that leaves in different components is then searched in full, as a link
+within a component changes nothing. Words, shingles and sets are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -42,7 +42,11 @@ PER_GROUP = 4
 COMMON = 65_536
 SEVERAL = 4
 TILE = 4096
-SMALL = 64
+SMALL = 8
+#: Nodes in larger blocks are first compared, in rounds, with so many random neighbours in each of so many blocks.
+ROUNDS = 1
+DRAWS = 8
+BLOCKS = 2
 LEAF = 16
 FANOUT = 8
 STEP = np.uint64(0x9FB21C651E98DF25)
@@ -311,6 +315,7 @@ def components(links: DataFrame) -> DataFrame:
     knows, until all that is left are stars around roots. The number of rounds grows with the logarithm of the
     longest chain.
     """
+
     def smallest(edges: DataFrame) -> DataFrame:
         return edges.groupBy("u").agg(F.min("v").alias("least"))
 
@@ -392,6 +397,18 @@ def _searched(units: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(lambda batches: _joined(batches, percent), PAIRS_SCHEMA).distinct()
 
 
+def _drawn(rows: DataFrame, draw: int) -> DataFrame:
+    """Pairs of a few random neighbours for each node, of different roots, however many blocks the node is in."""
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("key", F.lit(draw))))
+    some = rows.withColumn("rank", rank).where(F.col("rank") <= BLOCKS)
+    first = draw * DRAWS
+    dealt = some.withColumn("draw", F.explode(F.sequence(F.lit(first + 1), F.lit(first + DRAWS))))
+    tile = Window.partitionBy("key", "band", "salt", "draw").orderBy(F.xxhash64("node", "draw"))
+    near = dealt.withColumns({"other": F.lag("node").over(tile), "other_root": F.lag("root").over(tile)})
+    near = near.where(F.col("root") != F.col("other_root"))
+    return near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
 def _bounded_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     both = _with_both(pairs, nodes, {"n": "m", "fine": "other_fine"})
     return stage(both.mapInArrow(lambda batches: _bounded(batches, percent), PAIRS_SCHEMA), "jaccard-pairs")
@@ -410,12 +427,6 @@ def _connected(profile: DataFrame, rows: DataFrame, width: int, percent: int) ->
     small = blocks.where(F.col("total") <= SMALL)
     units = small.select(F.col("key").alias("unit"), F.lit(2).alias("part"), "node", "n", F.col("node").alias("root"))
     large = blocks.where(F.col("total") > SMALL)
-    tile = Window.partitionBy("key", "band", "salt")
-    along = large.select("node", F.lag("node").over(tile.orderBy("n", "node")).alias("other"))
-    to_first = large.select("node", F.min("node").over(tile).alias("other"))
-    pairs = along.unionByName(to_first).where(F.col("other").isNotNull() & (F.col("node") != F.col("other")))
-    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-    pairs = _bounded_pairs(pairs.unionByName(_searched(units, nodes, percent)).distinct(), nodes, percent)
 
     def verified(candidates: DataFrame, name: str) -> DataFrame:
         """The candidates that are similar, by the sets of the texts that they concern."""
@@ -426,12 +437,24 @@ def _connected(profile: DataFrame, rows: DataFrame, width: int, percent: int) ->
         both = _with_both(candidates, stage(sets, f"{name}-sets"), {"shingles": "other_shingles"})
         return stage(both.mapInArrow(lambda batches: _verified(batches, percent), PAIRS_SCHEMA), f"{name}-links")
 
+    def apart(roots: DataFrame) -> DataFrame:
+        """Rows with their roots of the larger blocks that have several."""
+        rows = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        several = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+        return stage(rows.join(several.select("key"), "key"), "jaccard-apart")
+
+    left = large.withColumn("root", F.col("node"))
+    pairs = _drawn(left, 0).unionByName(_searched(units, nodes, percent)).distinct()
+    compared = pairs = _bounded_pairs(pairs, nodes, percent)
     links = verified(pairs, "jaccard")
+    for draw in range(1, ROUNDS):
+        left = apart(components(links))
+        pairs = _drawn(left, draw).join(compared, ["a", "b"], "left_anti")
+        pairs = _bounded_pairs(pairs, nodes, percent)
+        compared = compared.unionByName(pairs)
+        links = links.unionByName(verified(pairs, "jaccard-more"))
     roots = components(links)
-    left = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    apart = left.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    left = stage(left.join(apart, "key"), "jaccard-apart")
-    more = _searched(_units(left), nodes, percent).join(pairs, ["a", "b"], "left_anti")
+    more = _searched(_units(apart(roots)), nodes, percent).join(compared, ["a", "b"], "left_anti")
     more = _bounded_pairs(more, nodes, percent)
     if more.isEmpty():
         return roots
