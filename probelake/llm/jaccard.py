@@ -36,8 +36,8 @@ from probelake.session import stage
 WIDTH = 5
 #: The least similarity, in percent.
 PERCENT = 80
-GROUPS = 64
-PER_GROUP = 4
+GROUPS = 128
+PER_GROUP = 1
 #: The order of shingles puts so many of the most common last, counted where a piece of the corpus has several.
 COMMON = 65_536
 SEVERAL = 4
