@@ -1,6 +1,7 @@
 """Every registered query over its whole table against a plain form of its contract."""
 
 import hashlib
+import html
 import re
 import zlib
 from array import array
@@ -93,9 +94,7 @@ def test_pages(spark):
     assert found.keys() == pages.keys()
     for page_id, page in pages.items():
         body = re.sub(r"(?s)<head>.*?</head>|<!--.*?-->|<script.*?</script>", " ", page)
-        plain = re.sub(r"<[^>]*>", " ", body)
-        for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-            plain = plain.replace(a, b)
+        plain = html.unescape(re.sub(r"<[^>]*>", " ", body))
         marks = re.sub(r"(?m)^( *)- ", r"\1", found[page_id]["text"])
         assert "".join(marks.split()) == "".join(plain.split())
 
