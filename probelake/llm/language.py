@@ -1,9 +1,10 @@
 """Language identification: words first, then shorter and shorter pieces of unseen words.
 
 Words are counted per language over all documents to learn from, and the n-grams of the counted words up to
-``ORDER`` characters. Of both the most frequent are kept, at most ``ENTRIES`` in all (equally frequent ones all or
-none), so the model has a size that does not grow with the corpus and can be sent to every worker. A known word adds its log frequency in each language;
-an unseen one the log frequencies of the longest known n-grams that begin at its characters.
+``ORDER`` characters; all of both are kept, as a table. Texts are dealt into chunks, and a chunk's words, then the
+n-grams of those that are not in the table, are looked up by joins: a worker holds the entries that one chunk needs,
+whatever the size of the table. A known word adds its log frequency in each language; an unseen one the log
+frequencies of the longest known n-grams that begin at its characters.
 """
 
 from __future__ import annotations
@@ -12,23 +13,21 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from probelake.llm.common import held_out, importable, map_texts, pieces, record, texts
+from probelake.llm.common import held_out, importable, pieces, record, texts
 from probelake.session import stage
 
 ORDER = 5
-#: Words and n-grams that the model keeps, over all languages; and languages, the most frequent ones.
-ENTRIES = 300_000
-LANGUAGES = 200
-#: Words that a task counts before it passes its counts on; pieces of text that a worker remembers.
-COUNTED = 400_000
-REMEMBERED = 300_000
+#: Characters of a chunk of texts, one text at least.
+CHUNK = 8_000_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -38,56 +37,147 @@ def words_of(token: str) -> list[str]:
     return WORD.findall(token.lower())
 
 
-def _flushed(counts: dict[str, Counter]) -> pa.RecordBatch:
-    words: Counter = Counter()
+DEALT = [
+    ("chunk", pa.int64()),
+    ("doc_id", pa.int64()),
+    ("held_out", pa.bool_()),
+    ("text", pa.string()),
+    ("word", pa.string()),
+    ("langs", pa.list_(pa.string())),
+    ("counts", pa.list_(pa.int64())),
+]
+DEALT_SCHEMA = (
+    "chunk long, doc_id long, held_out boolean, text string, word string, langs array<string>, counts array<long>"
+)
+
+
+def _vocabulary(chunk: int, counts: dict[str | None, Counter]) -> pa.RecordBatch:
+    """The words of a chunk, each once, with their counts in the languages to learn (None: not learned from)."""
+    words: dict[str, dict[str, int]] = {}
     for lang, tokens in counts.items():
         for token, n in tokens.items():
             for word in words_of(token):
-                words[lang, word] += n
-    counts.clear()
-    langs, values = ([k[i] for k in words] for i in range(2))
-    return record([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())], [langs, values, words.values()])
+                of = words.setdefault(word, {})
+                if lang is not None:
+                    of[lang] = of.get(lang, 0) + n
+    n, each = len(words), words.values()
+    nulls = [pa.nulls(n, kind) for _, kind in DEALT[1:4]]
+    return record(DEALT, [[chunk] * n, *nulls, words, [list(of) for of in each], [list(of.values()) for of in each]])
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[str, Counter] = {}
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts with the number of their chunk, and the words of each chunk."""
+    chunk, chars, counts = TaskContext.get().partitionId() << 32, 0, {}
     for batch in batches:
         for piece in pieces(batch):
-            for lang, text in zip(piece.column("lang").to_pylist(), texts(piece)):
+            values, n = texts(piece), piece.num_rows
+            for lang, text in zip(piece.column("learned").to_pylist(), values):
                 counts.setdefault(lang, Counter()).update(text.split())
-            if sum(map(len, counts.values())) > COUNTED:
-                yield _flushed(counts)
-    yield _flushed(counts)
+                chars += len(text)
+            nulls = [pa.nulls(n, kind) for _, kind in DEALT[4:]]
+            yield record(DEALT, [[chunk] * n, piece.column("doc_id"), piece.column("held_out"), values, *nulls])
+            if chars >= CHUNK:
+                yield _vocabulary(chunk, counts)
+                chunk, chars, counts = chunk + 1, 0, {}
+    yield _vocabulary(chunk, counts)
+
+
+def dealt(docs: DataFrame) -> DataFrame:
+    """The texts in chunks (``text`` is set) and the words of each chunk (``word`` is set), staged."""
+    importable(docs.sparkSession)
+    out = held_out()
+    rows = docs.select(
+        F.col("doc_id").cast("long"), out.alias("held_out"), "text", F.when(~out, F.col("lang")).alias("learned")
+    )
+    return stage(rows.mapInArrow(_deal, DEALT_SCHEMA), "language-texts")
+
+
+def grams_of(word: str, sizes: range = range(1, ORDER + 1)) -> Iterator[str]:
+    """All n-grams of a word and the space around it."""
+    padded, end = f" {word} ", len(word) + 2
+    return (padded[at : at + size] for size in sizes for at in range(end - size + 1))
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [("lang", pa.string()), ("size", pa.int32()), ("gram", pa.string()), ("n", pa.int64())]
+    kinds = [("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())]
     for batch in batches:
-        counts: dict[str, list[dict[str, int]]] = {}
+        counts: dict[str, dict[str, int]] = {}
         for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
-            padded, end = f" {word} ", len(word) + 2
-            of = counts.get(lang) or counts.setdefault(lang, [{} for _ in range(ORDER)])
-            for size, grams in enumerate(of, 1):
-                for at in range(end - size + 1):
-                    gram = padded[at : at + size]
-                    grams[gram] = grams.get(gram, 0) + n
-        for lang, of in counts.items():
-            for size, grams in enumerate(of, 1):
-                yield record(kinds, [[lang] * len(grams), [size] * len(grams), grams, grams.values()])
+            grams = counts.setdefault(lang, {})
+            for gram in grams_of(word):
+                grams[gram] = grams.get(gram, 0) + n
+        for lang, grams in counts.items():
+            yield record(kinds, [[lang] * len(grams), grams, grams.values()])
 
 
-class Model:
-    """Log frequencies of words (size 0) and n-grams by language; ``rows`` has a dictionary for each size."""
+def _wanted_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        wanted: dict[int, set[str]] = {}
+        for chunk, word in zip(*(batch.column(c).to_pylist() for c in ("chunk", "word"))):
+            wanted.setdefault(chunk, set()).update(grams_of(word))
+        for chunk, grams in wanted.items():
+            yield record([("chunk", pa.int64()), ("gram", pa.string())], [[chunk] * len(grams), sorted(grams)])
+
+
+class Model(NamedTuple):
+    """What was learned: languages, (language, size) sums, and the words (size 0) and n-grams with their counts.
+
+    ``words`` and ``grams`` have a row for each gram: gram, size, langs, counts.
+    """
 
-    def __init__(self, langs: list[str], rows: list[dict[str, int]], logs: np.ndarray):
-        self.langs, self.rows, self.logs = langs, rows, logs
-        self.tokens: dict[str, tuple[int, ...]] = {}
+    langs: list[str]
+    sums: np.ndarray
+    words: DataFrame
+    grams: DataFrame
 
-    def __reduce__(self):
-        return Model, (self.langs, self.rows, self.logs)
+
+def _by_gram(counted: DataFrame, size) -> DataFrame:
+    of = F.array_sort(F.collect_list(F.struct("lang", "n")))
+    rows = counted.groupBy("gram").agg(of.alias("of"))
+    return rows.select("gram", size.cast("int").alias("size"), F.col("of.lang").alias("langs"), F.col("of.n").alias("counts"))
+
+
+def train(chunks: DataFrame) -> Model:
+    """Learn from the words of ``dealt`` documents that have a language and are not held out."""
+    pairs = F.explode(F.arrays_zip("langs", "counts")).alias("of")
+    counted = chunks.where("word is not null").select("word", pairs)
+    counted = counted.groupBy(F.col("of.langs").alias("lang"), "word").agg(F.sum("of.counts").alias("n"))
+    counted = stage(counted, "language-words")
+    grams = counted.mapInArrow(_count_grams, "lang string, gram string, n long")
+    grams = stage(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
+    totals = [(r.lang, 0, r.n) for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()]
+    sized = grams.groupBy("lang", F.length("gram").alias("size")).agg(F.sum("n").alias("n"))
+    totals += [(r.lang, r["size"], r.n) for r in sized.collect()]
+    langs = sorted({lang for lang, _, _ in totals})
+    number = {lang: i for i, lang in enumerate(langs)}
+    sums = np.zeros((ORDER + 1, len(langs)))
+    for lang, size, n in totals:
+        sums[size, number[lang]] = n
+    words = _by_gram(counted.withColumnRenamed("word", "gram"), F.lit(0))
+    return Model(langs, sums, words, _by_gram(grams, F.length("gram")))
+
+
+class Scorer:
+    """Languages of texts whose words, and n-grams of unknown words, are looked up in ``found``."""
+
+    def __init__(self, langs: list[str], sums: np.ndarray, found: pa.Table):
+        self.langs, self.tokens = langs, {}
+        self.rows: list[dict[str, int]] = [{} for _ in range(ORDER + 1)]
+        sizes, grams = found.column("size").to_pylist(), found.column("gram").to_pylist()
+        for i, (size, gram) in enumerate(zip(sizes, grams)):
+            self.rows[size][gram] = i
+        self.sizes = np.array(sizes, dtype=np.int64)
+        # A language without the entry counts a half; what others have beyond that is kept entry by entry.
+        self.least = np.log(0.5 / (sums + 1.0))
+        lengths = pc.list_value_length(found.column("langs")).to_numpy()
+        self.ends = np.cumsum(lengths, dtype=np.int64)
+        self.lengths = lengths.astype(np.int64)
+        names = pc.list_flatten(found.column("langs"))
+        self.lang = pc.index_in(names, value_set=pa.array(langs, names.type)).to_numpy().astype(np.int64)
+        self.more = np.log(pc.list_flatten(found.column("counts")).to_numpy() * 2.0 + 1.0)
 
     def rows_of(self, word: str) -> list[int]:
-        """Rows of ``logs`` that a word adds up: its own, or those of the longest known n-grams."""
+        """Rows that a word adds up: its own, or those of the longest known n-grams."""
         known = self.rows[0].get(word)
         if known is not None:
             return [known]
@@ -107,59 +197,29 @@ class Model:
         self.tokens[token] = rows
         return rows
 
+    def added(self, rows: list[int]) -> np.ndarray:
+        """The log frequencies of the rows, summed by language."""
+        at = np.array(rows, dtype=np.int64)
+        lengths, ends = self.lengths[at], self.ends[at]
+        to = np.cumsum(lengths)
+        flat = np.arange(to[-1] if len(to) else 0) + np.repeat(ends - to, lengths)
+        sums = np.bincount(self.lang[flat], self.more[flat], len(self.langs))
+        return sums + np.bincount(self.sizes[at], minlength=ORDER + 1) @ self.least
+
     def predict(self, text: str) -> tuple[str, float]:
         """The language of a text and the share it gets among all languages."""
         if not self.langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
-        if len(self.tokens) > REMEMBERED:
-            self.tokens.clear()
         tokens, known = text.split(), self.tokens.get
         rows: list[int] = []
         for token in tokens:
             found = known(token)
             rows.extend(self.token(token) if found is None else found)
-        sums = self.logs[rows].sum(0) if rows else np.zeros(len(self.langs))
+        sums = self.added(rows)
         best = int(sums.argmax())
         return self.langs[best], float(1 / np.exp((sums - sums[best]) / math.sqrt(len(tokens))).sum())
 
 
-def train(docs: DataFrame) -> Model:
-    """Learn from the documents with a language that are not held out."""
-    importable(docs.sparkSession)
-    learned = docs.where(~held_out() & F.col("lang").isNotNull()).select("lang", "text")
-    counted = learned.mapInArrow(_count_words, "lang string, word string, n long")
-    words = stage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    langs = sorted(r.lang for r in totals.collect())
-    if not langs:
-        return Model([], [], np.zeros((0, 0)))
-    each = ENTRIES // (len(langs) * (ORDER + 1))
-    words = words.where(F.col("lang").isin(langs))
-    grams = words.mapInArrow(_count_grams, "lang string, size int, gram string, n long")
-    grams = grams.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
-    entries = stage(words.select("lang", F.lit(0).alias("size"), F.col("word").alias("gram"), "n").unionByName(grams), "language-grams")
-    sums = {(r.lang, r.size): r.n for r in entries.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
-    # The least count with which no more than ``each`` entries of a language and size are kept.
-    tally = entries.groupBy("lang", "size", "n").agg(F.count("*").alias("with_n"))
-    so_far = F.sum("with_n").over(Window.partitionBy("lang", "size").orderBy(F.desc("n")))
-    least = tally.withColumn("so_far", so_far).where(F.col("so_far") <= each)
-    least = stage(least.groupBy("lang", "size").agg(F.min("n").alias("least")), "language-least")
-    frequent = entries.join(least, ["lang", "size"]).where(F.col("n") >= F.col("least"))
-    kept = entries.join(frequent.select("size", "gram").distinct(), ["size", "gram"], "left_semi").toArrow()
-    sizes, names, of, counts = (kept.column(c).to_pylist() for c in ("size", "gram", "lang", "n"))
-    rows: list[dict[str, int]] = [{} for _ in range(ORDER + 1)]
-    places = sorted(set(zip(sizes, names)))
-    for i, (size, name) in enumerate(places):
-        rows[size][name] = i
-    logs = np.full((len(places), len(langs)), 0.5)
-    number = {lang: i for i, lang in enumerate(langs)}
-    for size, name, lang, n in zip(sizes, names, of, counts):
-        logs[rows[size][name], number[lang]] += n
-    scale = np.array([[sums.get((lang, size), 0) + 1.0 for lang in langs] for size in range(ORDER + 1)])
-    logs = np.log(logs / scale[np.array([size for size, _ in places], dtype=int)])
-    return Model(langs, rows, logs)
-
-
 PREDICTED = [
     ("doc_id", pa.int64()),
     ("held_out", pa.bool_()),
@@ -168,19 +228,35 @@ PREDICTED = [
 ]
 
 
-def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
+def looked_up(chunks: DataFrame, model: Model) -> DataFrame:
+    """(chunk, gram, size, langs, counts): the model's rows that the chunks need."""
+    wanted = chunks.where("word is not null").select("chunk", F.col("word").alias("gram"))
+    found = stage(wanted.join(model.words, "gram", "left"), "language-known")
+    unseen = found.where("size is null").select("chunk", F.col("gram").alias("word"))
+    grams = unseen.mapInArrow(_wanted_grams, "chunk long, gram string").distinct().join(model.grams, "gram")
+    columns = ["chunk", "gram", "size", "langs", "counts"]
+    return found.where("size is not null").select(columns).unionByName(grams.select(columns))
+
+
+def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score (share of the prediction, 0 to 1).
 
-    Without a model it learns one from the documents. Texts that are null or have no letter are ``und`` with the
-    score 0, and so is everything if there is nothing to learn from; equal scores go to the language that sorts
-    first; rows with null (not held out) or equal ids are scored each; other columns are not read.
+    The model is learned from the documents that have a language and are not held out. Texts that are null or have
+    no letter are ``und`` with the score 0, and so is everything if there is nothing to learn from; equal scores go
+    to the language that sorts first; rows with null (not held out) or equal ids are scored each; other columns are
+    not read.
     """
-    model = train(docs) if model is None else model
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), "text")
+    chunks = dealt(docs)
+    model = train(chunks)
+    langs, sums = model.langs, model.sums
 
-    def work(piece: pa.RecordBatch):
-        found = [sent.value.predict(t) for t in texts(piece)]
-        yield record(PREDICTED, [piece.column("doc_id"), piece.column("held_out"), *([f[i] for f in found] for i in range(2))])
+    def work(rows: pa.Table, found: pa.Table) -> pa.Table:
+        scorer = Scorer(langs, sums, found)
+        predicted = [scorer.predict(t) for t in rows.column("text").to_pylist()]
+        kept = [rows.column(c).combine_chunks() for c in ("doc_id", "held_out")]
+        return pa.Table.from_batches([record(PREDICTED, [*kept, *([p[i] for p in predicted] for i in range(2))])])
 
-    return map_texts(rows, work, "doc_id long, held_out boolean, lang_pred string, score double")
+    rows = chunks.where("text is not null").select("chunk", "doc_id", "held_out", "text").groupBy("chunk")
+    found = looked_up(chunks, model).groupBy("chunk")
+    schema = "doc_id long, held_out boolean, lang_pred string, score double"
+    return rows.cogroup(found).applyInArrow(work, schema)
