@@ -272,8 +272,10 @@ def _joined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         if unit[-1] == before:
             rest.append(batch)
             continue
-        last = int(np.flatnonzero(unit != unit[-1])[-1]) + 1
-        yield _pairs_of(pa.Table.from_batches([*rest, batch.slice(0, last)]), percent)
+        # A batch of one other unit begins where the held one ends: nothing of it goes with the held rows.
+        others = np.flatnonzero(unit != unit[-1])
+        last = int(others[-1]) + 1 if len(others) else 0
+        yield _pairs_of(pa.Table.from_batches([*rest, *([batch.slice(0, last)] if last else [])]), percent)
         rest = [batch.slice(last)]
     if rest:
         yield _pairs_of(pa.Table.from_batches(rest), percent)

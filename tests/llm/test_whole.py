@@ -1,6 +1,9 @@
 """Whole results where a bound once cut them."""
 
-from probelake.llm import language
+import numpy as np
+import pyarrow as pa
+
+from probelake.llm import jaccard, language
 from probelake.llm.common import held_out
 
 
@@ -19,3 +22,14 @@ def test_language_has_no_bound_on_languages_and_words(spark):
     chunks = language.dealt(spark.createDataFrame([(1_000_000, " ".join(words), "x")], docs.schema))
     known = language.looked_up(chunks, language.train(chunks)).where("size = 0")
     assert {r.gram for r in known.collect()} == words
+
+
+def test_jaccard_units_may_end_where_batches_end():
+    kinds = [(c, pa.int64()) for c in ("unit", "node", "n", "part", "root")] + [("counts", pa.binary())]
+    sets = [np.arange(40, dtype=np.uint64) * np.uint64(2**33 + 1), np.arange(41, dtype=np.uint64) * np.uint64(2**33 + 1)]
+    rows = [(unit, 2 * unit + i, len(s), 2, 2 * unit + i, jaccard.counted(s)) for unit in range(4) for i, s in enumerate(sets)]
+    expected = [(2 * unit, 2 * unit + 1) for unit in range(4)]
+    for size in range(1, 9):
+        batches = [jaccard.record(kinds, list(zip(*rows[at : at + size]))) for at in range(0, 8, size)]
+        found = [tuple(p.values()) for b in jaccard._joined(iter(batches), 80) for p in b.to_pylist()]
+        assert found == expected
