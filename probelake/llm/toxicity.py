@@ -6,7 +6,8 @@ estimates by expectation maximisation how often each fires in either class, and
 within a class, by which it discounts those that fire together. Its posteriors, not the labels, train a logistic
 regression over a wider set of words and beginnings, which scores every document.
 
-It learns from at most ``TOXIC`` and ``CLEAN`` labelled rows, chosen by a hash of the id, none of them held out.
+It learns from at most ``TOXIC`` and ``CLEAN`` labelled rows, chosen by a hash of the id, none of them held out. A row
+of a class that was cut stands for as many as there are to each chosen one, so rates are those of all labelled rows.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ def features_of(token: str) -> list[str]:
 
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [("feature", pa.string()), ("n", pa.int64()), ("toxic", pa.int64())]
+    kinds = [("feature", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())]
     for batch in batches:
         for piece in pieces(batch):
             every, bad = Counter(), Counter()
@@ -60,19 +61,25 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 every.update(present)
                 if toxic:
                     bad.update(present)
-            yield record(kinds, [every, every.values(), [bad[f] for f in every]])
+            yield record(kinds, [every, [n - bad[f] for f, n in every.items()], [bad[f] for f in every]])
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts and labels of the labelled rows to learn from; ``toxic`` is the larger one of several labels."""
+def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[float]]:
+    """Texts and labels of the labelled rows to learn from, and for how many rows one of class 0 and 1 stands.
+
+    ``toxic`` is the larger one of several labels.
+    """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    times = [max(1.0, totals.get(k, 0) / n) for k, n in ((0, CLEAN), (1, TOXIC))]
     draw = F.xxhash64("doc_id")
     chosen = [known.where(F.col("toxic") == k).orderBy(draw, "doc_id").limit(n) for k, n in ((1, TOXIC), (0, CLEAN))]
     ids = chosen[0].unionByName(chosen[1]).withColumnRenamed("doc_id", "__id")
     rows = docs.where(~held_out()).select("doc_id", "text")
     # At most TOXIC + CLEAN ids, whatever the size of the corpus.
-    return stage(rows.join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).select("toxic", "text"), "toxicity-sample")
+    rows = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).select("toxic", "text")
+    return stage(rows, "toxicity-sample"), times
 
 
 def surprise(both: np.ndarray, alone: np.ndarray, n: float, n_toxic: float) -> np.ndarray:
@@ -112,14 +119,17 @@ def label_model(votes: np.ndarray, weights: np.ndarray, start: np.ndarray, share
     return posterior
 
 
-def regression(rows: list[list[int]], target: np.ndarray, width: int) -> np.ndarray:
-    """Weights (the constant last) of a ridge logistic regression on sets of features, by gradient steps."""
+def regression(rows: list[list[int]], target: np.ndarray, width: int, counted: np.ndarray) -> np.ndarray:
+    """Weights (the constant last) of a ridge logistic regression on sets of features, by gradient steps.
+
+    ``counted`` is how much each row counts.
+    """
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     which = np.array([f for r in rows for f in r], dtype=np.int64)
     weights, momentum, scale = np.zeros(width + 1), np.zeros(width + 1), np.full(width + 1, 1e-9)
     for step in range(300):
         sums = weights[-1] + np.bincount(at, weights[which], len(rows))
-        error = 1 / (1 + np.exp(-np.clip(sums, -30, 30))) - target
+        error = counted * (1 / (1 + np.exp(-np.clip(sums, -30, 30))) - target)
         slope = np.append(np.bincount(which, error[at], width), error.sum())
         slope += RIDGE * np.append(weights[:-1], 0.0)
         momentum = 0.9 * momentum + 0.1 * slope
@@ -159,21 +169,25 @@ class Classifier:
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Learn a classifier; without labelled rows of class 1 it scores every text 0."""
     importable(docs.sparkSession)
-    rows = sample(docs, labels)
+    rows, times = sample(docs, labels)
     sizes = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
     if not sizes.toxic:
         return Classifier([], np.zeros(0), -30.0)
-    counts = rows.mapInArrow(_presence, "feature string, n long, toxic long").groupBy("feature")
-    counts = counts.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    lift = F.col("toxic") / F.col("n") / (sizes.toxic / sizes.n)
+    all_toxic, all_clean = times[1] * sizes.toxic, times[0] * (sizes.n - sizes.toxic)
+    share = all_toxic / (all_toxic + all_clean)
+    counts = rows.mapInArrow(_presence, "feature string, clean long, toxic long").groupBy("feature")
+    counts = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    # What chance gives depends on the rows there are, so this bound is on the sample as drawn, unlike all rates.
+    lift = F.col("toxic") / (F.col("clean") + F.col("toxic")) / (sizes.toxic / sizes.n)
     gain = F.col("toxic") * F.log(lift)
     kept = counts.where((F.col("toxic") >= LEAST_DOCS) & (gain >= LEAST_GAIN)).orderBy(gain.desc(), "feature")
     kept = kept.limit(FEATURES).collect()
     if not kept:
-        return Classifier([], np.zeros(0), float(np.log(sizes.toxic / (sizes.n - sizes.toxic + 1.0))))
+        return Classifier([], np.zeros(0), float(np.log(all_toxic / (all_clean + 1.0))))
     names = [r.feature for r in kept]
-    both, alone = (np.array([r[c] for r in kept], dtype=float) for c in ("toxic", "n"))
-    gains = surprise(both, alone, sizes.n, sizes.toxic)
+    both, clean = (times[k] * np.array([r[c] for r in kept], dtype=float) for k, c in ((1, "toxic"), (0, "clean")))
+    alone = both + clean
+    gains = surprise(both, alone, all_toxic + all_clean, all_toxic)
     voters = [i for i in np.argsort(-gains, kind="stable") if both[i] >= LEAST_PRECISION * alone[i]][:VOTERS]
     blank = Classifier(names, np.zeros(len(names)), 0.0)
 
@@ -181,19 +195,24 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
         for batch in batches:
             for piece in pieces(batch):
                 found = [sorted(blank.present(t)) for t in texts(piece)]
-                yield record([("found", pa.list_(pa.int32()))], [found])
-
-    vectors = rows.mapInArrow(present, "found array<int>").toArrow().column("found").to_pylist()
-    vectors = sorted(vectors)
+                yield record([("found", pa.list_(pa.int32())), ("toxic", pa.int32())], [found, piece.column("toxic").cast("int32")])
+
+    table = rows.mapInArrow(present, "found array<int>, toxic int").toArrow()
+    labelled = sorted(zip(table.column("found").to_pylist(), table.column("toxic").to_pylist()))
+    vectors = [found for found, _ in labelled]
+    # Rows count by what they stand for, and all of them as many as were drawn.
+    counted = np.array([times[toxic] for _, toxic in labelled])
+    counted *= len(counted) / counted.sum()
     place = {v: i + 1 for i, v in enumerate(voters)}
     votes = np.zeros((len(vectors), len(voters) + 1))
     for i, found in enumerate(vectors):
         fired = [place[f] for f in found if f in place]
         votes[i, fired or [0]] = 1.0
     start = np.clip(np.append(0.01, both[voters] / alone[voters]), 0.01, 0.99)
-    patterns, inverse, times = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    posterior = label_model(patterns, times.astype(float), start, sizes.toxic / sizes.n)[inverse.ravel()]
-    weights = regression(vectors, posterior, len(names))
+    patterns, inverse = np.unique(votes, axis=0, return_inverse=True)
+    inverse = inverse.ravel()
+    posterior = label_model(patterns, np.bincount(inverse, counted), start, share)[inverse]
+    weights = regression(vectors, posterior, len(names), counted)
     return Classifier(names, weights[:-1], float(weights[-1]))
 
 

@@ -1,9 +1,11 @@
 """Whole results where a bound once cut them."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 
-from probelake.llm import jaccard, language
+from probelake.llm import jaccard, language, toxicity
 from probelake.llm.common import held_out
 
 
@@ -33,3 +35,24 @@ def test_jaccard_units_may_end_where_batches_end():
         batches = [jaccard.record(kinds, list(zip(*rows[at : at + size]))) for at in range(0, 8, size)]
         found = [tuple(p.values()) for b in jaccard._joined(iter(batches), 80) for p in b.to_pylist()]
         assert found == expected
+
+
+def test_toxicity_scores_do_not_follow_the_bounds_of_the_sample(spark, monkeypatch):
+    rng = random.Random(3)
+    noise = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(60)]
+    docs, labels = [], []
+    for i in range(12_000):
+        toxic = rng.random() < 0.1
+        words = rng.choices(noise, k=5) + [w for w, yes, no in (("vileword", 0.7, 0.005), ("weakword", 0.5, 0.08)) if rng.random() < (yes if toxic else no)]
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def odds(toxic, clean):
+        monkeypatch.setattr(toxicity, "TOXIC", toxic)
+        monkeypatch.setattr(toxicity, "CLEAN", clean)
+        scores = [toxicity.train(docs, labels).score(t) for t in ("nothing", "weakword")]
+        return np.log(np.array(scores) / (1 - np.array(scores)))
+
+    assert np.abs(odds(10_000, 20_000) - odds(600, 1200)).max() < 0.4
