@@ -9,7 +9,6 @@ unpacks to itself ends. Spans found in a layer are mapped to the document; base
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -106,10 +105,17 @@ def _resolved(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 
 
 def _url(run: str) -> list[tuple[str, int]] | None:
-    try:
-        return [(c, 3 * len(c.encode())) for c in bytes.fromhex(run.replace("%", "")).decode()]
-    except UnicodeDecodeError:
-        return None
+    """The characters of a run of escapes; bytes that are not UTF-8 stay escaped."""
+    decoded = bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape")
+    found, at = [], 0
+    for c in decoded:
+        if "\udc80" <= c <= "\udcff":
+            found += [(x, 1) for x in run[at : at + 3]]
+            at += 3
+        else:
+            found.append((c, 3 * len(c.encode())))
+            at += found[-1][1]
+    return found if any(n > 1 for _, n in found) else None
 
 
 def _unicode(escape: str) -> list[tuple[str, int]] | None:
@@ -124,36 +130,68 @@ def _unicode(escape: str) -> list[tuple[str, int]] | None:
     return [(chr(code), len(escape))]
 
 
-def _inflate(data: bytes) -> tuple[bytes, bool]:
-    """The data, unpacked if it is compressed, and whether that was cut."""
+def _machine(data: bytes):
     if data[:2] == b"\x1f\x8b":
-        machine = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 1 and (data[0] * 256 + data[1]) % 31 == 0:
-        machine = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        machine = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        machine = lzma.LZMADecompressor()
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 1 and (data[0] * 256 + data[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _inflate(data: bytes) -> tuple[bytes | None, bool]:
+    """What all members of compressed data hold (None if it is not compressed), and whether that was cut."""
+    out, size = [], 0
+    while size < INFLATED and (machine := _machine(data)):
+        try:
+            out.append(machine.decompress(data, INFLATED - size))
+        except (zlib.error, OSError, lzma.LZMAError, EOFError):
+            break
+        size += len(out[-1])
+        if not machine.eof:
+            return b"".join(out), size >= INFLATED
+        data = machine.unused_data.lstrip(b"\0")
     else:
-        return data, False
+        return (b"".join(out) if out else None), bool(out and size >= INFLATED and data)
+    return (b"".join(out) if out else None), False
+
+
+def _texts(data: bytes) -> list[str]:
+    """The texts that bytes may hold: UTF-8 or else Latin-1, and UTF-16 if they look like it; none if they look random."""
+    found = []
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        found.append(data.decode("utf-16", "replace"))
+    elif data.count(0) * 4 >= len(data):
+        found += [data.decode(code, "replace") for code in ("utf-16-le", "utf-16-be")]
     try:
-        out = machine.decompress(data, INFLATED)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return data, False
-    return out, len(out) >= INFLATED and not machine.eof
+        found.append(data.decode())
+    except UnicodeDecodeError:
+        # One character for each byte: nothing that is written in ASCII is lost, whatever else there is.
+        found.append(data.decode("latin-1"))
+    return found
 
 
-def _base64(run: str) -> tuple[str, bool] | None:
-    """The text that a base64 run holds, if it holds one, and whether it was cut."""
+def _decoded(data: bytes) -> tuple[list[str], bool]:
+    """The texts that bytes hold, unpacked as often as they are compressed, and whether that was cut."""
+    found, cut_any, seen = [], False, set()
+    while True:
+        found += _texts(data)
+        data, cut = _inflate(data)
+        cut_any |= cut
+        if data is None or (digest := hashlib.md5(data).digest()) in seen:
+            return found, cut_any
+        seen.add(digest)
+
+
+def _base64(run: str) -> tuple[list[str], bool]:
+    """The texts that a base64 run holds, and whether they were cut."""
     bare = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(bare) % 4 == 1:
-        return None
-    try:
-        data, cut = _inflate(base64.b64decode(bare + "=" * (-len(bare) % 4), validate=True))
-        text = data.decode("utf-8", "ignore" if cut else "strict")
-    except (binascii.Error, UnicodeDecodeError):
-        return None
-    return (text, cut) if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+        return [], False
+    return _decoded(base64.b64decode(bare + "=" * (-len(bare) % 4), validate=True))
 
 
 def layers(text: str) -> Iterator[tuple[Layer, bool]]:
@@ -167,9 +205,9 @@ def layers(text: str) -> Iterator[tuple[Layer, bool]]:
         if "\\" in layer.text or "&#" in layer.text:
             inner.append((_resolved(layer, UNICODE, _unicode), False))
         for m in BASE64.finditer(layer.text):
-            unpacked = _base64(m[0])
-            if unpacked:
-                inner.append((Layer(unpacked[0], whole=layer.place(m.start(), m.end())), unpacked[1]))
+            unpacked, cut = _base64(m[0])
+            whole = layer.place(m.start(), m.end())
+            inner += [(Layer(text, whole=whole), cut) for text in unpacked]
         for new, cut in inner:
             if new is None or not new.text:
                 continue

@@ -1,11 +1,17 @@
 """Whole results where a bound once cut them."""
 
+import base64
+import bz2
+import gzip
+import lzma
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
-from probelake.llm import jaccard, language, toxicity
+from probelake.llm import jaccard, language, secrets, toxicity
 from probelake.llm.common import held_out
 
 
@@ -56,3 +62,30 @@ def test_toxicity_scores_do_not_follow_the_bounds_of_the_sample(spark, monkeypat
         return np.log(np.array(scores) / (1 - np.array(scores)))
 
     assert np.abs(odds(10_000, 20_000) - odds(600, 1200)).max() < 0.4
+
+
+PLAIN = b"password=abcdefghij1234"
+GZIPPED = gzip.compress(PLAIN, mtime=0)
+
+
+@pytest.mark.parametrize(
+    "data",
+    [
+        gzip.compress(GZIPPED, mtime=0),
+        *(pack(GZIPPED) for pack in (zlib.compress, bz2.compress, lzma.compress)),
+        *(pack(b"nothing here") + pack(PLAIN) for pack in (lambda d: gzip.compress(d, mtime=0), bz2.compress, lzma.compress)),
+        *(c.encode() + PLAIN for c in "\ufeff\xa0\u200b\xad\f\0"),
+        b"\xff " + PLAIN,
+        PLAIN.decode().encode("utf-16"),
+        PLAIN.decode().encode("utf-16-le"),
+    ],
+)
+def test_secrets_in_layers_of_any_bytes(data):
+    text = f"x {base64.b64encode(data).decode()} y"
+    _, found, cut = secrets.scan(text)
+    assert (2, 0, len(text) - 2) in found and not cut
+
+
+def test_secrets_beside_a_bad_escape():
+    _, found, _ = secrets.scan("x %FF%70%61ssword=abcdefghij1234 y")
+    assert (5, 0, 32) in found
