@@ -41,7 +41,12 @@ UNICODE = re.compile(
     r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\u\{[0-9a-fA-F]{1,6}\}"
     r"|\\x[0-9a-fA-F]{2}|&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};"
 )
-BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: A run over several lines, the last of them maybe short.
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*\r?\n[ \t]*[A-Za-z0-9+/_-]+={0,2}")
+BREAK = re.compile(r"\s+")
+#: Where compressed data may begin behind what was glued to it.
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 #: Layers are inflated up to so many bytes; a document with a larger one is marked as ``cut``.
 INFLATED = 32 * 1024**2
 REDACTED = "[secret]"
@@ -187,11 +192,18 @@ def _decoded(data: bytes) -> tuple[list[str], bool]:
 
 
 def _base64(run: str) -> tuple[list[str], bool]:
-    """The texts that a base64 run holds, and whether they were cut."""
-    bare = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(bare) % 4 == 1:
-        return [], False
-    return _decoded(base64.b64decode(bare + "=" * (-len(bare) % 4), validate=True))
+    """The texts that a base64 run holds, from each of its first four characters on, and whether they were cut."""
+    bare = BREAK.sub("", run).rstrip("=").replace("-", "+").replace("_", "/")
+    found, cut_any = [], False
+    for first in range(4):
+        part = bare[first : len(bare) - ((len(bare) - first) % 4 == 1)]
+        data = base64.b64decode(part + "=" * (-len(part) % 4))
+        starts = [0, *(m.start() for m in PACKED.finditer(data) if m.start())]
+        for start in starts:
+            unpacked, cut = _decoded(data[start:])
+            found += unpacked if not start else unpacked[len(_texts(data[start:])) :]
+            cut_any |= cut
+    return found, cut_any
 
 
 def layers(text: str) -> Iterator[tuple[Layer, bool]]:
@@ -204,7 +216,8 @@ def layers(text: str) -> Iterator[tuple[Layer, bool]]:
             inner.append((_resolved(layer, URL, _url), False))
         if "\\" in layer.text or "&#" in layer.text:
             inner.append((_resolved(layer, UNICODE, _unicode), False))
-        for m in BASE64.finditer(layer.text):
+        runs = [*BASE64.finditer(layer.text), *(WRAPPED.finditer(layer.text) if "\n" in layer.text else ())]
+        for m in runs:
             unpacked, cut = _base64(m[0])
             whole = layer.place(m.start(), m.end())
             inner += [(Layer(text, whole=whole), cut) for text in unpacked]

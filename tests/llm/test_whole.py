@@ -89,3 +89,17 @@ def test_secrets_in_layers_of_any_bytes(data):
 def test_secrets_beside_a_bad_escape():
     _, found, _ = secrets.scan("x %FF%70%61ssword=abcdefghij1234 y")
     assert (5, 0, 32) in found
+
+
+def test_secrets_in_runs_of_either_alphabet_over_lines_and_behind_prefixes():
+    rng = random.Random(8)
+    for _ in range(40):
+        data = rng.randbytes(30) + b" " + PLAIN + b" " + rng.randbytes(30)
+        lines = b"".join(b"line %d\n" % rng.randrange(10**9) for _ in range(30)) + PLAIN
+        prefix = "/" + "".join(rng.choices("abc/", k=rng.randint(1, 9))) + "/"
+        runs = [base64.urlsafe_b64encode(d).decode() for d in (data, zlib.compress(lines))]
+        runs += [base64.encodebytes(d).decode().strip() for d in (data, lines, zlib.compress(lines))]
+        runs += [prefix + base64.b64encode(d).decode() for d in (data, GZIPPED)]
+        for run in runs:
+            _, found, _ = secrets.scan(f"x {run} y")
+            assert any(kind == 0 and start == 2 for start, kind, _ in found), run
