@@ -16,6 +16,7 @@ from probelake.llm.decontamination import find_leaks
 from probelake.llm.html import extract
 from probelake.llm.jaccard import connected
 from probelake.llm.language import identify
+from probelake.llm import naive_bayes, repair
 from probelake.llm.oracles import ORACLES as ORACLES
 from probelake.llm.packing import pack
 from probelake.llm.quality import quality_rules
@@ -23,6 +24,7 @@ from probelake.llm import sharding
 from probelake.llm.secrets import find_secrets
 from probelake.llm.toxicity import score, train
 from probelake.llm.transducer import token_counts
+from probelake.llm.trie import conversation_trie
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -70,6 +72,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connected(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")).drop("node", "parent")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return naive_bayes.score(docs, naive_bayes.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
@@ -81,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_quality_classifier": op13_quality_classifier,
 }

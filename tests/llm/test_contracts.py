@@ -45,7 +45,7 @@ def held(doc_id):
 
 
 def test_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= entry.queries().keys()
 
 
