@@ -72,9 +72,13 @@ def contained(column: str, allowed: Sequence[str]) -> Constraint:
     return Constraint(CONTAINMENT, column, 1.0, tuple(allowed))
 
 
-def measure(df: DataFrame, constraints: Sequence[Constraint], by: Sequence[str] = ()) -> DataFrame:
+def measure(
+    df: DataFrame, constraints: Sequence[Constraint], by: Sequence[str] = (), groups: DataFrame | None = None
+) -> DataFrame:
     """All metrics as rows (``by`` columns, ``position`` in the list, ``metric``).
 
+    ``groups`` (``by`` columns) names groups that are measured even if they have no rows: their size is 0.
+
     Size, completeness and containment are one aggregation with partial sums in every task, so a group
     with most of the rows costs no more than others. Uniqueness counts rows per value first.
     """
@@ -89,6 +93,10 @@ def measure(df: DataFrame, constraints: Sequence[Constraint], by: Sequence[str]
     for i, constraint in enumerate(constraints):
         if constraint.kind == UNIQUENESS:
             parts = parts.unionByName(_uniqueness(df, constraint.column, by, i))
+    if groups is not None:
+        nothing = [F.lit(0.0 if c.kind == SIZE else None).cast("double") for c in constraints]
+        rows = F.array(*[F.struct(F.lit(i).alias("position"), m.alias("metric")) for i, m in enumerate(nothing)])
+        parts = parts.unionByName(groups.select(*by).distinct().select(*by, F.inline(rows)))
     return parts.groupBy(*by, "position").agg(F.max("metric").alias("metric"))
 
 
@@ -110,9 +118,20 @@ def report(
     by: Sequence[str] = (),
     name: str = fixed.CHECK_NAME,
     level: str = fixed.CHECK_LEVEL,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """One row per constraint (and value of ``by``) with its status and that of the whole check."""
-    metrics = measure(df, constraints, by)
+    return report_of(measure(df, constraints, by, groups), constraints, by, name, level)
+
+
+def report_of(
+    metrics: DataFrame,
+    constraints: Sequence[Constraint],
+    by: Sequence[str] = (),
+    name: str = fixed.CHECK_NAME,
+    level: str = fixed.CHECK_LEVEL,
+) -> DataFrame:
+    """The report on metrics (``by`` columns, ``position``, ``metric``), wherever they come from."""
     position, metric = F.col("position"), F.col("metric")
 
     def per_constraint(value) -> Column:

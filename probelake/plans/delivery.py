@@ -12,7 +12,7 @@ from probelake.operators.columns import derive, drop_columns
 from probelake.plans.config import GEN_2, Generation, LakeConfig
 from probelake.plans.trusted import trusted_schema
 from probelake.sources.readers import table_or_none
-from probelake.sources.sinks import write_partitioned
+from probelake.sources.sinks import publish
 
 
 def enrich(trusted: DataFrame, generation: Generation = GEN_2) -> DataFrame:
@@ -39,11 +39,11 @@ def build_delivery(spark: SparkSession, cfg: LakeConfig) -> bool:
 
     A trusted table without rows gives a delivery table without rows.
 
-    The trusted table is stored by date, so scan tasks hold few dates each and write without a shuffle.
+    Readers see the table as it was until all of it is there. The trusted table is stored by date, so scan tasks hold few dates each and write without a shuffle.
     """
     trusted = table_or_none(spark, cfg.trusted, trusted_schema(spark, cfg.generation))
     if trusted is None:
         return False
     rows = enrich(trusted, cfg.generation)
-    write_partitioned(rows, cfg.delivery, ["bucket_date"], overwrite="static", rebalance=False)
+    publish(rows, cfg.delivery, "delivery", ["bucket_date"], rebalance=False)
     return True

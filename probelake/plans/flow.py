@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from probelake.plans.config import LakeConfig
 from probelake.plans.delivery import build_delivery
 from probelake.plans.ingest import ingest
-from probelake.plans.trusted import build_trusted
+from probelake.plans.trusted import build_trusted, new_run_id
 from probelake.sources.catalog import create_schema, delivery_table, quality_log_table
 
 
@@ -22,12 +22,13 @@ class RunResult:
 def run(spark: SparkSession, cfg: LakeConfig, run_id: str | None = None) -> RunResult:
     """Ingest, trusted table, catalog, delivery table."""
     landed = ingest(spark, cfg)
+    run_id = run_id or new_run_id()
     checked = build_trusted(spark, cfg, run_id)
     if checked is None:
         return RunResult(landed, None)
     if cfg.schema:
         create_schema(spark, cfg.schema, cfg.schema_location)
-        quality_log_table(spark, f"{cfg.schema}.quality_log", cfg.logs)
+        quality_log_table(spark, f"{cfg.schema}.quality_log", cfg.logs, run_id)
     if build_delivery(spark, cfg) and cfg.schema:
         delivery_table(spark, f"{cfg.schema}.delivery", cfg.delivery)
     return RunResult(landed, checked)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from probelake.functions.paths import relative_key
 from probelake.operators.landing import manifest, not_landed, wanted, within_budget
 from probelake.plans.config import LakeConfig
-from probelake.session import stage
+from probelake.session import scratch, stage
 from probelake.sources.readers import list_objects
 from probelake.sources.sinks import copy_objects
 
@@ -37,8 +37,9 @@ def choose(spark: SparkSession, cfg: LakeConfig, objects: DataFrame | None = Non
 
 def ingest(spark: SparkSession, cfg: LakeConfig, objects: DataFrame | None = None) -> DataFrame:
     """Copy the chosen files; returns the copies made (``dest_key``, ``bytes``)."""
-    chosen = stage(choose(spark, cfg, objects), "chosen")
-    return stage(copy_objects(chosen, cfg.raw, copy_tasks(chosen)), "landed")
+    with scratch(spark):
+        chosen = stage(choose(spark, cfg, objects), "chosen")
+        return stage(copy_objects(chosen, cfg.raw, copy_tasks(chosen)), "landed", result=True)
 
 
 def copy_tasks(chosen: DataFrame) -> int:

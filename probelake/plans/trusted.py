@@ -18,9 +18,9 @@ from probelake.operators.columns import derive, project
 from probelake.operators.dedup import deduplicate, deduplicate_stored
 from probelake.plans.config import FOLDER_DATE, GEN_2, Generation, LakeConfig
 from probelake.schemas import measurement_schema, prune, trusted_fields
-from probelake.session import NARROW, UTC, settings, sized_for, staged
-from probelake.sources.readers import RAW_FILES, list_objects, read
-from probelake.sources.sinks import empty_partitions, write_partitioned
+from probelake.session import NARROW, UTC, scratch, settings, sized_for, stage
+from probelake.sources.readers import RAW_FILES, date_folders, list_objects, read
+from probelake.sources.sinks import publish
 
 # Copies of a measurement differ, if at all, in when and by which report they were sent.
 SURVIVOR_ORDER = ("test_start_time", "report_id")
@@ -78,27 +78,39 @@ def new_run_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
 
 
+def checked_run_id(run_id: str) -> str:
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"run_id is used as a folder name: {run_id!r}")
+    return run_id
+
+
 def log_quality(
-    rows: DataFrame, generation: Generation, path: str, run_id: str, by: list[str]
+    rows: DataFrame,
+    generation: Generation,
+    path: str,
+    run_id: str,
+    by: list[str],
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Check ``rows``, add the report to the log and return this run's part of the log.
 
-    A run that is repeated under its id replaces its own report, so decisions never mix two reports.
+    ``groups`` names values of ``by`` that are reported on even if they have no rows.
     """
-    if not re.fullmatch(r"[\w.-]+", run_id):
-        raise ValueError(f"run_id is used as a folder name: {run_id!r}")
-    checked = quality.report(rows, generation.constraints, by)
-    if by:
-        checked = checked.withColumnRenamed(by[0], "bucket_date")
-    write_partitioned(checked.withColumn("run_id", F.lit(run_id)), path, ["run_id"], rebalance=False)
-    return rows.sparkSession.read.parquet(f"{path}/run_id={run_id}")
+    checked_run_id(run_id)
+    return log_report(quality.report(rows, generation.constraints, by, groups=groups), path, run_id, by)
 
 
-def publish(rows: DataFrame, path: str, generation: Generation, dates: DataFrame) -> None:
-    """Write repaired rows to the trusted table; of ``dates`` (one column) those without rows become empty."""
-    write_partitioned(rows, path, generation.partition_by, overwrite=generation.overwrite)
-    if generation.overwrite == "dynamic":
-        empty_partitions(rows, path, dates)
+def log_report(checked: DataFrame, path: str, run_id: str, by: list[str]) -> DataFrame:
+    """Add a report to the log, one file in a folder of the run, and return it as it is there.
+
+    A run that is repeated under its id replaces its own report, so decisions never mix two reports. A report without
+    rows is logged as one.
+    """
+    if by:
+        checked = checked.withColumnRenamed(by[0], "bucket_date")
+    place = f"{path.rstrip('/')}/run_id={checked_run_id(run_id)}"
+    checked.coalesce(1).write.mode("overwrite").parquet(place)
+    return checked.sparkSession.read.schema(checked.schema).parquet(place)
 
 
 def build_trusted(
@@ -109,27 +121,44 @@ def build_trusted(
     The shaped rows are written to a staging table once, without a shuffle. The keys are then counted and the
     checks made from a few narrow columns of it, and the rows that stay go from it to the trusted table: the raw
     JSON is parsed once, and a wide row is shuffled once, to the date it is stored under, unless it has copies.
-    Returns None if there is nothing to do. ``objects`` (``path``, ``length``) replaces the listing of the raw
-    folder that the sizes of the jobs are taken from.
+    Returns None if there is nothing to do: no raw file with anything in it. A landing folder whose files give no rows is
+    reported with the size 0. Readers see the table as it was until all of it is there. ``objects`` (``path``,
+    ``length``) replaces the listing of the raw folder, which the folders and the sizes of the jobs are taken from.
     """
+    with scratch(spark):
+        return _build_trusted(spark, cfg, run_id or new_run_id(), objects)
+
+
+def _build_trusted(
+    spark: SparkSession, cfg: LakeConfig, run_id: str, objects: DataFrame | None
+) -> DataFrame | None:
     generation = cfg.generation
     if objects is None:
         objects = list_objects(spark, cfg.raw, glob=RAW_FILES)
     raw_bytes = objects.agg(F.sum("length")).first()[0]
     if not raw_bytes:
         return None
-    run_id = run_id or new_run_id()
     by = [FOLDER_DATE] if generation.per_folder else []
-    with (
-        settings(spark, UTC),
-        staged(shape(read_raw(spark, cfg), generation), "trusted", raw_bytes) as shaped,
-        sized_for(spark, raw_bytes, raw_bytes // NARROW),
-    ):
-        rows = deduplicate_stored(shaped, "row_id", "first", SURVIVOR_ORDER, by, cfg.null_keys)
-        checked = log_quality(rows, generation, cfg.logs, run_id, by)
-        decided = checked.withColumnRenamed("bucket_date", FOLDER_DATE) if by else checked
-        clean = quality.remediate(
-            rows, decided, generation.constraints, generation.droppable, by, cfg.substring_match
-        )
-        publish(clean.drop(FOLDER_DATE), cfg.trusted, generation, shaped.select("bucket_date"))
+    with settings(spark, UTC):
+        with sized_for(spark, raw_bytes, raw_bytes):
+            shaped = stage(shape(read_raw(spark, cfg), generation), "trusted")
+        with sized_for(spark, raw_bytes, raw_bytes // NARROW):
+            return _from_shaped(spark, cfg, run_id, objects, shaped, by)
+
+
+def _from_shaped(
+    spark: SparkSession, cfg: LakeConfig, run_id: str, objects: DataFrame, shaped: DataFrame, by: list[str]
+) -> DataFrame:
+    generation = cfg.generation
+    rows = deduplicate_stored(shaped, "row_id", "first", SURVIVOR_ORDER, by, cfg.null_keys)
+    folders = date_folders(objects, cfg.raw).withColumnRenamed("source_date", FOLDER_DATE) if by else None
+    checked = log_quality(rows, generation, cfg.logs, run_id, by, folders)
+    decided = checked.withColumnRenamed("bucket_date", FOLDER_DATE) if by else checked
+    clean = quality.remediate(
+        rows, decided, generation.constraints, generation.droppable, by, cfg.substring_match
+    )
+    # The dates of one run are few. Those whose rows all go lose their partitions.
+    dynamic = generation.overwrite == "dynamic"
+    dates = [r[0] for r in shaped.select("bucket_date").distinct().collect()] if dynamic else None
+    publish(clean.drop(FOLDER_DATE), cfg.trusted, run_id, generation.partition_by, dates)
     return checked

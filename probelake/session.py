@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import AbstractContextManager, contextmanager
@@ -89,17 +90,42 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/probelake/{name}-{uuid.uuid4().hex}"
+_SCOPES = threading.local()  # of the thread that plans the jobs; a stream's batches come in one of their own
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def _scopes() -> list[str]:
+    if not hasattr(_SCOPES, "folders"):
+        _SCOPES.folders = []
+    return _SCOPES.folders
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Own all intermediate tables that are made within the block: their folder is emptied at its end, also after a
+    failure. What is read later is staged with ``result=True`` or read within the block. Blocks may be nested."""
+    folder = scratch_path(spark, "scratch")
+    _scopes().append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes().remove(folder)
+        spark.createDataFrame([], "empty int").coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def scratch_path(spark: SparkSession, name: str, result: bool = False) -> str:
+    """A path under the shared folder that nothing else uses, in the innermost ``scratch`` (``result``: the next one)."""
+    scopes = _scopes()[:-1] if result else _scopes()
+    root = scopes[-1] if scopes else f"{shared_dir(spark)}/probelake"
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str, result: bool = False) -> DataFrame:
     """Write ``df`` to a Parquet table in the shared folder and return a scan of it.
 
-    Unlike a cache it survives lost executors, and later jobs read only the columns they need.
+    Unlike a cache it survives lost executors, and later jobs read only the columns they need. It belongs to the
+    ``scratch`` it is made in; a ``result`` outlives that.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, result)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

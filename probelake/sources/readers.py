@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from probelake.functions.paths import relative_key, top_folder
 from probelake.schemas import measurement_schema
 from probelake.session import scratch_path
+from probelake.sources import versions
 
 RAW_FILES = "*.json"
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint"
@@ -66,8 +67,9 @@ def read_measurements(
 
 
 def read_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Parquet with partition discovery."""
-    return spark.read.parquet(*([path] if isinstance(path, str) else path))
+    """Parquet with partition discovery; a table with versions (``sources/versions.py``) as its pointer has it."""
+    table = table_or_none(spark, path) if isinstance(path, str) else spark.read.parquet(*path)
+    return spark.read.parquet(path) if table is None else table
 
 
 def table_or_none(
@@ -78,8 +80,11 @@ def table_or_none(
     A table that was written without any row has no file to take columns from; with ``schema`` it is an empty
     table, without it is None as well.
     """
+    found = versions.current(spark, path)
     try:
-        return read_table(spark, path)
+        if found:
+            return versions.read_parts(spark, path, found[1], schema)
+        return spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None if schema is None else spark.read.schema(schema).parquet(path)

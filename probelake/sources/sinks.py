@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probelake.session import SHUFFLE_PARTITIONS
-from probelake.sources.readers import table_or_none
+from probelake.sources import versions
+from probelake.sources.versions import Part
 
 COPY_BLOCK = 8 * 1024 * 1024
 
@@ -50,24 +51,42 @@ def write_partitioned(
     )
 
 
-def empty_partitions(written: DataFrame, path: str, dates: DataFrame) -> None:
-    """Empty the partitions of a table for the values of ``dates`` (one column) that ``written`` has no row for.
+def write_version(
+    df: DataFrame, path: str, version: str, partition_by: Sequence[str], rebalance: bool = True
+) -> list[Part]:
+    """Write rows as a version of the table at ``path`` (see ``write_partitioned``); no reader sees it yet.
 
-    A dynamic overwrite leaves a partition alone that gets no rows; here its files are replaced by one
-    without rows. At most the values of one run come to the driver.
+    A version of that name, left by a run that failed, is replaced.
     """
-    spark, column = written.sparkSession, dates.columns[0]
-    table = table_or_none(spark, path)
-    if table is None:
-        return
-    now = written.select(F.col(column).alias("__now")).distinct()
-    gone = dates.distinct().join(now, F.col(column).eqNullSafe(F.col("__now")), "left_anti")
-    gone = gone.select(F.col(column).alias("__gone"))
-    there = table.select(column).distinct().join(gone, F.col(column).eqNullSafe(F.col("__gone")), "left_semi")
-    empty = spark.createDataFrame([], table.drop(column).schema)
-    for row in there.collect():
-        value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
-        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={value}")
+    spark, folder = df.sparkSession, f"{versions.versions_path(path)}/version={version}"
+    write_partitioned(df, folder, partition_by, overwrite="static", rebalance=rebalance)
+    return [(part, version) for part in versions.partitions_in(spark, path, version)]
+
+
+def publish(
+    df: DataFrame,
+    path: str,
+    name: str,
+    partition_by: Sequence[str],
+    replaced: Sequence[str] | None = None,
+    rebalance: bool = True,
+) -> list[Part]:
+    """Write rows and switch the table at ``path`` to them, at once; returns what it consists of then.
+
+    ``replaced`` names the values of the first partition column that this write speaks for: their partitions are
+    replaced, or removed where ``df`` has no rows for them, and the others stay. None replaces the whole table. A write
+    that fails leaves the table as it was.
+    """
+    spark = df.sparkSession
+    before = versions.current(spark, path)
+    n, parts = before if before else (0, [])
+    new = write_version(df, path, f"{name}-{n + 1}", partition_by, rebalance)
+    gone = {part.split("/")[0] for part, _ in new}
+    gone |= {versions.partition_name(partition_by[0], value) for value in replaced or ()}
+    stay = [] if replaced is None else [p for p in parts if p[0].split("/")[0] not in gone]
+    versions.commit(spark, path, n + 1, [*stay, *new])
+    versions.tidy(spark, path)
+    return [*stay, *new]
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

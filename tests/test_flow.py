@@ -15,7 +15,7 @@ from probelake.plans.ingest import _landed_prefixes, ingest
 from probelake.plans.job import main, parse
 from probelake.plans.trusted import build_trusted, log_quality, read_raw, shape, transform
 from probelake.session import settings, stage
-from probelake.sources.readers import list_objects, table_or_none
+from probelake.sources.readers import list_objects, read_table, table_or_none
 
 DELIVERY_COLUMNS = (
     "id input measurement_start_time test_start_time probe_asn probe_cc probe_ip report_id software_name"
@@ -71,7 +71,7 @@ def lake(tmp_path):
 
 
 def delivered(spark, cfg):
-    return {r.id: r for r in spark.read.parquet(cfg.delivery).collect()}
+    return {r.id: r for r in read_table(spark, cfg.delivery).collect()}
 
 
 def test_delivery_table(spark, lake):
@@ -95,7 +95,7 @@ def test_column_order_after_enrichment(spark, lake):
     lake.put("2020-01-01", [measurement(1)])
     ingest(spark, lake.cfg).collect()
     build_trusted(spark, lake.cfg)
-    assert enrich(spark.read.parquet(lake.cfg.trusted)).columns == DELIVERY_COLUMNS
+    assert enrich(read_table(spark, lake.cfg.trusted)).columns == DELIVERY_COLUMNS
 
 
 def test_checks_and_repair_are_per_folder(spark, lake):
@@ -110,7 +110,7 @@ def test_checks_and_repair_are_per_folder(spark, lake):
         ("2020-01-01", "Completeness(probe_cc)"),
         ("2020-01-01", "Containment(probe_cc in [BR,RU,US,DE])"),
     }
-    per_day = spark.read.parquet(lake.cfg.delivery).groupBy("bucket_date").count().collect()
+    per_day = read_table(spark, lake.cfg.delivery).groupBy("bucket_date").count().collect()
     assert {str(r.bucket_date): r["count"] for r in per_day} == {"2020-01-01": 1, "2020-01-02": 10}
 
 
@@ -119,9 +119,9 @@ def test_keys_are_unique_per_folder_in_one_generation_and_overall_in_the_other(s
     lake.put("2020-01-02", [measurement(1)])
     ingest(spark, lake.cfg).collect()
     build_trusted(spark, lake.cfg)
-    assert spark.read.parquet(lake.cfg.trusted).count() == 2
+    assert read_table(spark, lake.cfg.trusted).count() == 2
     build_trusted(spark, replace(lake.cfg, generation=GEN_1))
-    assert spark.read.parquet(lake.cfg.trusted).count() == 1
+    assert read_table(spark, lake.cfg.trusted).count() == 1
 
 
 def test_a_row_of_another_date_does_not_replace_that_partition(spark, lake):
@@ -214,7 +214,7 @@ def test_first_generation(spark, lake):
     assert row.is_ip_valid is True and row.is_url_valid is True
     assert row.dns_resolved_ips == [["9.9.9.9", None]]
     assert {"queries", "answers", "requests", "control"} <= set(row.asDict())
-    assert spark.read.parquet(cfg.trusted).columns[-2:] == ["bucket_date", "probe_cc"]
+    assert read_table(spark, cfg.trusted).columns[-2:] == ["bucket_date", "probe_cc"]
 
 
 def test_substring_match_also_drops_rows_without_id(spark, lake):
@@ -224,9 +224,9 @@ def test_substring_match_also_drops_rows_without_id(spark, lake):
     lake.put("2020-01-01", rows)
     cfg = replace(lake.cfg, generation=GEN_1, schema=None)
     run(spark, cfg)
-    assert spark.read.parquet(cfg.delivery).count() == 8
+    assert read_table(spark, cfg.delivery).count() == 8
     run(spark, replace(cfg, substring_match=True))
-    assert spark.read.parquet(cfg.delivery).count() == 7
+    assert read_table(spark, cfg.delivery).count() == 7
 
 
 def test_broken_lines_and_rows_without_key_become_one_row(spark, lake):
@@ -257,7 +257,7 @@ def test_row_keys_do_not_depend_on_the_time_zone_of_the_session(spark, lake):
     for zone in ("UTC", "America/Sao_Paulo"):
         with settings(spark, {"spark.sql.session.timeZone": zone}):
             build_trusted(spark, lake.cfg)
-            keys += [(r.row_id, r.u) for r in spark.read.parquet(lake.cfg.trusted).selectExpr(
+            keys += [(r.row_id, r.u) for r in read_table(spark, lake.cfg.trusted).selectExpr(
                 "row_id", "unix_seconds(measurement_start_time) u").collect()]
             assert spark.conf.get("spark.sql.session.timeZone") == zone
     assert len(keys) == 2 and len(set(keys)) == 1

@@ -3,6 +3,7 @@ import json
 import pytest
 
 from probelake.plans.config import GEN_1
+from probelake.sources.readers import read_table
 from probelake.streaming.incremental import run_incremental
 
 
@@ -22,7 +23,7 @@ def put(folder, name, rows, day="2020-01-01", **changes):
 
 
 def ids(spark, trusted):
-    return sorted(str(r.id) for r in spark.read.parquet(trusted).collect())
+    return sorted(str(r.id) for r in read_table(spark, trusted).collect())
 
 
 def test_folders_are_checked_over_all_their_rows(spark, tmp_path):
