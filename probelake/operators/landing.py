@@ -11,12 +11,7 @@ from probelake import fixed
 from probelake.functions.paths import destination_key, key_part, relative_key, to_mib
 from probelake.session import stage
 
-# Rows of a group folded per round; one more row than this is fetched to see whether the group has
-# more. Within spark.sql.optimizer.windowGroupLimitThreshold, so that tasks cut their rows to this
-# many per group before the shuffle.
-ROUND_SIZE = 999
-SALTS = 16
-PART = "__in_part"
+PART, CLASS = "__in_part", "__class"
 
 
 def manifest(objects: DataFrame, root: str, date_index: int = 0) -> DataFrame:
@@ -65,136 +60,140 @@ def within_budget(
     group: Sequence[str] = ("source_date", "country"),
     key: str = "key",
     size: str = "size_mb",
-    round_size: int = ROUND_SIZE,
 ) -> DataFrame:
     """First-fit choice of files per group, in order of their (unique) keys, up to ``limit_mib`` in total.
 
-    A file is taken if it has at least ``min_mib`` and still fits next to those taken before it; one
-    that does not fit is passed over and smaller ones after it may still fit. That is a sequential rule,
-    so a group is folded in rounds, each over a bounded number of its first open files. The files lie in
-    parts by order of their keys, and before a round the leading parts that fit as a whole are taken by their
-    sums, all groups at once: a group whose files all fit is never folded. After a round only later files no
-    larger than the room left are open. The first open file always fits, so a group needs at most
-    ``limit_mib / min_mib`` rounds; nearly always one is enough, as a round of a thousand files leaves less
-    room than the smallest file needs.
+    A file is taken if it has at least ``min_mib`` and still fits next to those taken before it; one that does not fit is
+    passed over and smaller ones after it may still fit. That is a sequential rule, but it changes course seldom. Files
+    are classed by size, each class up to twice the size of the one below. When a file is passed over, less than twice
+    the least of its class is left: larger ones never fit again, of that class one more at most, and the smaller
+    classes go on. So a round takes all files of the smaller classes up to the first that does not fit or, if that comes
+    first, up to the first of the last class that does; it is a search over sums, for all groups at once. There are at
+    most two rounds for each class whatever the files are, nine classes with the usual limits, and one round if all fits.
+
+    The files of a group lie in parts by order of their keys, so no task has more than a part of a group. What goes from
+    round to round is a row per group.
     """
     if min_mib <= 0:
         raise ValueError("min_mib must be above 0: it bounds the number of files taken")
-    group = list(group)
-    limit = float(limit_mib)
-    candidates = files.where((F.col(size) >= min_mib) & (F.col(size) <= limit))
-    candidates = candidates.repartitionByRange(*group, key).withColumn(PART, F.spark_partition_id())
-    candidates = stage(candidates, "candidates")
-    open_files = candidates.withColumn("__used", F.lit(0.0))
-    taken = candidates.limit(0).select(files.columns)
+    budget = _Budget(list(group), key, size, float(limit_mib), float(min_mib))
+    candidates = files.where((F.col(size) >= min_mib) & (F.col(size) <= limit_mib))
+    candidates = candidates.repartitionByRange(*group, key)
+    candidates = stage(candidates.select("*", F.spark_partition_id().alias(PART), budget.class_of().alias(CLASS)), "candidates")
+    parts = stage(candidates.groupBy(*group, PART).agg(F.sum(size).alias("sum")), "parts")
+    state = parts.select(*group).distinct().select(
+        "*", F.lit(None).cast(files.schema[key].dataType).alias("after"), F.lit(0.0).alias("used"),
+        F.lit(len(budget.bounds) + 1).alias("last"),
+    )
+    rounds = []
     while True:
-        whole, rest = _whole_parts(open_files, limit, group, size)
-        folded = stage(
-            _fold_round(rest, files.columns, limit, min_mib, group, key, size, round_size), "budget"
-        )
-        chosen = folded.select(F.explode("taken").alias("file")).select(
-            *[F.col("file")[c].alias(c) for c in files.columns]
-        )
-        taken = taken.unionByName(whole.select(files.columns)).unionByName(chosen)
-        unfinished = folded.where("more")
-        if unfinished.isEmpty():
-            return taken
-        open_files = _after_round(candidates, unfinished, limit, group, key, size)
-
-
-def _whole_parts(
-    open_files: DataFrame, limit: float, group: list[str], size: str
-) -> tuple[DataFrame, DataFrame]:
-    """The files of the leading parts of each group that fit as a whole, and the others with what is used then."""
-    sums = open_files.groupBy(*group, PART).agg(
-        F.sum(size).alias("__sum"), F.first("__used").alias("__before")
-    )
-    in_group = Window.partitionBy(*group)
-    total = F.col("__before") + F.sum("__sum").over(in_group.orderBy(PART))
-    parts = sums.withColumn("__total", total)
-    used = F.max(F.when(F.col("__total") <= limit, F.col("__total"))).over(in_group)
-    parts = parts.select(
-        *[F.col(g).alias(f"__{g}") for g in group],
-        F.col(PART).alias("__of"),
-        (F.col("__total") <= limit).alias("__fits"),
-        F.coalesce(used, F.col("__before")).alias("__now"),
-    )
-    same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
-    joined = open_files.join(stage(parts, "parts"), [*same, F.col(PART) == F.col("__of")])
-    rest = joined.where(~F.col("__fits")).withColumn("__used", F.col("__now"))
-    return joined.where("__fits"), rest
-
-
-def _after_round(
-    candidates: DataFrame, unfinished: DataFrame, limit: float, group: list[str], key: str, size: str
-) -> DataFrame:
-    """Files behind the last one folded that are not too large for what is left.
-
-    The one row per unfinished group is repeated for every salt, so that a large group does not meet in
-    one task even if there are too many groups to broadcast.
+        event = budget.events(candidates, parts, state, first=not rounds)
+        if event is None:
+            if not rounds:
+                return candidates.select(files.columns)
+            nothing = f"struct<key:{files.schema[key].dataType.simpleString()}>"
+            rounds.append(state.select("*", F.lit(None).cast(nothing).alias("event")))
+            break
+        told = budget.same_group(state, event)
+        rounds.append(told.drop("next"))
+        state = stage(told.where("next IS NOT NULL").select(*group, "next.*"), "budget")
+    return budget.taken(candidates, parts, rounds).select(files.columns)
+
+
+class _Budget:
+    """The rounds of ``within_budget``.
+
+    A state is a row per group: ``after``, the key up to which all is decided, what is ``used``, and the ``last`` class, of
+    which at most one more file fits; files of smaller classes are taken as they come.
     """
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    state = unfinished.select(
-        *[F.col(g).alias(f"__{g}") for g in group],
-        F.col("last_key").alias("__last"),
-        F.col("used").alias("__used"),
-        F.explode(salts).alias("__part"),
-    )
-    same_group = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
-    return (
-        candidates.join(state, [*same_group, _salt(key) == F.col("__part")])
-        .where((F.col(key) > F.col("__last")) & (F.col("__used") + F.col(size) <= limit))
-        .drop("__last", "__part", *[f"__{g}" for g in group])
-    )
 
-
-def _salt(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(SALTS))
-
-
-def _fold_round(
-    open_files: DataFrame,
-    columns: Sequence[str],
-    limit: float,
-    min_mib: float,
-    group: list[str],
-    key: str,
-    size: str,
-    round_size: int,
-) -> DataFrame:
-    """Fold the first ``round_size`` open files of every group.
-
-    A group is cut to its first files per salt, and per task before that, so that no task ever gathers
-    more than ``SALTS * (round_size + 1)`` files of it.
-    """
-    salted = open_files.withColumn("__salt", _salt(key))
-    first = Window.partitionBy(*group, "__salt").orderBy(key)
-    heads = salted.withColumn("__rank", F.row_number().over(first)).where(
-        F.col("__rank") <= round_size + 1
-    )
-    others = [F.col(c) for c in columns if c not in (key, size)]
-    file = F.struct(F.col(key), F.col(size), *others)
-    gathered = heads.groupBy(*group).agg(
-        F.array_sort(F.collect_list(file)).alias("files"), F.first("__used").alias("used")
-    )
-    now = gathered.withColumn("now", F.slice("files", 1, round_size))
-    fold = F.aggregate(
-        "now",
-        F.struct(F.col("used"), F.slice("now", 1, 0).alias("taken")),
-        lambda state, f: F.when(
-            state["used"] + f[size] <= limit,
-            F.struct(
-                (state["used"] + f[size]).alias("used"),
-                F.concat(state["taken"], F.array(f)).alias("taken"),
-            ),
-        ).otherwise(state),
-    )
-    folded = now.withColumn("state", fold)
-    used = F.col("state")["used"]
-    return folded.select(
-        *group,
-        used.alias("used"),
-        F.col("state")["taken"].alias("taken"),
-        F.element_at("now", -1)[key].alias("last_key"),
-        ((F.size("files") > round_size) & (used + min_mib <= limit)).alias("more"),
-    )
+    def __init__(self, group: list[str], key: str, size: str, limit: float, least: float):
+        self.group, self.key, self.size, self.limit = group, key, size, limit
+        self.bounds = []
+        while (bound := least * 2.0 ** (len(self.bounds) + 1)) <= limit:
+            self.bounds.append(bound)
+
+    def class_of(self) -> Column:
+        total = F.lit(0)
+        for bound in self.bounds:
+            total = total + (F.col(self.size) >= bound).cast("int")
+        return total
+
+    def _by_group(self, small: DataFrame, more: Sequence[str] = ()) -> tuple[DataFrame, list[Column]]:
+        """``small`` with other names for the columns that it is joined by, and the condition."""
+        names = [*self.group, *more]
+        renamed = small.select(*[F.col(c).alias(f"__{c}") if c in names else F.col(c) for c in small.columns])
+        return renamed, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names]
+
+    def same_group(self, state: DataFrame, event: DataFrame) -> DataFrame:
+        renamed, same = self._by_group(event)
+        return state.join(renamed, same, "left").drop(*[f"__{c}" for c in self.group])
+
+    def _open(self, candidates: DataFrame, parts: DataFrame) -> DataFrame:
+        """Files that can still be taken, with the state of their group; ``parts`` has it for each of its parts."""
+        renamed, same = self._by_group(parts, [PART])
+        narrow = candidates.select(*self.group, PART, CLASS, self.key, self.size)
+        joined = narrow.join(renamed, same).drop(*[f"__{c}" for c in [*self.group, PART]])
+        later = F.col("after").isNull() | (F.col(self.key) > F.col("after"))
+        return joined.where(later & (F.col(CLASS) <= F.col("last")) & (F.col(self.size) <= self.limit - F.col("used")))
+
+    def events(self, candidates: DataFrame, parts: DataFrame, state: DataFrame, first: bool) -> DataFrame | None:
+        """Where the course of a group changes next, a row (``event``, ``next``) for groups where it does; None: nowhere."""
+        renamed, same = self._by_group(state)
+        places = parts.join(renamed, same).drop(*[f"__{c}" for c in self.group])
+        normal = F.col(CLASS) < F.col("last")
+        if first:
+            sums = places.withColumn("least", F.lit(None).cast("double"))
+        else:
+            sums = self._open(candidates, places.drop("sum")).groupBy(*self.group, PART, "after", "used", "last").agg(
+                F.coalesce(F.sum(F.when(normal, F.col(self.size))), F.lit(0.0)).alias("sum"),
+                F.min(F.when(~normal, F.col(self.size))).alias("least"),
+            )
+        in_order = Window.partitionBy(*self.group).orderBy(PART)
+        before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+        offset = F.col("used") + F.coalesce(F.sum("sum").over(before), F.lit(0.0))
+        over = F.col("offset") + F.col("sum") > self.limit
+        fits = F.coalesce(F.col("least") <= self.limit - F.col("offset"), F.lit(False))
+        told = sums.withColumn("offset", offset).withColumn("over", over)
+        told = told.withColumn("over_before", F.coalesce(F.max("over").over(before), F.lit(False)))
+        searched = stage(told.where(~F.col("over_before") & (over | fits)).select(*self.group, PART, "after", "used", "last", "offset"), "searched")
+        if searched.isEmpty():
+            return None
+        rows = self._open(candidates, searched)
+        in_part = Window.partitionBy(*self.group, PART).orderBy(self.key)
+        running = F.col("offset") + F.sum(F.when(normal, F.col(self.size)).otherwise(0.0)).over(in_part)
+        rows = rows.withColumn("running", running)
+        missed = normal & (F.col("running") > self.limit)
+        taken = ~normal & (F.col("running") + F.col(self.size) <= self.limit)
+        used = F.when(taken, F.col("running") + F.col(self.size)).otherwise(F.col("running") - F.col(self.size))
+        last = F.when(taken, F.col("last")).otherwise(F.col(CLASS))
+        event = F.struct(F.col(self.key).alias("key"), taken.alias("taken"))
+        following = F.struct(F.col(self.key).alias("after"), used.alias("used"), last.alias("last"))
+        found = rows.where(missed | taken).groupBy(*self.group).agg(
+            F.min(F.struct(event.alias("event"), following.alias("next"))).alias("first")
+        )
+        found = stage(found.select(*self.group, "first.*"), "events")
+        return found
+
+    def taken(self, candidates: DataFrame, parts: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+        """The files that some round of their group has taken; a group has a few rounds, whatever its size."""
+        told = None
+        for rows in rounds:
+            key, taken = F.col("event")["key"], F.lit(False)
+            if "taken" in rows.schema["event"].dataType.names:
+                taken = F.coalesce(F.col("event")["taken"], F.lit(False))
+            row = F.struct("after", key.alias("until"), taken.alias("taken"), "last", (self.limit - F.col("used")).alias("room"))
+            some = rows.select(*self.group, row.alias("round"))
+            told = some if told is None else told.unionByName(some)
+        told = told.groupBy(*self.group).agg(F.collect_list("round").alias("__rounds"))
+        renamed, same = self._by_group(told)
+        places = parts.drop("sum").join(renamed, same).drop(*[f"__{c}" for c in self.group])
+        renamed, same = self._by_group(places, [PART])
+        key = F.col(self.key)
+
+        def has(r: Column) -> Column:
+            inside = (r["after"].isNull() | (key > r["after"])) & (r["until"].isNull() | (key < r["until"]))
+            whole = inside & (F.col(CLASS) < r["last"]) & (F.col(self.size) <= r["room"])
+            return whole | (r["taken"] & (key == r["until"]))
+
+        return candidates.join(renamed, same).where(F.exists("__rounds", has))

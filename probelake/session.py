@@ -109,7 +109,7 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _scopes().remove(folder)
-        spark.createDataFrame([], "empty int").coalesce(1).write.mode("overwrite").parquet(folder)
+        spark.range(0).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 def scratch_path(spark: SparkSession, name: str, result: bool = False) -> str:
@@ -142,4 +142,4 @@ def staged(df: DataFrame, name: str, input_bytes: int = 0) -> Iterator[DataFrame
             df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        spark.createDataFrame([], "empty int").write.mode("overwrite").parquet(path)
+        spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -63,7 +64,9 @@ def current(spark: SparkSession, path: str, before: int | None = None) -> tuple[
 def commit(spark: SparkSession, path: str, n: int, parts: Iterable[Part]) -> None:
     """Make ``parts`` the table. The pointer is one file, which Spark moves to its place when it is complete."""
     rows = [(None, None), *((part or None, version) for part, version in sorted(set(parts)))]
-    spark.createDataFrame(rows, POINTER).coalesce(1).write.mode("overwrite").json(f"{_pointers_path(path)}/n={n}")
+    columns = [pa.array(c, pa.string()) for c in zip(*rows)]
+    pointer = spark.createDataFrame(pa.table(columns, names=["part", "version"]))
+    pointer.coalesce(1).write.mode("overwrite").json(f"{_pointers_path(path)}/n={n}")
 
 
 def partitions_in(spark: SparkSession, path: str, version: str) -> list[str]:
@@ -91,24 +94,25 @@ def read_parts(
 
 def empty_folder(spark: SparkSession, path: str) -> None:
     """Remove all that is below a folder, by writing a table without rows there."""
-    spark.createDataFrame([], "empty int").coalesce(1).write.mode("overwrite").parquet(path)
+    spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def forget(spark: SparkSession, path: str, above: int) -> None:
-    """Remove pointers above a number."""
-    for n in pointers(spark, path):
-        if n > above:
-            empty_folder(spark, f"{_pointers_path(path)}/n={n}")
+def remove(spark: SparkSession, path: str, numbers: Iterable[int], gone: Iterable[str] = ()) -> None:
+    """Remove pointers, and versions that no other pointer has."""
+    for version in gone:
+        empty_folder(spark, f"{versions_path(path)}/version={version}")
+    for n in numbers:
+        empty_folder(spark, f"{_pointers_path(path)}/n={n}")
 
 
-def tidy(spark: SparkSession, path: str, kept: int = KEPT) -> list[str]:
-    """Remove all but the last pointers and the versions that only the others have; returns these versions."""
-    found = pointers(spark, path)
+def outdated(found: dict[int, list[Part]], kept: int = KEPT) -> tuple[list[int], list[str]]:
+    """All pointers but the last, and the versions that only these have."""
     stay = sorted(found)[-kept:]
+    old = [n for n in found if n not in stay]
     needed = {version for n in stay for _, version in found[n]}
-    old = sorted({v for n, parts in found.items() if n not in stay for _, v in parts} - needed)
-    for version in old:
-        empty_folder(spark, f"{versions_path(path)}/version={version}")
-    for n in sorted(found)[:-kept]:
-        empty_folder(spark, f"{_pointers_path(path)}/n={n}")
-    return old
+    return sorted(old), sorted({v for n in old for _, v in found[n]} - needed)
+
+
+def tidy(spark: SparkSession, path: str, kept: int = KEPT) -> None:
+    """Remove what no reader needs any more."""
+    remove(spark, path, *outdated(pointers(spark, path), kept))

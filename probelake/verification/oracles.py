@@ -189,13 +189,10 @@ PLAIN_PROJECTED = (
 NESTED_PROJECTED = ("control_failure", "blocking", "http_experiment_failure", "dns_experiment_failure")
 
 
-def _first_fit(limit: float, least: float) -> str:
-    """The files that fit one after the other, up to ``limit`` in each group."""
+def _scanned(limit: float, numbered: str) -> str:
+    """CTEs that take the files of ``numbered`` (n from 1 in each group) one after the other, up to ``limit``."""
     return f"""
-        WITH RECURSIVE {FILES},
-        numbered AS (
-          SELECT *, row_number() OVER (PARTITION BY source_date, country ORDER BY name) AS n FROM files
-          WHERE test_type = 'web_connectivity' AND country IN ('BR', 'DE', 'RU', 'US') AND size_mb >= {least}),
+        {numbered},
         scan AS (
           SELECT source_date, country, name, size_mb, n, size_mb <= {limit} AS taken,
                  CASE WHEN size_mb <= {limit} THEN size_mb ELSE 0 END AS used
@@ -204,11 +201,32 @@ def _first_fit(limit: float, least: float) -> str:
           SELECT f.source_date, f.country, f.name, f.size_mb, f.n, s.used + f.size_mb <= {limit},
                  CASE WHEN s.used + f.size_mb <= {limit} THEN s.used + f.size_mb ELSE s.used END
           FROM scan s JOIN numbered f
-            ON f.source_date = s.source_date AND f.country = s.country AND f.n = s.n + 1)
+            ON f.source_date = s.source_date AND f.country = s.country AND f.n = s.n + 1)"""
+
+
+def _first_fit(limit: float, least: float) -> str:
+    """The files that fit one after the other, up to ``limit`` in each group."""
+    numbered = f"""numbered AS (
+          SELECT *, row_number() OVER (PARTITION BY source_date, country ORDER BY name) AS n FROM files
+          WHERE test_type = 'web_connectivity' AND country IN ('BR', 'DE', 'RU', 'US') AND size_mb >= {least})"""
+    return f"""
+        WITH RECURSIVE {FILES}, {_scanned(limit, numbered)}
         SELECT source_date, country, 'archive/jsonl/' || source_date || '/' || name AS key, size_mb
         FROM scan WHERE taken"""
 
 
+_MISSES = """placed AS (
+          SELECT year(o_orderdate)::VARCHAR AS source_date, o_orderpriority AS country,
+                 row_number() OVER (PARTITION BY year(o_orderdate), o_orderpriority ORDER BY o_orderkey) AS n
+          FROM orders),
+        numbered AS (
+          SELECT source_date, country, n, lpad((n - 1)::VARCHAR, 9, '0') AS name,
+                 CASE WHEN (n - 1) % 51 = 0 THEN 0.25::DOUBLE
+                      ELSE greatest(8 - 0.25::DOUBLE * ((n - 1) // 51 + 1), 0.25) + (1 + (n - 1) % 3) / 1024.0::DOUBLE
+                 END AS size_mb
+          FROM placed)"""
+
+
 ORACLES: dict[str, str] = {
     "project_nested": """
         SELECT event_id AS id, event_type AS blocking,
@@ -337,6 +355,9 @@ ORACLES: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "budget_select": _first_fit(100, 0.3),
     "budget_rounds": _first_fit(4, 0.01),
+    "budget_misses": f"""
+        WITH RECURSIVE {_scanned(8, _MISSES)}
+        SELECT source_date, country, name AS key, size_mb FROM scan WHERE taken""",
     "landing": """
         SELECT strftime(ts, '%Y-%m-%d') AS source_date,
                '{"event_id":' || event_id || ',"event_type":"' || event_type || '","value":' || value || '}' AS line,

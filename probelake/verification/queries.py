@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from probelake.functions import casts, nested, text
@@ -430,11 +430,23 @@ def budget_select(spark, sf_dir):
 
 @query
 def budget_rounds(spark, sf_dir):
-    """A small limit folded seven files at a time, so that groups need several rounds."""
-    chosen = within_budget(wanted(_files(spark, sf_dir), min_mib=0.01), 4.0, 0.01, round_size=7)
+    """A small limit, so that groups need several rounds."""
+    chosen = within_budget(wanted(_files(spark, sf_dir), min_mib=0.01), 4.0, 0.01)
     return chosen.select("source_date", "country", "key", "size_mb")
 
 
+@query
+def budget_misses(spark, sf_dir):
+    """A small file, then fifty of a size that no longer fits by a hair, and so on until the budget is used up."""
+    group = [F.year("o_orderdate").cast("string").alias("source_date"), F.col("o_orderpriority").alias("country")]
+    orders = table(spark, sf_dir, "orders").select(*group, "o_orderkey")
+    n = F.row_number().over(Window.partitionBy("source_date", "country").orderBy("o_orderkey")) - 1
+    room = 8 - 0.25 * (F.floor(n / 51) + 1)
+    size = F.when(n % 51 == 0, 0.25).otherwise(F.greatest(room, F.lit(0.25)) + 2.0**-10 * (1 + n % 3))
+    files = orders.select("source_date", "country", F.lpad(n.cast("string"), 9, "0").alias("key"), size.alias("size_mb"))
+    return within_budget(files, 8.0, 0.25)
+
+
 @query
 def landing(spark, sf_dir):
     """Events as source files, budgeted and copied twice; the second run finds nothing new."""

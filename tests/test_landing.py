@@ -3,7 +3,6 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from probelake.operators import landing
 from probelake.operators.landing import manifest, not_landed, wanted, within_budget
@@ -48,16 +47,15 @@ def test_groups_have_their_own_budget(spark):
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.data())
 def test_same_as_a_loop(spark, data):
-    """Whatever the sizes and however few files a round folds."""
+    """Whatever the sizes."""
     size = st.integers(0, 4 * 1024).map(lambda n: n / 1024)
     groups = st.tuples(st.sampled_from(["1", "2", None]), st.sampled_from(["BR", "DE"]), size)
     files = [
         (date, country, f"{i * 7919 % 1000:03d}é{i}", mib)
         for i, (date, country, mib) in enumerate(data.draw(st.lists(groups, min_size=1, max_size=60)))
     ]
-    round_size = data.draw(st.sampled_from([1, 3, 999]))
-    limit = data.draw(st.sampled_from([1.5, 6.0, 20.0]))
-    assert chosen(spark, files, limit, 0.3, round_size=round_size) == first_fit(files, limit, 0.3)
+    limit = data.draw(st.sampled_from([0.3, 1.5, 6.0, 20.0]))
+    assert chosen(spark, files, limit, 0.25) == first_fit(files, limit, 0.25)
 
 
 def test_hot_group_over_many_rounds(spark):
@@ -66,17 +64,33 @@ def test_hot_group_over_many_rounds(spark):
     falling = [("d", "BR", f"{i:06d}", 9.0 - i * 0.0004) for i in range(20_000)]
     rest = [("d", "DE", f"{i:06d}", rng.uniform(0.1, 5.0)) for i in range(2_000)]
     files = falling + rest
-    assert chosen(spark, files, 10.0, 0.3, round_size=50) == first_fit(files, 10.0, 0.3)
+    assert chosen(spark, files, 10.0, 0.3) == first_fit(files, 10.0, 0.3)
 
 
-def test_one_round_is_enough_for_usual_sizes(spark, monkeypatch):
-    rounds = []
-    fold = landing._fold_round
-    monkeypatch.setattr(landing, "_fold_round", lambda *a: rounds.append(1) or fold(*a))
+@pytest.fixture
+def rounds(monkeypatch):
+    """A row for each round of the choices made in a test."""
+    found, events = [], landing._Budget.events
+    monkeypatch.setattr(landing._Budget, "events", lambda *a, **k: found.append(1) or events(*a, **k))
+    return found
+
+
+def test_few_rounds_for_usual_sizes(spark, rounds):
     rng = random.Random(6)
-    files = [("d", "BR", f"{i:06d}", rng.uniform(0.01, 20.0)) for i in range(30_000)]
+    files = [("d", "BR", f"{i:06d}", rng.randrange(10, 20_000) / 1024) for i in range(30_000)]
     assert chosen(spark, files, 100.0, 0.3) == first_fit(files, 100.0, 0.3)
-    assert len(rounds) == 1
+    assert len(rounds) <= 18
+
+
+def test_rounds_do_not_grow_with_files_that_no_longer_fit(spark, rounds):
+    """A small file, fifty that then no longer fit by a hair, and so on: every small file once was a round."""
+    files, room = [], 20.0
+    while room > 0.5:
+        files.append(("d", "BR", f"{len(files):06d}", 0.25))
+        room -= 0.25
+        files += [("d", "BR", f"{len(files) + i:06d}", room + 2.0**-10 * (1 + i % 3)) for i in range(50)]
+    assert chosen(spark, files, 20.0, 0.25) == first_fit(files, 20.0, 0.25)
+    assert len(files) > 3000 and len(rounds) <= 2 * 7
 
 
 def test_other_columns_come_along_in_order(spark):
@@ -131,35 +145,20 @@ def test_not_landed(spark):
     assert [r.dest_key for r in left] == ["a", "c"]
 
 
-def test_rounds_are_limited_before_the_shuffle(spark):
-    files = spark.createDataFrame([("d", "BR", "k", 1.0)], FILES).withColumn("__used", F.lit(0.0))
-    folded = landing._fold_round(files, FILES_COLUMNS, 100.0, 0.3, ["source_date", "country"], "key", "size_mb", 999)
-    plan = folded._jdf.queryExecution().executedPlan().toString()
-    assert "1000, Partial" in plan and "1000, Final" in plan
-
-
-def test_later_rounds_join_by_group(spark):
-    files = spark.createDataFrame([("d", "BR", "k", 1.0)], FILES)
-    state = spark.createDataFrame(
-        [("d", None, "a", 0.5)], "source_date string, country string, last_key string, used double"
-    )
-    rest = landing._after_round(files, state, 10.0, ["source_date", "country"], "key", "size_mb")
-    assert "NestedLoop" not in rest._jdf.queryExecution().executedPlan().toString()
-    assert rest.columns == [*files.columns, "__used"] and rest.isEmpty()
-
-
-FILES_COLUMNS = ["source_date", "country", "key", "size_mb"]
-
-
-def test_a_large_group_that_fits_is_never_folded(spark, monkeypatch):
-    folded = []
-    fold = landing._fold_round
-    monkeypatch.setattr(landing, "_fold_round", lambda *a: folded.append(1) or fold(*a))
+def test_a_large_group_that_fits_takes_one_round_and_no_search(spark, rounds):
     files = spark.range(100_000).selectExpr(
         "'d' AS source_date", "'BR' AS country", "lpad(cast(id as string), 6, '0') AS key", "0.5D AS size_mb"
     )
-    assert within_budget(files, 1e9, 1e-6).count() == 100_000
-    assert len(folded) == 1
+    result = within_budget(files, 1e9, 1e-6)
+    assert result.count() == 100_000 and len(rounds) == 1
+    assert "Join" not in result._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_task_has_a_whole_group(spark):
+    """The search of a round goes by parts of a group."""
+    files = spark.createDataFrame([("d", "BR", f"{i:04d}", 1.0 + i % 7) for i in range(2000)], FILES)
+    plan = within_budget(files, 100.0, 0.3)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
 def test_large_files_are_copied_by_tasks_of_their_own(spark):
