@@ -49,8 +49,8 @@ def wanted(
 
 
 def not_landed(files: DataFrame, landed: DataFrame, key: str = "dest_key") -> DataFrame:
-    """Files whose destination does not exist yet."""
-    return files.join(landed.select(key).distinct(), key, "left_anti")
+    """Files whose destination does not exist yet. Of ``landed``, if it lies in buckets of the key, no row moves."""
+    return files.join(landed.select(key), key, "left_anti")
 
 
 def within_budget(

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from probelake import fixed
 from probelake.operators.quality import Constraint, complete, contained, has_rows, unique
@@ -81,6 +81,9 @@ class LakeConfig:
     limit_mib: float = fixed.COUNTRY_LIMIT_MIB
     substring_match: bool = False
     null_keys: str = "collapse"
+    #: How listings and copies reach each scheme, as keyword arguments of pyarrow's file system of that scheme, for
+    #: example {"s3": {"access_key": ..., "secret_key": ..., "region": ...}}. By default as the environment tells.
+    storage: Mapping[str, Mapping[str, object]] = field(default_factory=dict, hash=False, repr=False)
 
 
 def months(year: int, first: int = 1, last: int = 10) -> list[str]:

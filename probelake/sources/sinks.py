@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyarrow import fs
@@ -16,6 +16,8 @@ from probelake.sources import versions
 from probelake.sources.versions import Part
 
 COPY_BLOCK = 8 * 1024 * 1024
+#: Of a copy that is not complete.
+PART_SUFFIX = ".part"
 
 # Up to this many shuffle partitions Spark keeps the size of every block. Beyond, it keeps averages, and
 # adaptive execution does not see, and does not split, a partition that holds most of the rows.
@@ -93,48 +95,70 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.partitionBy(*partition_by).mode("append").parquet(path)
 
 
-def copy_objects(objects: DataFrame, destination: str, tasks: int | None = None) -> DataFrame:
+def copy_objects(
+    objects: DataFrame,
+    destination: str,
+    tasks: int | None = None,
+    storage: Mapping[str, Mapping[str, object]] | None = None,
+) -> DataFrame:
     """Copy the objects in ``path`` byte for byte to ``destination``/``dest_key``.
 
     Returns one row (``dest_key``, ``bytes``) per copy; the copies are made when it is evaluated.
     Files move through executors in blocks, never through the driver. A copy always goes to the same
     place with the same bytes, so that a retried task does no harm. The list is spread by hash of the
-    path, so that the files of one folder do not end up in one task.
+    path, so that the files of one folder do not end up in one task. ``storage`` is that of ``LakeConfig``.
     """
     spark = objects.sparkSession
     pairs = objects.select("path", "dest_key").repartition(
         tasks or spark.sparkContext.defaultParallelism, "path"
     )
     target = with_scheme(spark, destination).rstrip("/")
-    return pairs.mapInArrow(copier(target), "dest_key string, bytes bigint")
+    return pairs.mapInArrow(copier(target, locator(storage)), "dest_key string, bytes bigint")
 
 
 def with_scheme(spark: SparkSession, path: str) -> str:
     """The path as Spark understands it: without a scheme it is on the default file system."""
     if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path):
         return path
+    # Hadoop's own settings, which PySpark shows nowhere else.
     default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
     return f"{default.rstrip('/')}/{path.lstrip('/')}"
 
 
-def copier(destination: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Function that copies batches of (path, dest_key).
+def locator(
+    storage: Mapping[str, Mapping[str, object]] | None = None,
+) -> Callable[[str], tuple[fs.FileSystem, str]]:
+    """Function from a URI to its file system and the path there.
 
-    It is sent to executors as it stands, with all it needs inside, so that they need not have this
-    package.
+    It is sent to executors as it stands, with all it needs inside, so that they need not have this package.
     """
+    options = {scheme: dict(values) for scheme, values in (storage or {}).items()}
+    kinds = {"s3": "S3FileSystem", "gs": "GcsFileSystem", "abfs": "AzureFileSystem"}
 
     def locate(uri: str) -> tuple[fs.FileSystem, str]:
         if uri.startswith("file:"):
             return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-        return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+        uri = re.sub(r"^s3[an]:", "s3:", uri)
+        scheme, _, place = uri.partition("://")
+        if scheme in options:
+            return getattr(fs, kinds[scheme])(**options[scheme]), place
+        return fs.FileSystem.from_uri(uri)
+
+    return locate
+
+
+def copier(
+    destination: str, locate: Callable[[str], tuple[fs.FileSystem, str]] | None = None
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Function that copies batches of (path, dest_key), for executors as ``locator`` is."""
+    locate, suffix = locate or locator(), PART_SUFFIX
 
     def copy_one(source: str, target: str) -> int:
         source_fs, source_path = locate(source)
         target_fs, target_path = locate(target)
         # An object store shows an upload only once it is complete; elsewhere a rename does the same.
         renames = target_fs.type_name in ("local", "hdfs")
-        written = f"{target_path}.{uuid.uuid4().hex}.part" if renames else target_path
+        written = f"{target_path}.{uuid.uuid4().hex}{suffix}" if renames else target_path
         if renames:
             target_fs.create_dir(target_path.rsplit("/", 1)[0], recursive=True)
         copied = 0

@@ -42,7 +42,8 @@ def _pointers_path(path: str) -> str:
 def pointers(spark: SparkSession, path: str) -> dict[int, list[Part]]:
     """The pointers that are there, by number; each lists a partition once per version."""
     try:
-        rows = spark.read.schema(f"{POINTER}, n int").json(_pointers_path(path)).collect()
+        reader = spark.read.schema(f"{POINTER}, n int").option("pathGlobFilter", "*.json")
+        rows = reader.json(_pointers_path(path)).collect()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

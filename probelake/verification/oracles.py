@@ -227,6 +227,30 @@ _MISSES = """placed AS (
           FROM placed)"""
 
 
+def _quality_log() -> str:
+    """The log of a run over all measurements, as it is after the checks."""
+    return f"""
+        WITH {MEASUREMENTS}, {REPAIRED_BY_DAY},
+        days AS (
+          SELECT bucket_date, count(*) AS n_rows, count(DISTINCT row_id) AS n_keys,
+                 min(asn_share) AS asn_share, min(all_contained) AS all_contained,
+                 count(id) / n_rows::DOUBLE AS id_share, count(probe_cc) / n_rows::DOUBLE AS cc_share,
+                 count(probe_ip) / n_rows::DOUBLE AS ip_share, count(test_name) / n_rows::DOUBLE AS name_share,
+                 count(test_start_time) / n_rows::DOUBLE AS test_share,
+                 count(bucket_date) / n_rows::DOUBLE AS date_share,
+                 count(measurement_start_time) / n_rows::DOUBLE AS start_share
+          FROM shares GROUP BY bucket_date),
+        judged AS ({' UNION ALL '.join(
+            f"SELECT bucket_date, '{text}' AS \"constraint\", {holds} AS holds FROM days"
+            for text, holds in QUALITY_LOG_TEXTS)})
+        SELECT 'Review Check' AS "check", 'Warning' AS check_level,
+               CASE WHEN bool_and(holds) OVER (PARTITION BY bucket_date) THEN 'Success' ELSE 'Warning' END
+                 AS check_status, "constraint",
+               CASE WHEN holds THEN 'Success' ELSE 'Failure' END AS constraint_status,
+               strftime(bucket_date, '%Y-%m-%d') AS bucket_date, 'run' AS run_id
+        FROM judged"""
+
+
 ORACLES: dict[str, str] = {
     "project_nested": """
         SELECT event_id AS id, event_type AS blocking,
@@ -419,26 +443,25 @@ ORACLES: dict[str, str] = {
         SELECT id, probe_cc, probe_asn, test_name, platform, {NETLOC} AS domain, {TITLE} AS http_title,
                bucket_date
         FROM repaired""",
-    "quality_log": f"""
-        WITH {MEASUREMENTS}, {REPAIRED_BY_DAY},
-        days AS (
-          SELECT bucket_date, count(*) AS n_rows, count(DISTINCT row_id) AS n_keys,
-                 min(asn_share) AS asn_share, min(all_contained) AS all_contained,
-                 count(id) / n_rows::DOUBLE AS id_share, count(probe_cc) / n_rows::DOUBLE AS cc_share,
-                 count(probe_ip) / n_rows::DOUBLE AS ip_share, count(test_name) / n_rows::DOUBLE AS name_share,
-                 count(test_start_time) / n_rows::DOUBLE AS test_share,
-                 count(bucket_date) / n_rows::DOUBLE AS date_share,
-                 count(measurement_start_time) / n_rows::DOUBLE AS start_share
-          FROM shares GROUP BY bucket_date),
-        judged AS ({' UNION ALL '.join(
-            f"SELECT bucket_date, '{text}' AS \"constraint\", {holds} AS holds FROM days"
-            for text, holds in QUALITY_LOG_TEXTS)})
-        SELECT 'Review Check' AS "check", 'Warning' AS check_level,
-               CASE WHEN bool_and(holds) OVER (PARTITION BY bucket_date) THEN 'Success' ELSE 'Warning' END
-                 AS check_status, "constraint",
-               CASE WHEN holds THEN 'Success' ELSE 'Failure' END AS constraint_status,
-               strftime(bucket_date, '%Y-%m-%d') AS bucket_date, 'run' AS run_id
-        FROM judged""",
+    "quality_log": _quality_log(),
+    "empty_folders": f"""
+        SELECT "constraint", constraint_status, bucket_date, run_id FROM ({_quality_log()})
+        UNION ALL
+        SELECT unnest([{", ".join(f"'{text}'" for text, _ in QUALITY_LOG_TEXTS)}]), 'Failure', '1999-01-01', 'run'""",
+    "stream_unique": """
+        WITH timed AS (
+          SELECT 'm' || event_id AS id, event_type AS platform, CAST(ts AS DATE) AS bucket_date,
+                 date_trunc('second', ts) AS t FROM events),
+        mark AS (
+          SELECT max(t) - INTERVAL 5 DAYS AS w FROM timed
+          WHERE bucket_date >= DATE '2024-01-11' AND bucket_date < DATE '2024-01-21'),
+        found AS (
+          SELECT id, platform, bucket_date, t FROM timed
+          UNION ALL
+          SELECT id, platform, bucket_date, t + INTERVAL 12 DAYS FROM timed, mark
+          WHERE bucket_date < DATE '2024-01-11' AND platform = 'purchase'
+            AND t + INTERVAL 12 DAYS >= w AND t + INTERVAL 5 DAYS <= w)
+        SELECT id, platform, bucket_date, strftime(t, '%Y-%m-%d %H:%M:%S') AS test_start_time FROM found""",
     "all_projected": f"""
         SELECT {", ".join(f"'{c}-' || event_id AS {c}" for c in PLAIN_PROJECTED)},
                event_id AS status_code, value AS test_runtime, event_type AS platform,

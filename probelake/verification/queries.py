@@ -25,6 +25,7 @@ from probelake.sources import catalog
 from probelake.sources.readers import date_folders, list_objects, read_measurements, read_table
 from probelake.sources.sinks import append_table, copy_objects, write_partitioned
 from probelake.streaming.incremental import run_incremental
+from probelake.streaming.unique import run_unique
 from probelake.verification.fixtures import (
     COUNTRY_OF_EVENT,
     labelled_documents,
@@ -797,3 +798,39 @@ def incremental_by_folder(spark, sf_dir):
         table_rows = read_table(spark, f"{place}/trusted").select(*TRUSTED_SCALARS)
         results.append(table_rows.withColumn("files_per_batch", F.lit(files).cast("bigint")))
     return results[0].unionByName(results[1])
+
+
+@query
+def stream_unique(spark, sf_dir):
+    """Three deliveries with copies, a bounded memory of keys: which copies are dropped, which are late, which are new.
+
+    The second brings the purchases of the first again with their times, some of them late by then; the third brings
+    them with times twelve days later, some of them late again, the others when their keys are forgotten.
+    """
+    scratch = scratch_path(spark, "unique")
+    raw, found = f"{scratch}/raw", f"{scratch}/table"
+    rows = measurements(spark, sf_dir, copies=False)
+    day, bought = F.col("bucket_date"), F.col("annotations.platform") == "purchase"
+    first = rows.where(day < "2024-01-11")
+    again = first.where(bought)
+    moved = F.col("test_start_time").cast("timestamp") + F.expr("INTERVAL 12 DAYS")
+    later = again.withColumn("test_start_time", F.date_format(moved, "yyyy-MM-dd HH:mm:ss"))
+    second = rows.where((day >= "2024-01-11") & (day < "2024-01-21"))
+    deliveries = [first.unionByName(again), second.unionByName(again), rows.where(day >= "2024-01-21").unionByName(later)]
+    for i, delivery in enumerate(deliveries):
+        _deliver(spark, _documents(delivery, F.lit("2024-01-01")), f"{scratch}/{i}", raw)
+        run_unique(spark, raw, found, f"{scratch}/checkpoint", "5 days")
+    return read_table(spark, found).select("id", "platform", "bucket_date", _times(utc=True)[1])
+
+
+@query
+def empty_folders(spark, sf_dir):
+    """Folders with rows beside one whose only file is blank, and a blank file in no folder: the report of a run."""
+    cfg = _lake(spark, sf_dir, GEN_2)
+    blank = spark.range(1).select(F.lit("  ").alias("value"))
+    blank.coalesce(1).write.text(f"{cfg.source}-blank")
+    files = list_objects(spark, f"{cfg.source}-blank", glob="*.txt").select("path")
+    keys = F.explode(F.array(F.lit("1999-01-01/blank.json"), F.lit("blank.json")))
+    copy_objects(files.select("path", keys.alias("dest_key")), cfg.raw).write.format("noop").mode("overwrite").save()
+    run(spark, cfg, "run")
+    return spark.table(f"{cfg.schema}.quality_log").select("constraint", "constraint_status", "bucket_date", "run_id")
