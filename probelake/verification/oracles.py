@@ -485,6 +485,9 @@ ORACLES: dict[str, str] = {
                CASE WHEN constraint_status = 'Failure' THEN metric END AS metric
         FROM metrics""",
     "dedup_broken_copy": f"WITH {MEASUREMENTS} SELECT {SCALARS} FROM trusted",
+    "run_ids": """
+        SELECT strftime(ts, '%Y-%m-%d') AS bucket_date, true AS is_time, 22::BIGINT AS n_rows, 2::BIGINT AS n_runs
+        FROM events GROUP BY 1""",
     "rerun_same_id": f"""
         WITH {MEASUREMENTS}, {REPAIRED_BY_DAY} SELECT id, bucket_date, 11::BIGINT AS n_log FROM repaired""",
     "stale_dates": f"""

@@ -14,7 +14,7 @@ from probelake.operators import filters, quality
 from probelake.operators.columns import add_literal, drop_columns, project, rename_columns
 from probelake.operators.dedup import deduplicate
 from probelake.operators.landing import manifest, not_landed, wanted, within_budget
-from probelake.plans.config import GEN_1, GEN_2, Generation, LakeConfig
+from probelake.plans.config import GEN_1, GEN_2, Generation, LakeConfig, months
 from probelake.plans.delivery import enrich
 from probelake.plans.flow import run
 from probelake.plans.ingest import ingest
@@ -448,10 +448,16 @@ def budget_misses(spark, sf_dir):
     return within_budget(files, 8.0, 0.25)
 
 
+def _months(year: int, span) -> list[str]:
+    first = span.first.month if year == span.first.year else 1
+    return months(year, first, span.last.month if year == span.last.year else 12)
+
+
 @query
 def landing(spark, sf_dir):
-    """Events as source files, budgeted and copied twice; the second run finds nothing new."""
+    """Events as source files, the months that they are of budgeted and copied twice; the second run finds nothing new."""
     scratch = scratch_path(spark, "landing")
+    span = table(spark, sf_dir, "events").agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
     events = table(spark, sf_dir, "events").select(
         F.to_json(F.struct("event_id", "event_type", "value")).alias("value"),
         F.date_format("ts", "yyyy-MM-dd").alias("day"),
@@ -463,6 +469,7 @@ def landing(spark, sf_dir):
         trusted=f"{scratch}/trusted",
         delivery=f"{scratch}/delivery",
         logs=f"{scratch}/logs",
+        prefixes=[p for year in range(span.first.year, span.last.year + 1) for p in _months(year, span)],
         min_mib=1e-6,
         limit_mib=1e9,
     )
@@ -736,6 +743,19 @@ def quality_log(spark, sf_dir):
     )
 
 
+@query
+def run_ids(spark, sf_dir):
+    """Two runs without an id of their own: each gets one, told by its time, and its rows of the log."""
+    cfg = _lake(spark, sf_dir, GEN_2)
+    for _ in range(2):
+        run(spark, cfg)
+    log = spark.table(f"{cfg.schema}.quality_log")
+    shaped = F.col("run_id").rlike(r"^20\d{6}T\d{6}\.\d{6}$").alias("is_time")
+    return log.groupBy("bucket_date", shaped).agg(
+        F.count("*").alias("n_rows"), F.count_distinct("run_id").alias("n_runs")
+    )
+
+
 @query
 def rerun_same_id(spark, sf_dir):
     """A run that is repeated under its id after more files came: one report, one table."""
