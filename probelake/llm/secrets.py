@@ -2,8 +2,12 @@
 
 A layer is a text whose characters know which span of the document they come from. From a layer come: itself
 with URL escapes resolved, itself with Unicode escapes resolved, and the texts of its base64 runs, inflated if
-they are compressed. A layer seen before (same text from the same place) is not unpacked again, so data that
-unpacks to itself ends. Spans found in a layer are mapped to the document; base spans are never lost to them.
+they are compressed, as often as they are. A layer seen before (same text from the same place) is not unpacked again,
+so data that unpacks to itself ends. Spans found in a layer are mapped to the document; base spans are never lost to them.
+
+Compressed data is inflated as a stream and scanned whole, however much it holds, in pieces that end where no secret
+and nothing encoded can go on. Layers are taken from the worklist as they come, the last first, so that no more than a
+piece is held for each level of nesting.
 """
 
 from __future__ import annotations
@@ -14,8 +18,8 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -47,8 +51,13 @@ WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*\
 BREAK = re.compile(r"\s+")
 #: Where compressed data may begin behind what was glued to it.
 PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
-#: Layers are inflated up to so many bytes; a document with a larger one is marked as ``cut``.
-INFLATED = 32 * 1024**2
+#: Bytes inflated at a time, at the beginning and later on.
+FIRST, BLOCK = 1 << 10, 1 << 16
+#: Bytes of a piece. It ends before one of these, as no secret, escape or base64 run has them, at an even place for UTF-16.
+PIECE = 1 << 22
+ENDING = re.compile(rb"[!()*,<>?@\[\]^`|~$]")
+#: Where there is no such place in so many bytes, pieces overlap, and the document is marked as ``cut``.
+LONGEST, OVERLAP = 1 << 25, 1 << 20
 REDACTED = "[secret]"
 
 
@@ -81,6 +90,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def _resolved(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The layer with every match replaced by (character, escape length) pairs that ``decode`` gives."""
+    if layer.whole:  # all characters come from one place
+        changed = pattern.sub(lambda m: "".join(c for c, _ in decode(m[0]) or [(m[0], 0)]), layer.text)
+        return None if changed == layer.text else Layer(changed, whole=layer.whole)
     text, starts, ends, at, changed = [], [], [], 0, False
     for m in pattern.finditer(layer.text):
         decoded = decode(m[0])
@@ -147,23 +159,6 @@ def _machine(data: bytes):
     return None
 
 
-def _inflate(data: bytes) -> tuple[bytes | None, bool]:
-    """What all members of compressed data hold (None if it is not compressed), and whether that was cut."""
-    out, size = [], 0
-    while size < INFLATED and (machine := _machine(data)):
-        try:
-            out.append(machine.decompress(data, INFLATED - size))
-        except (zlib.error, OSError, lzma.LZMAError, EOFError):
-            break
-        size += len(out[-1])
-        if not machine.eof:
-            return b"".join(out), size >= INFLATED
-        data = machine.unused_data.lstrip(b"\0")
-    else:
-        return (b"".join(out) if out else None), bool(out and size >= INFLATED and data)
-    return (b"".join(out) if out else None), False
-
-
 def _texts(data: bytes) -> list[str]:
     """The texts that bytes may hold: UTF-8 or else Latin-1, and UTF-16 if they look like it; none if they look random."""
     found = []
@@ -179,57 +174,146 @@ def _texts(data: bytes) -> list[str]:
     return found
 
 
-def _decoded(data: bytes) -> tuple[list[str], bool]:
-    """The texts that bytes hold, unpacked as often as they are compressed, and whether that was cut."""
-    found, cut_any, seen = [], False, set()
-    while True:
-        found += _texts(data)
-        data, cut = _inflate(data)
-        cut_any |= cut
-        if data is None or (digest := hashlib.md5(data).digest()) in seen:
-            return found, cut_any
-        seen.add(digest)
+class Blocks:
+    """Bytes from ``start`` on, block by block, and how far whole members have been read."""
+
+    def __init__(self, data: memoryview, start: int):
+        self.data, self.start, self.given, self.read = data, start, start, start
+
+    def __iter__(self) -> Iterator[bytes]:
+        size = FIRST
+        while self.given < len(self.data):
+            block = bytes(self.data[self.given : self.given + size])
+            self.given += len(block)
+            yield block
+            size = BLOCK
 
 
-def _base64(run: str) -> tuple[list[str], bool]:
+def _members(blocks: Iterable[bytes], done: Callable[[int], None] = lambda left: None) -> Iterator[bytes]:
+    """What all members of compressed data hold, as it comes; nothing if it is not compressed.
+
+    ``done`` is told after each member how many of the bytes given were not needed for it.
+    """
+    source, rest = iter(blocks), b""
+    while True:
+        while len(rest) < 6 and (block := next(source, b"")):
+            rest = (rest + block).lstrip(b"\0")
+        if (machine := _machine(rest)) is None:
+            return
+        full = False
+        while not machine.eof:
+            if not rest and not full and getattr(machine, "needs_input", True) and not (rest := next(source, b"")):
+                return
+            try:
+                if getattr(machine, "needs_input", True):
+                    out, rest = machine.decompress(rest, PIECE), b""
+                else:
+                    out = machine.decompress(b"", PIECE)
+            except (zlib.error, OSError, lzma.LZMAError, EOFError):
+                return
+            rest = getattr(machine, "unconsumed_tail", b"") or rest
+            full = len(out) == PIECE
+            if out:
+                yield out
+        rest = machine.unused_data + rest
+        done(len(rest))
+        rest = rest.lstrip(b"\0")
+
+
+def _pieces(stream: Iterable[bytes]) -> Iterator[tuple[bytes, bool]]:
+    """A stream in pieces of about ``PIECE`` bytes or less, and whether one had to be cut anywhere."""
+    held = b""
+    for out in stream:
+        held += out
+        while len(held) >= PIECE:
+            places = [m.start() for m in ENDING.finditer(held, max(0, len(held) - BLOCK)) if m.start() % 2 == 0]
+            if not places:
+                places = [m.start() for m in ENDING.finditer(held) if m.start() % 2 == 0]
+            if places and places[-1]:
+                yield held[: places[-1]], False
+                held = held[places[-1] :]
+            elif len(held) >= LONGEST:
+                yield held, True
+                held = held[-OVERLAP:]
+            else:
+                break
+            if len(held) < PIECE:
+                break
+    if held:
+        yield held, False
+
+
+def _unpacked(data: memoryview, start: int) -> Iterator[tuple[str, bool]]:
+    """The texts of what is compressed from ``start`` on, unpacked as often as it is, and whether they were cut.
+
+    Returns the place up to which whole members were read.
+    """
+    seen, read, depth = set(), start, 0
+    while True:
+        depth += 1
+        blocks = Blocks(data, start)
+
+        def done(left: int, blocks: Blocks = blocks) -> None:
+            blocks.read = blocks.given - left
+
+        stream: Iterator[bytes] = _members(blocks, done)
+        for _ in range(depth - 1):
+            stream = _members(stream)
+        digest, some = hashlib.md5(), False
+        for piece, cut in _pieces(stream):
+            some = True
+            digest.update(piece)
+            for text in _texts(piece):
+                yield text, cut
+        read = max(read, blocks.read)
+        if not some or digest.digest() in seen:
+            return read
+        seen.add(digest.digest())
+
+
+def _base64(run: str) -> Iterator[tuple[str, bool]]:
     """The texts that a base64 run holds, from each of its first four characters on, and whether they were cut."""
     bare = BREAK.sub("", run).rstrip("=").replace("-", "+").replace("_", "/")
-    found, cut_any = [], False
     for first in range(4):
         part = bare[first : len(bare) - ((len(bare) - first) % 4 == 1)]
         data = base64.b64decode(part + "=" * (-len(part) % 4))
-        starts = [0, *(m.start() for m in PACKED.finditer(data) if m.start())]
-        for start in starts:
-            unpacked, cut = _decoded(data[start:])
-            found += unpacked if not start else unpacked[len(_texts(data[start:])) :]
-            cut_any |= cut
-    return found, cut_any
+        for text in _texts(data):
+            yield text, False
+        read = 0
+        for start in (0, *(m.start() for m in PACKED.finditer(data) if m.start())):
+            if start >= read:  # what a member before holds has been unpacked
+                read = max(read, (yield from _unpacked(memoryview(data), start)))
+
+
+def _inside(layer: Layer) -> Iterator[tuple[Layer | None, bool]]:
+    if "%" in layer.text:
+        yield _resolved(layer, URL, _url), False
+    if "\\" in layer.text or "&#" in layer.text:
+        yield _resolved(layer, UNICODE, _unicode), False
+    wrapped = WRAPPED.finditer(layer.text) if "\n" in layer.text else ()
+    for m in chain(BASE64.finditer(layer.text), wrapped):
+        whole = layer.place(m.start(), m.end())
+        for text, cut in _base64(m[0]):
+            yield Layer(text, whole=whole), cut
 
 
 def layers(text: str) -> Iterator[tuple[Layer, bool]]:
     """The layers inside a text, each once, and whether it was cut."""
-    work, seen = deque([Layer(text)]), set()
+    work, seen = [_inside(Layer(text))], set()
     while work:
-        layer = work.popleft()
-        inner: list[tuple[Layer | None, bool]] = []
-        if "%" in layer.text:
-            inner.append((_resolved(layer, URL, _url), False))
-        if "\\" in layer.text or "&#" in layer.text:
-            inner.append((_resolved(layer, UNICODE, _unicode), False))
-        runs = [*BASE64.finditer(layer.text), *(WRAPPED.finditer(layer.text) if "\n" in layer.text else ())]
-        for m in runs:
-            unpacked, cut = _base64(m[0])
-            whole = layer.place(m.start(), m.end())
-            inner += [(Layer(text, whole=whole), cut) for text in unpacked]
-        for new, cut in inner:
-            if new is None or not new.text:
-                continue
-            place = new.place(0, len(new.text))
-            key = hashlib.md5(new.text.encode("utf-8", "surrogatepass")).digest(), place
-            if key not in seen:
-                seen.add(key)
-                work.append(new)
-                yield new, cut
+        found = next(work[-1], None)
+        if found is None:
+            work.pop()
+            continue
+        new, cut = found
+        if new is None or not new.text:
+            continue
+        place = new.place(0, len(new.text))
+        key = hashlib.md5(new.text.encode("utf-8", "surrogatepass")).digest(), place
+        if key not in seen:
+            seen.add(key)
+            yield new, cut
+            work.append(_inside(new))
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], bool]:
