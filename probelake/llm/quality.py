@@ -2,13 +2,14 @@
 
 Every document gives a vector of transformed statistics. For each (lang, source) the minimum covariance
 determinant estimate of centre and scatter is found by concentration steps: distances to the present
-estimate, the share ``KEEP`` of rows with the smallest distances, centre and scatter of these, and so on,
-from two starts (all rows; medians and quartiles), of which the one with the smaller determinant wins.
+estimate, the share ``KEEP`` of rows with the smallest distances, centre and scatter of these, and so on until no
+determinant gets smaller, from two starts (all rows; medians and quartiles); the smallest determinant wins.
 A step is a histogram of distances and sums, both added up per task before they move, so a group with a third
 of all rows costs what its rows cost. Documents whose Mahalanobis distance is beyond a chi-square quantile go.
 
-Groups with fewer than ``MIN_GROUP`` rows are taken together by language, and if these are still too few,
-all together; where even these are too few there is no verdict, and the rows stay.
+A group has an estimate of its own from ``MIN_GROUP`` rows on, which is what five statistics need. Smaller groups are
+judged by the estimate over all of them together, and if these are still fewer, by that over all rows. So every row
+that passes the base rules is judged.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ from probelake.session import stage
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MIN_GROUP = 100
+MIN_GROUP = 30
 KEEP = 0.75
-STEPS = 4
+#: What the log of a determinant has to fall by to count as smaller.
+GAIN = 1e-3
 #: Share of clean rows that may be rejected if the statistics were normal; they have longer tails.
 ALPHA = 1e-4
 #: Least standard deviations: log words, log word length, roots of the shares of symbols, repeated lines, repeated words.
@@ -166,18 +168,21 @@ def _sums(rows: DataFrame, by: list[str], factor: float) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"), *first, *second).withColumn("factor", F.lit(factor))
 
 
-def _grouped(rows: DataFrame) -> DataFrame:
-    """Adds ``g``: the language and source, or where these have too few rows, what they fall back to."""
-    fine, coarse = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
-    sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("n_fine"))
-    small = F.when(F.col("n_fine") < MIN_GROUP, F.col("n_fine")).otherwise(0)
-    sizes = sizes.withColumn("n_coarse", F.sum(small).over(Window.partitionBy("lang")))
-    sizes = sizes.withColumn(
-        "g",
-        F.when(F.col("n_fine") >= MIN_GROUP, fine).when(F.col("n_coarse") >= MIN_GROUP, coarse).otherwise("{}"),
-    ).select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), "g")
+POOL = "{}"
+
+
+def _grouped(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with ``g``, their language and source or the pool, and the rows that the estimates are made from."""
+    sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
+    fine = F.to_json(F.struct("lang", "source"))
+    sizes = stage(sizes.withColumn("g", F.when(F.col("n") >= MIN_GROUP, fine).otherwise(POOL)), "mcd-groups")
+    pooled = sizes.where(F.col("g") == POOL).agg(F.sum("n")).first()[0] or 0
+    of = sizes.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), "g")
     same = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
-    return rows.join(sizes, same, "left").drop("of_lang", "of_source")
+    rows = rows.join(of, same, "left").drop("of_lang", "of_source")
+    if pooled == 0 or pooled >= MIN_GROUP:
+        return rows, rows
+    return rows, rows.where(F.col("g") != POOL).unionByName(rows.withColumn("g", F.lit(POOL)))
 
 
 def fit(rows: DataFrame) -> DataFrame:
@@ -186,7 +191,7 @@ def fit(rows: DataFrame) -> DataFrame:
         F.count("*").alias("size"),
         *[F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"p{i}") for i, x in enumerate(X)],
     )
-    sizes = stage(sizes.where(F.col("size") >= MIN_GROUP), "mcd-sizes")
+    sizes = stage(sizes, "mcd-sizes")
     whole = _sums(rows, ["g"], 1.0).join(sizes.select("g", "size"), "g").withColumn("start", F.lit(0))
     spread = [
         F.array(
@@ -209,7 +214,8 @@ def fit(rows: DataFrame) -> DataFrame:
         F.lit(0.0).alias("log_det"),
     )
     now = stage(_estimates(whole).unionByName(robust), "mcd-start")
-    for _ in range(STEPS):
+    least: DataFrame | None = None
+    while True:
         bucket = F.floor(F.log2(distance() + 1e-9) * BUCKETS_PER_DOUBLING).alias("bucket")
         counts = rows.join(now, "g").groupBy("g", "start", "size", bucket).agg(F.count("*").alias("n"))
         running = Window.partitionBy("g", "start").orderBy("bucket")
@@ -219,20 +225,36 @@ def fit(rows: DataFrame) -> DataFrame:
         bounded = stage(now.join(cut, ["g", "start"]), "mcd-bounds")  # a few rows: the rows themselves don't move
         inner = rows.join(bounded, "g").where(bucket <= F.col("cut"))
         now = stage(_estimates(_sums(inner, ["g", "start", "size"], consistency())), "mcd-step")
-    best = now.groupBy("g").agg(F.min_by(F.struct("centre", "precision"), F.struct("log_det", "start")).alias("e"))
+        if least is not None and not _smaller(least, now):
+            break
+        least = now if least is None else stage(_least(least.unionByName(now)), "mcd-least")
+    best = least.groupBy("g").agg(F.min_by(F.struct("centre", "precision"), F.struct("log_det", "start")).alias("e"))
     return best.select("g", "e.centre", "e.precision")
 
 
+def _least(estimates: DataFrame) -> DataFrame:
+    """Of each group and start the estimate with the smallest determinant."""
+    rest = [c for c in estimates.columns if c not in ("g", "start")]
+    least = estimates.groupBy("g", "start").agg(F.min_by(F.struct(*rest), "log_det").alias("e"))
+    return least.select("g", "start", "e.*")
+
+
+def _smaller(least: DataFrame, now: DataFrame) -> bool:
+    """Whether the determinant of any group is smaller than before; it can't be forever, as it has a bound."""
+    before = least.select("g", "start", F.col("log_det").alias("then"))
+    return not now.join(before, ["g", "start"]).where(F.col("log_det") < F.col("then") - GAIN).isEmpty()
+
+
 def judge(counted: DataFrame) -> DataFrame:
-    """Adds base_failed, distance (null: no verdict) and kept to rows with lang, source and base counts."""
+    """Adds base_failed, distance (null if that is true) and kept to rows with lang, source and base counts."""
     rows = counted.withColumn("base_failed", failed())
     names = rows.columns
     rows = rows.withColumns(dict(zip(X, features())))
-    good = _grouped(rows.where(~F.col("base_failed")))
-    fitted = fit(good.select("g", *X))
+    good, learned = _grouped(rows.where(~F.col("base_failed")))
+    fitted = fit(learned.select("g", *X))
     judged = good.join(fitted, "g", "left").withColumn("distance", F.sqrt(distance()))
     limit = math.sqrt(chi_square(1 - ALPHA, P))
-    judged = judged.withColumn("kept", F.coalesce(F.col("distance") <= limit, F.lit(True)))
+    judged = judged.withColumn("kept", F.col("distance") <= limit)
     poor = rows.where("base_failed").withColumns(
         {"distance": F.lit(None).cast("double"), "kept": F.lit(False)}
     )
