@@ -5,21 +5,24 @@ end every match, so only the stretches between them that are long enough to hold
 suffix of every item is looked up by binary search, which gives its longest verbatim match, and for those that
 match a whole window the range of all its places. Words are compared by 64-bit hashes and lengths.
 
-The items are taken in blocks of at most ``BLOCK_CHARS`` (or one item); each block is sent to the workers and
-all documents are searched for it, so neither table has to fit anywhere.
+The items are taken in blocks of ``BLOCK_CHARS`` and an item at most. Each block is sent to the workers and all
+documents are searched for it, one block after the other, so neither table has to fit anywhere.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from probelake.llm.common import map_texts, texts
+from probelake.llm.common import map_texts, record, texts
 from probelake.llm.words import LETTERS, Words
+from probelake.session import stage
 
 WINDOW = 10
 BLOCK_CHARS = 8_000_000
@@ -179,20 +182,27 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(benchmark: DataFrame, window: int, block_chars: int) -> list:
-    """The benchmark's suffixes in blocks of bounded size, each broadcast; one empty block if there is no item."""
+def placed(benchmark: DataFrame, block_chars: int) -> tuple[DataFrame, list]:
+    """The distinct items with the block they are in, and the blocks.
+
+    Items are dealt by hash and cut by running sums of their lengths, so a block has ``block_chars`` characters and one item
+    more at most.
+    """
     rows = benchmark.where(F.length("text") > 0).select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), "text"
     )
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, math.ceil(chars / block_chars))
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(n))
-    send = benchmark.sparkSession.sparkContext.broadcast
-    out = []
-    for k in range(n):
-        block = rows.where(part == k).distinct().collect()
-        out.append(send(Items([r.id for r in block], [r.text for r in block], window)))
-    return out
+    part = F.pmod(F.xxhash64("id", "text"), F.lit(max(1, math.ceil(chars / block_chars))))
+    rows = rows.distinct().withColumn("part", part)
+    before = F.sum(F.length("text")).over(Window.partitionBy("part").orderBy("id", "text")) - F.length("text")
+    rows = stage(rows.withColumn("cut", F.floor(before / block_chars)), "leaks-items")
+    return rows, sorted(tuple(r) for r in rows.select("part", "cut").distinct().collect())
+
+
+def block(rows: DataFrame, place: tuple[int, int] | None, window: int) -> Items:
+    """The suffixes of one block's items; of none, without a place."""
+    found = rows.where((F.col("part") == place[0]) & (F.col("cut") == place[1])).collect() if place else []
+    return Items([r.id for r in found], [r.text for r in found], window)
 
 
 LEAKS = "struct<n_words:bigint,spans:array<struct<start:int,end:int>>,items:array<string>,longest:int>"
@@ -209,31 +219,68 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_c
 
     It holds n_words, spans (word positions inside occurrences of windows, merged), items (their ids as text,
     sorted, a null id as an empty text) and longest (words of the longest verbatim match that has a window).
+
+    A benchmark of several blocks is searched one block after the other: only one is on the driver and broadcast at a
+    time, and what it finds, by the digest of the text, is stored before the next.
     """
-    names = docs.columns
-    leaks = f"{_prefixed(names)}leaks"
-    kind = pa.struct(
-        [("n_words", pa.int64()), ("spans", pa.list_(SPAN)), ("items", pa.list_(pa.string())), ("longest", pa.int32())]
-    )
-    out = docs.withColumn(leaks, F.lit(None).cast(LEAKS))
-    for sent in blocks(benchmark, window, block_chars):
+    rows, places = placed(benchmark, block_chars)
+    spark, leaks = docs.sparkSession, f"{_prefixed(docs.columns)}leaks"
+    if len(places) < 2:
+        sent = spark.sparkContext.broadcast(block(rows, places[0] if places else None, window))
+        return _with_leaks(docs.withColumn(leaks, F.lit(None).cast(FOUND)), leaks, lambda found, n: shard_hits(found, n, sent.value))
+    hits: DataFrame | None = None
+    digests = docs.where("text IS NOT NULL").select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("key"), "text")
+    for place in places:
+        sent = spark.sparkContext.broadcast(block(rows, place, window))
 
         def work(piece: pa.RecordBatch, sent=sent):
-            found = Words(texts(piece), LETTERS)
-            hits = shard_hits(found, piece.num_rows, sent.value)
-            rows = []
-            for i, before in enumerate(piece.column(leaks).to_pylist()):
-                spans, ids, longest = hits.get(i, ([], set(), 0))
-                if before:
-                    spans = merged([*((s["start"], s["end"]) for s in before["spans"]), *spans])
-                    ids, longest = ids | set(before["items"]), max(longest, before["longest"])
-                spans = [{"start": a, "end": b} for a, b in spans]
-                rows.append({"n_words": int(found.count[i]), "spans": spans, "items": sorted(ids), "longest": longest})
-            kept = [piece.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, kind)], names=[*names, leaks])
-
-        out = map_texts(out, work, out.schema)
-    return out
+            found = shard_hits(Words(texts(piece), LETTERS), piece.num_rows, sent.value)
+            keys = piece.column("key").to_pylist()
+            told = {keys[i]: {"spans": _spans(s), "items": sorted(ids), "longest": n} for i, (s, ids, n) in found.items()}
+            yield record([("key", pa.binary()), ("found", FOUND_TYPE)], [list(told), list(told.values())])
+
+        some = stage(map_texts(digests, work, f"key binary, found {FOUND}"), "leaks-block")
+        sent.destroy()
+        hits = some if hits is None else hits.unionByName(some)
+    of = F.col("found")
+    hits = hits.groupBy(F.col("key").alias("__key")).agg(
+        F.struct(
+            F.flatten(F.collect_set(of["spans"])).alias("spans"),
+            F.array_distinct(F.flatten(F.collect_set(of["items"]))).alias("items"),
+            F.max(of["longest"]).alias("longest"),
+        ).alias(leaks)
+    )
+    key = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+    return _with_leaks(docs.join(hits, key == F.col("__key"), "left").drop("__key"), leaks, lambda found, n: {})
+
+
+FOUND = "struct<spans:array<struct<start:int,end:int>>,items:array<string>,longest:int>"
+FOUND_TYPE = pa.struct([("spans", pa.list_(SPAN)), ("items", pa.list_(pa.string())), ("longest", pa.int32())])
+
+
+def _spans(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
+    return [{"start": a, "end": b} for a, b in spans]
+
+
+def _with_leaks(docs: DataFrame, leaks: str, search: Callable[[Words, int], dict[int, Hits]]) -> DataFrame:
+    """Documents whose last column holds what was found before, with what ``search`` finds, and their words counted."""
+    names = docs.columns[:-1]
+    kind = pa.struct([("n_words", pa.int64()), *FOUND_TYPE])
+
+    def work(piece: pa.RecordBatch):
+        found = Words(texts(piece), LETTERS)
+        hits = search(found, piece.num_rows)
+        rows = []
+        for i, before in enumerate(piece.column(leaks).to_pylist()):
+            spans, ids, longest = hits.get(i, ([], set(), 0))
+            if before:
+                spans = merged([(s["start"], s["end"]) for s in before["spans"]])
+                ids, longest = set(before["items"]), before["longest"]
+            rows.append({"n_words": int(found.count[i]), "spans": _spans(spans), "items": sorted(ids), "longest": longest})
+        yield pa.RecordBatch.from_arrays([*(piece.column(n) for n in names), pa.array(rows, kind)], names=[*names, leaks])
+
+    schema = docs.drop(leaks).withColumn(leaks, F.lit(None).cast(LEAKS)).schema
+    return map_texts(docs, work, schema)
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -262,7 +309,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bloc
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents, all columns, in which no window of a benchmark item occurs."""
+    """The documents, all columns, in which no window of a benchmark item occurs.
+
+    Null and empty texts have none and stay, as all do with an empty benchmark; repeated rows go or stay together; an empty
+    table gives an empty one.
+    """
     found = matches(docs, benchmark)
     leaks = found.columns[-1]
     return found.where(F.size(F.col(leaks)["spans"]) == 0).drop(leaks)
