@@ -3,12 +3,17 @@
 A page is read into a tree, with the elements that HTML implies (paragraphs, list items, rows and cells that end
 where another begins; void elements; raw text), and the tree is laid out as text: what style or element type
 hides is left out, blocks stand on lines of their own with the blank lines of their margins, list items get
-their marks and indents, and the cells of a table stand in aligned columns.
+their marks and indents, and the cells of a table stand in aligned columns, in tables within tables too.
+
+Style sheets of the page hide elements by rules on a tag, classes and an id together (``p.note``, ``#menu``), in the order
+of specificity and place, with style attributes behind them and what is important last. Rules on the place of an element
+in others, and those for some media only, are not read.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from html import unescape
 
 import pyarrow as pa
@@ -53,8 +58,7 @@ PARTS = frozenset("tr td th tbody thead tfoot caption colgroup col".split())
 
 #: Cells are padded to the widest of their column, but for those wider than this.
 ALIGNED = 40
-#: Tables within tables are aligned to this depth; deeper ones are laid out as plain blocks.
-NESTED = 8
+#: The most columns that a cell spans, as in HTML.
 MOST_COLUMNS = 1000
 
 TAG = re.compile(
@@ -63,8 +67,13 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]+))?""")
 SPACES = re.compile(r"[ \t\n\r\f]+")
-NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
-VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+DISPLAY = re.compile(r"(?<![-\w])display\s*:\s*([a-z-]+)", re.I)
+VISIBILITY = re.compile(r"(?<![-\w])visibility\s*:\s*(hidden|collapse|visible)", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
+#: A rule, or a block that holds rules.
+RULE = re.compile(r"([^{}]*)\{([^{}]*)\}|[^{}]*\{|\}")
+SELECTOR = re.compile(r"([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+)*)")
+IMPORTANT = re.compile(r"!\s*important", re.I)
 
 
 class Node:
@@ -93,6 +102,8 @@ class Builder:
         self.root = Node("html", {})
         self.stack = [self.root]
         self.open: dict[str, int] = {}
+        self.sheets: list[str] = []
+        self.deepest = 0  # tables within tables
 
     def pop(self) -> None:
         self.open[self.stack.pop().tag] -= 1
@@ -135,6 +146,8 @@ class Builder:
         self.stack[-1].children.append(node)
         self.stack.append(node)
         self.open[tag] = self.open.get(tag, 0) + 1
+        if tag == "table":
+            self.deepest = max(self.deepest, self.open[tag])
 
     def end(self, tag: str) -> None:
         if tag == "br":
@@ -152,8 +165,62 @@ class Builder:
             self.stack[-1].children.append(text)
 
 
+class Rules:
+    """What style sheets say of display and visibility, by what a selector names first: an id, a class or a tag."""
+
+    def __init__(self, sheets: list[str]):
+        self.of: dict[str, list[tuple]] = {}
+        for sheet in sheets:
+            depth = 0
+            for m in RULE.finditer(COMMENT.sub(" ", sheet) + "}"):  # the end of a sheet ends a rule
+                if m[1] is None:
+                    depth = max(0, depth + (1 if m[0].endswith("{") else -1))
+                elif depth == 0:
+                    self._add(m[1].rpartition(";")[2], m[2])
+
+    def _add(self, selectors: str, declarations: str) -> None:
+        said = [d for d in declarations.split(";") if DISPLAY.search(d) or VISIBILITY.search(d)]
+        for selector in selectors.split(",") if said else ():
+            if not selector.strip() or not (m := SELECTOR.fullmatch(selector.strip())):
+                continue
+            tag = "" if m[1] in (None, "*") else m[1].lower()
+            names = re.findall(r"[.#][\w-]+", m[2])
+            ids, classes = [n[1:] for n in names if n[0] == "#"], [n[1:] for n in names if n[0] == "."]
+            key = f"#{ids[0]}" if ids else f".{classes[0]}" if classes else tag
+            rank = (len(ids), len(classes), bool(tag), sum(map(len, self.of.values())))
+            self.of.setdefault(key, []).append((rank, tag, set(ids), set(classes), said))
+
+    def apply(self, node: Node) -> None:
+        """Put what the rules say of a node into its style attribute."""
+        a = node.attributes
+        classes, id_ = a.get("class", "").split(), a.get("id", "")
+        found = [r for key in {"", node.tag, f"#{id_}", *(f".{c}" for c in classes)} for r in self.of.get(key, ())]
+        found = [r for r in found if r[1] in ("", node.tag) and r[2] <= {id_} and r[3] <= set(classes)]
+        if not found:
+            return
+        said = [d for r in sorted(found, key=lambda r: r[0]) for d in r[4]] + a.get("style", "").split(";")
+        a["style"] = ";".join(sorted(said, key=lambda d: IMPORTANT.search(d) is not None))
+
+
+def last(pattern: re.Pattern, style: str) -> str | None:
+    """The value of a property, of several the last."""
+    found = pattern.findall(style)
+    return found[-1].lower() if found else None
+
+
 def parse(page: str) -> Node:
     """The tree of a page; what has no end tag ends where HTML lets it end, at the end of the page at last."""
+    builder = build(page)
+    rules = Rules(builder.sheets)
+    work = [builder.root] if rules.of else []
+    while work:
+        node = work.pop()
+        rules.apply(node)
+        work += [c for c in node.children if isinstance(c, Node)]
+    return builder.root
+
+
+def build(page: str) -> Builder:
     builder, at, ends = Builder(), 0, {}
     while (m := TAG.search(page, at)) is not None:
         builder.text(unescape(page[at : m.start()]))
@@ -171,10 +238,14 @@ def parse(page: str) -> Node:
             close = ends[tag].search(page, at)
             raw = page[at : close.start() if close else len(page)]
             builder.text(unescape(raw) if tag in ("textarea", "title") else raw)
+            if tag == "style":
+                builder.sheets.append(raw)
             builder.end(tag)
             at = close.end() if close else len(page)
     builder.text(unescape(page[at:]))
-    return builder.root
+    # A table within a table is laid out by a call within a call.
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 1000 + 10 * builder.deepest))
+    return builder
 
 
 class Lines:
@@ -247,10 +318,10 @@ def hidden(node: Node) -> bool:
         return a.get("type", "").lower() not in ("submit", "button", "reset")
     if node.tag == "dialog" and "open" not in a:
         return True
-    return "style" in a and NO_DISPLAY.search(a["style"]) is not None
+    return "style" in a and last(DISPLAY, a["style"]) == "none"
 
 
-def lay_out(root: Node, nested: int = 0) -> list[str]:
+def lay_out(root: Node) -> list[str]:
     """The lines of a node. Elements are walked with a stack, so depth costs no recursion but for tables."""
     out = Lines()
     # (node, visible, preformatted, list: [kind, next number] or what to undo, leaving)
@@ -274,8 +345,8 @@ def lay_out(root: Node, nested: int = 0) -> list[str]:
             continue
         if hidden(node):
             continue
-        if "style" in a and (m := VISIBILITY.search(a["style"])):
-            visible = m[1].lower() == "visible"
+        if "style" in a and (said := last(VISIBILITY, a["style"])):
+            visible = said == "visible"
         if tag == "br":
             out.newline()
             continue
@@ -293,9 +364,8 @@ def lay_out(root: Node, nested: int = 0) -> list[str]:
             out.margin()
         elif tag in BLOCKS:
             out.flush()
-        if tag == "table" and nested < NESTED:
-            rows = table_lines(node, visible, nested + 1)
-            out.whole(rows)
+        if tag == "table":
+            out.whole(table_lines(node, visible))
             out.margin()
             continue
         pre = pre or tag in PREFORMATTED
@@ -333,7 +403,7 @@ def number_of(text: str, least: int, most: int) -> int:
     return min(max(int(text), least), most) if re.fullmatch(r"\d{1,6}", text) else 1
 
 
-def table_lines(table: Node, visible: bool, nested: int) -> list[str]:
+def table_lines(table: Node, visible: bool) -> list[str]:
     """Rows with their cells in columns; a cell takes the columns and rows that it spans."""
     captions: list[str] = []
     rows: list[list[Node]] = []
@@ -345,7 +415,7 @@ def table_lines(table: Node, visible: bool, nested: int) -> list[str]:
         if hidden(node):
             continue
         if node.tag == "caption":
-            captions += lay_out(_as_block(node, visible), nested)
+            captions += lay_out(_as_block(node, visible))
         elif node.tag == "tr":
             rows.append([c for c in node.children if isinstance(c, Node) and c.tag in ("td", "th") and not hidden(c)])
             loose.children += [c for c in node.children if not (isinstance(c, Node) and c.tag in ("td", "th"))]
@@ -355,7 +425,7 @@ def table_lines(table: Node, visible: bool, nested: int) -> list[str]:
         elif node.tag not in ("col", "colgroup"):
             loose.children.append(node)
     # What stands between the cells is shown before the table.
-    before = lay_out(_as_block(loose, visible), nested) if any(not isinstance(c, str) or c.strip() for c in loose.children) else []
+    before = lay_out(_as_block(loose, visible)) if any(not isinstance(c, str) or c.strip() for c in loose.children) else []
     grid: list[list[tuple[int, int, list[str]]]] = []
     taken: dict[int, int] = {}
     for row in rows:
@@ -365,9 +435,10 @@ def table_lines(table: Node, visible: bool, nested: int) -> list[str]:
                 column += 1
             wide = number_of(cell.attributes.get("colspan", ""), 1, MOST_COLUMNS)
             high = number_of(cell.attributes.get("rowspan", ""), 1, len(rows))
-            cells.append((column, wide, lay_out(_as_block(cell, visible), nested)))
-            for c in range(column, min(column + wide, MOST_COLUMNS)):
-                taken[c] = max(taken.get(c, 0), high)
+            cells.append((column, wide, lay_out(_as_block(cell, visible))))
+            if high > 1:
+                for c in range(column, column + wide):
+                    taken[c] = max(taken.get(c, 0), high)
             column += wide
         grid.append(cells)
         taken = {c: n - 1 for c, n in taken.items() if n > 1}
