@@ -1,10 +1,11 @@
 """Language identification: words first, then shorter and shorter pieces of unseen words.
 
 Words are counted per language over all documents to learn from, and the n-grams of the counted words up to
-``ORDER`` characters; all of both are kept, as a table. Texts are dealt into chunks, and a chunk's words, then the
-n-grams of those that are not in the table, are looked up by joins: a worker holds the entries that one chunk needs,
-whatever the size of the table. A known word adds its log frequency in each language; an unseen one the log
-frequencies of the longest known n-grams that begin at its characters.
+``ORDER`` characters; all of both are kept, as tables. A known word adds its log frequency in each language; an unseen one
+the log frequencies of the longest known n-grams that begin at its characters. The score of a text is a sum over its
+words, so no text has to move: the most common words, as many as a bound on the broadcast allows, are added up where the
+text is read. Of the others a text is left with numbers; the words that a chunk of texts has numbered, and the n-grams of
+those that are not in the table, are looked up by joins and meet the numbers of that chunk again.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -26,8 +27,15 @@ from probelake.llm.common import held_out, importable, pieces, record, texts
 from probelake.session import stage
 
 ORDER = 5
-#: Characters of a chunk of texts, one text at least.
+#: Characters of a chunk of texts, one text at least; a text counts for so many more.
 CHUNK = 8_000_000
+EACH = 100
+#: Entries (word, language) that are broadcast at most, of words up to so many characters.
+ENTRIES = 400_000
+LONGEST = 64
+#: Counts that a task holds before it sends them on, and characters of a word whose n-grams are made at a time.
+HELD = 300_000
+PIECE = 50_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -37,86 +45,74 @@ def words_of(token: str) -> list[str]:
     return WORD.findall(token.lower())
 
 
-DEALT = [
-    ("chunk", pa.int64()),
-    ("doc_id", pa.int64()),
-    ("held_out", pa.bool_()),
-    ("text", pa.string()),
-    ("word", pa.string()),
-    ("langs", pa.list_(pa.string())),
-    ("counts", pa.list_(pa.int64())),
-]
-DEALT_SCHEMA = (
-    "chunk long, doc_id long, held_out boolean, text string, word string, langs array<string>, counts array<long>"
-)
+def grams_of(word: str, sizes: range = range(1, ORDER + 1)) -> Iterator[str]:
+    """All n-grams of a word and the space around it."""
+    padded, end = f" {word} ", len(word) + 2
+    return (padded[at : at + size] for size in sizes for at in range(end - size + 1))
+
+
+# --- learning ----------------------------------------------------------------------------------------------------
+
+COUNTED = [("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]
 
 
-def _vocabulary(chunk: int, counts: dict[str | None, Counter]) -> pa.RecordBatch:
-    """The words of a chunk, each once, with their counts in the languages to learn (None: not learned from)."""
-    words: dict[str, dict[str, int]] = {}
-    for lang, tokens in counts.items():
-        for token, n in tokens.items():
-            for word in words_of(token):
-                of = words.setdefault(word, {})
-                if lang is not None:
-                    of[lang] = of.get(lang, 0) + n
-    n, each = len(words), words.values()
-    nulls = [pa.nulls(n, kind) for _, kind in DEALT[1:4]]
-    return record(DEALT, [[chunk] * n, *nulls, words, [list(of) for of in each], [list(of.values()) for of in each]])
+def _counts(counts: dict[str, Counter], names: list) -> Iterator[pa.RecordBatch]:
+    for lang, values in counts.items():
+        yield record(names, [[lang] * len(values), list(values), list(values.values())])
 
 
-def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The texts with the number of their chunk, and the words of each chunk."""
-    chunk, chars, counts = TaskContext.get().partitionId() << 32, 0, {}
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: dict[str, Counter] = {}
+
+    def words() -> Iterator[pa.RecordBatch]:
+        for lang, tokens in counts.items():
+            found: Counter = Counter()
+            for token, n in tokens.items():
+                for word in words_of(token):
+                    found[word] += n
+            yield from _counts({lang: found}, COUNTED)
+        counts.clear()
+
     for batch in batches:
         for piece in pieces(batch):
-            values, n = texts(piece), piece.num_rows
-            for lang, text in zip(piece.column("learned").to_pylist(), values):
+            for lang, text in zip(piece.column("learned").to_pylist(), texts(piece)):
                 counts.setdefault(lang, Counter()).update(text.split())
-                chars += len(text)
-            nulls = [pa.nulls(n, kind) for _, kind in DEALT[4:]]
-            yield record(DEALT, [[chunk] * n, piece.column("doc_id"), piece.column("held_out"), values, *nulls])
-            if chars >= CHUNK:
-                yield _vocabulary(chunk, counts)
-                chunk, chars, counts = chunk + 1, 0, {}
-    yield _vocabulary(chunk, counts)
+            if sum(map(len, counts.values())) > HELD:
+                yield from words()
+    yield from words()
 
 
-def dealt(docs: DataFrame) -> DataFrame:
-    """The texts in chunks (``text`` is set) and the words of each chunk (``word`` is set), staged."""
-    importable(docs.sparkSession)
-    out = held_out()
-    rows = docs.select(
-        F.col("doc_id").cast("long"), out.alias("held_out"), "text", F.when(~out, F.col("lang")).alias("learned")
-    )
-    return stage(rows.mapInArrow(_deal, DEALT_SCHEMA), "language-texts")
+def _pieces_of(word: str) -> Iterator[str]:
+    """A word and the space around it in pieces that share what an n-gram may need."""
+    padded = f" {word} "
+    for at in range(0, max(1, len(padded) - ORDER + 1), PIECE):
+        yield padded[at : at + PIECE + ORDER - 1]
 
 
-def grams_of(word: str, sizes: range = range(1, ORDER + 1)) -> Iterator[str]:
-    """All n-grams of a word and the space around it."""
-    padded, end = f" {word} ", len(word) + 2
-    return (padded[at : at + size] for size in sizes for at in range(end - size + 1))
+def _grams(word: str) -> Iterator[Iterator[str]]:
+    """All n-grams of a word, each place once, in bounded groups."""
+    padded_length, at = len(word) + 2, 0
+    for piece in _pieces_of(word):
+        last = at + len(piece) >= padded_length
+        starts = len(piece) if last else PIECE
+        yield (piece[i : i + size] for size in range(1, ORDER + 1) for i in range(min(starts, len(piece) - size + 1)))
+        at += PIECE
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())]
+    names = [("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())]
+    counts: dict[str, Counter] = {}
     for batch in batches:
-        counts: dict[str, dict[str, int]] = {}
         for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
-            grams = counts.setdefault(lang, {})
-            for gram in grams_of(word):
-                grams[gram] = grams.get(gram, 0) + n
-        for lang, grams in counts.items():
-            yield record(kinds, [[lang] * len(grams), grams, grams.values()])
-
-
-def _wanted_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        wanted: dict[int, set[str]] = {}
-        for chunk, word in zip(*(batch.column(c).to_pylist() for c in ("chunk", "word"))):
-            wanted.setdefault(chunk, set()).update(grams_of(word))
-        for chunk, grams in wanted.items():
-            yield record([("chunk", pa.int64()), ("gram", pa.string())], [[chunk] * len(grams), sorted(grams)])
+            found = counts.setdefault(lang, Counter())
+            for some in _grams(word):
+                for gram in some:
+                    found[gram] += n
+                if sum(map(len, counts.values())) > HELD:
+                    yield from _counts(counts, names)
+                    counts.clear()
+                    found = counts.setdefault(lang, Counter())
+    yield from _counts(counts, names)
 
 
 class Model(NamedTuple):
@@ -137,12 +133,12 @@ def _by_gram(counted: DataFrame, size) -> DataFrame:
     return rows.select("gram", size.cast("int").alias("size"), F.col("of.lang").alias("langs"), F.col("of.n").alias("counts"))
 
 
-def train(chunks: DataFrame) -> Model:
-    """Learn from the words of ``dealt`` documents that have a language and are not held out."""
-    pairs = F.explode(F.arrays_zip("langs", "counts")).alias("of")
-    counted = chunks.where("word is not null").select("word", pairs)
-    counted = counted.groupBy(F.col("of.langs").alias("lang"), "word").agg(F.sum("of.counts").alias("n"))
-    counted = stage(counted, "language-words")
+def train(docs: DataFrame) -> Model:
+    """Learn from the documents that have a language and are not held out."""
+    importable(docs.sparkSession)
+    learned = docs.select("text", F.when(~held_out(), F.col("lang")).alias("learned")).where("learned IS NOT NULL")
+    counted = learned.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word")
+    counted = stage(counted.agg(F.sum("n").alias("n")), "language-words")
     grams = counted.mapInArrow(_count_grams, "lang string, gram string, n long")
     grams = stage(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
     totals = [(r.lang, 0, r.n) for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()]
@@ -153,89 +149,249 @@ def train(chunks: DataFrame) -> Model:
     sums = np.zeros((ORDER + 1, len(langs)))
     for lang, size, n in totals:
         sums[size, number[lang]] = n
-    words = _by_gram(counted.withColumnRenamed("word", "gram"), F.lit(0))
+    words = stage(_by_gram(counted.withColumnRenamed("word", "gram"), F.lit(0)), "language-model")
     return Model(langs, sums, words, _by_gram(grams, F.length("gram")))
 
 
-class Scorer:
-    """Languages of texts whose words, and n-grams of unknown words, are looked up in ``found``."""
+class Entries:
+    """Rows of the model as arrays: of row i, ``lang[at[i]:at[i + 1]]`` have the log counts ``more[...]``."""
 
-    def __init__(self, langs: list[str], sums: np.ndarray, found: pa.Table):
-        self.langs, self.tokens = langs, {}
-        self.rows: list[dict[str, int]] = [{} for _ in range(ORDER + 1)]
-        sizes, grams = found.column("size").to_pylist(), found.column("gram").to_pylist()
-        for i, (size, gram) in enumerate(zip(sizes, grams)):
-            self.rows[size][gram] = i
-        self.sizes = np.array(sizes, dtype=np.int64)
-        # A language without the entry counts a half; what others have beyond that is kept entry by entry.
-        self.least = np.log(0.5 / (sums + 1.0))
-        lengths = pc.list_value_length(found.column("langs")).to_numpy()
-        self.ends = np.cumsum(lengths, dtype=np.int64)
-        self.lengths = lengths.astype(np.int64)
-        names = pc.list_flatten(found.column("langs"))
+    def __init__(self, langs: list[str], rows: pa.Table):
+        lengths = pc.list_value_length(rows.column("langs")).to_numpy()
+        self.at = np.append(0, np.cumsum(lengths, dtype=np.int64))
+        names = pc.list_flatten(rows.column("langs"))
         self.lang = pc.index_in(names, value_set=pa.array(langs, names.type)).to_numpy().astype(np.int64)
-        self.more = np.log(pc.list_flatten(found.column("counts")).to_numpy() * 2.0 + 1.0)
-
-    def rows_of(self, word: str) -> list[int]:
-        """Rows that a word adds up: its own, or those of the longest known n-grams."""
-        known = self.rows[0].get(word)
-        if known is not None:
-            return [known]
-        padded, found = f" {word} ", []
-        longest_first = list(enumerate(self.rows))[:0:-1]
-        for at in range(len(padded) - 1):
-            for size, rows in longest_first:
-                row = rows.get(padded[at : at + size])
-                if row is not None:
-                    found.append(row)
-                    break
-        return found
-
-    def token(self, token: str) -> tuple[int, ...]:
-        """Rows of a piece of text without spaces, remembered."""
-        rows = tuple(r for word in words_of(token) for r in self.rows_of(word))
-        self.tokens[token] = rows
-        return rows
-
-    def added(self, rows: list[int]) -> np.ndarray:
-        """The log frequencies of the rows, summed by language."""
-        at = np.array(rows, dtype=np.int64)
-        lengths, ends = self.lengths[at], self.ends[at]
+        # A language without the entry counts a half; what others have beyond that is kept entry by entry.
+        self.more = np.log(pc.list_flatten(rows.column("counts")).to_numpy() * 2.0 + 1.0)
+
+    def added(self, rows: np.ndarray, times: np.ndarray, text: np.ndarray, n_texts: int, n_langs: int) -> np.ndarray:
+        """The log counts of rows, each so many times, summed by text and language."""
+        lengths = self.at[rows + 1] - self.at[rows]
         to = np.cumsum(lengths)
-        flat = np.arange(to[-1] if len(to) else 0) + np.repeat(ends - to, lengths)
-        sums = np.bincount(self.lang[flat], self.more[flat], len(self.langs))
-        return sums + np.bincount(self.sizes[at], minlength=ORDER + 1) @ self.least
-
-    def predict(self, text: str) -> tuple[str, float]:
-        """The language of a text and the share it gets among all languages."""
-        if not self.langs or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
-        tokens, known = text.split(), self.tokens.get
-        rows: list[int] = []
-        for token in tokens:
-            found = known(token)
-            rows.extend(self.token(token) if found is None else found)
-        sums = self.added(rows)
-        best = int(sums.argmax())
-        return self.langs[best], float(1 / np.exp((sums - sums[best]) / math.sqrt(len(tokens))).sum())
+        flat = np.arange(to[-1] if len(to) else 0) + np.repeat(self.at[rows + 1] - to, lengths)
+        place = np.repeat(text, lengths) * n_langs + self.lang[flat]
+        sums = np.bincount(place, self.more[flat] * np.repeat(times, lengths), n_texts * n_langs)
+        return sums.reshape(n_texts, n_langs).astype(float)
 
 
-PREDICTED = [
+# --- scoring -----------------------------------------------------------------------------------------------------
+
+DEALT = [
+    ("chunk", pa.int64()),
+    ("place", pa.int64()),
+    ("word", pa.string()),
     ("doc_id", pa.int64()),
     ("held_out", pa.bool_()),
-    ("lang_pred", pa.string()),
-    ("score", pa.float64()),
+    ("letters", pa.bool_()),
+    ("tokens", pa.int64()),
+    ("n_common", pa.int64()),
+    ("sums", pa.list_(pa.float64())),
+    ("places", pa.binary()),
+    ("times", pa.binary()),
 ]
+DEALT_SCHEMA = (
+    "chunk long, place long, word string, doc_id long, held_out boolean, letters boolean, tokens long, n_common long, "
+    "sums array<double>, places binary, times binary"
+)
+
+
+def compact(values: np.ndarray) -> bytes:
+    """Numbers of two or of four bytes, whichever they need, after a byte that tells which."""
+    small = not len(values) or values.max() < 1 << 16
+    return (b"\2" if small else b"\4") + values.astype("<u2" if small else "<u4").tobytes()
+
+
+def expanded(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype(np.int64)
+
+
+class Common:
+    """The most common words, within ``ENTRIES``, and what they add."""
+
+    def __init__(self, langs: list[str], rows: pa.Table):
+        self.n_langs = len(langs)
+        self.entries = Entries(langs, rows)
+        self.numbers = {w: i for i, w in enumerate(rows.column("gram").to_pylist())}
+
+
+def common_words(model: Model) -> Common:
+    most = ENTRIES // max(1, len(model.langs))
+    total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
+    rows = model.words.where(F.length("gram") <= LONGEST).withColumn("total", total)
+    rows = rows.orderBy(F.desc("total"), "gram").limit(most).select("gram", "langs", "counts")
+    return Common(model.langs, rows.toArrow())
+
+
+def _deal(batches: Iterator[pa.RecordBatch], common: Common) -> Iterator[pa.RecordBatch]:
+    """What is left to score of each text, by chunk, and the words that a chunk has numbered for it."""
+    chunk, chars = TaskContext.get().partitionId() << 32, 0
+    rare: dict[str, int] = {}
+    tokens: dict[str, tuple[list[int], list[int]]] = {}
+
+    def of(token: str) -> tuple[list[int], list[int]]:
+        known, left = [], []
+        for word in words_of(token):
+            number = common.numbers.get(word)
+            if number is None:
+                left.append(rare.setdefault(word, len(rare)))
+            else:
+                known.append(number)
+        tokens[token] = known, left
+        return known, left
+
+    def words() -> pa.RecordBatch:
+        n = len(rare)
+        return record(DEALT, [[chunk] * n, range(n), list(rare), *[pa.nulls(n, kind) for _, kind in DEALT[3:]]])
+
+    for batch in batches:
+        for piece in pieces(batch):
+            values, n = texts(piece), piece.num_rows
+            told, n_tokens = [], []
+            text_of, numbers, times = [], [], []
+            left: list[tuple[bytes, bytes]] = []
+            for i, text in enumerate(values):
+                split = text.split()
+                n_tokens.append(len(split))
+                told.append(any(map(str.isalpha, text)))
+                open_ = Counter()
+                for token, k in Counter(split).items():
+                    found = tokens.get(token)
+                    known, others = of(token) if found is None else found
+                    for number in known:
+                        numbers.append(number)
+                        times.append(k)
+                    text_of += [i] * len(known)
+                    for number in others:
+                        open_[number] += k
+                left.append((compact(np.array(list(open_), np.int64)), compact(np.array(list(open_.values()), np.int64))))
+                chars += len(text) + EACH
+            rows, weight, where = (np.array(x, np.int64) for x in (numbers, times, text_of))
+            sums = common.entries.added(rows, weight, where, n, common.n_langs)
+            n_common = np.bincount(where, weight, n).astype(np.int64)
+            lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * common.n_langs, sums.ravel())
+            none = [pa.nulls(n, kind) for _, kind in DEALT[1:3]]
+            yield record(DEALT, [
+                [chunk] * n, *none, piece.column("doc_id"), piece.column("held_out"), told, n_tokens, n_common, lists,
+                [p for p, _ in left], [t for _, t in left],
+            ])
+            if chars >= CHUNK:
+                yield words()
+                chunk, chars = chunk + 1, 0
+                rare.clear()
+                tokens.clear()
+    yield words()
+
+
+def dealt(docs: DataFrame, common: Common) -> DataFrame:
+    """What is left to score of the texts (``doc_id`` and following) and the words it refers to (``word``), staged."""
+    sent = docs.sparkSession.sparkContext.broadcast(common)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
+    return stage(rows.mapInArrow(lambda batches: _deal(batches, sent.value), DEALT_SCHEMA), "language-dealt")
+
+
+def _wanted_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [("chunk", pa.int64()), ("gram", pa.string())]
+    wanted: set[tuple[int, str]] = set()
+    for batch in batches:
+        for chunk, word in zip(*(batch.column(c).to_pylist() for c in ("chunk", "gram"))):
+            for some in _grams(word):
+                wanted.update((chunk, gram) for gram in some)
+                if len(wanted) > HELD:
+                    yield record(kinds, list(zip(*wanted)))
+                    wanted.clear()
+    if wanted:
+        yield record(kinds, list(zip(*wanted)))
+
+
+FOUND = ["chunk", "place", "gram", "size", "langs", "counts"]
 
 
 def looked_up(chunks: DataFrame, model: Model) -> DataFrame:
-    """(chunk, gram, size, langs, counts): the model's rows that the chunks need."""
-    wanted = chunks.where("word is not null").select("chunk", F.col("word").alias("gram"))
-    found = stage(wanted.join(model.words, "gram", "left"), "language-known")
-    unseen = found.where("size is null").select("chunk", F.col("gram").alias("word"))
+    """``FOUND``: the model's rows for the words of the chunks; those of unknown words have no size, and the n-grams that
+    are in the model have no place."""
+    wanted = chunks.where("word IS NOT NULL").select("chunk", "place", F.col("word").alias("gram"))
+    found = stage(wanted.join(model.words, "gram", "left").select(FOUND), "language-known")
+    unseen = found.where("size IS NULL").select("chunk", "gram")
     grams = unseen.mapInArrow(_wanted_grams, "chunk long, gram string").distinct().join(model.grams, "gram")
-    columns = ["chunk", "gram", "size", "langs", "counts"]
-    return found.where("size is not null").select(columns).unionByName(grams.select(columns))
+    known = F.when(F.col("size").isNull(), F.col("gram")).alias("gram")  # a known word is told by its place
+    grams = grams.withColumn("place", F.lit(None).cast("long"))
+    return found.select("chunk", "place", known, *FOUND[3:]).unionByName(grams.select(FOUND))
+
+
+def backed_off(word: str, grams: list[dict[str, int]]) -> list[int]:
+    """The rows of the longest known n-grams that begin at each character of a word and the space around it."""
+    padded, found = f" {word} ", []
+    longest_first = list(enumerate(grams))[:0:-1]
+    for at in range(len(padded) - 1):
+        for size, rows in longest_first:
+            row = rows.get(padded[at : at + size])
+            if row is not None:
+                found.append(row)
+                break
+    return found
+
+
+def scored(model_langs: list[str], sums: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Function that predicts the languages of a chunk's texts from what was found for it."""
+    n_langs = len(model_langs)
+    least = np.log(0.5 / (sums + 1.0))
+
+    def work(texts_: pa.Table, found: pa.Table) -> pa.Table:
+        n = texts_.num_rows
+        entries = Entries(model_langs, found.set_column(4, "langs", _filled(found.column("langs"))).set_column(5, "counts", _filled(found.column("counts"))))
+        sizes = np.array([-1 if s is None else s for s in found.column("size").to_pylist()], np.int64)
+        place = found.column("place").to_pylist()
+        words = found.column("gram").to_pylist()
+        grams: list[dict[str, int]] = [{} for _ in range(ORDER + 1)]
+        for i in np.flatnonzero(sizes > 0).tolist():
+            grams[sizes[i]][words[i]] = i
+        rows_of: dict[int, list[int]] = {}
+        for i in np.flatnonzero(sizes <= 0).tolist():
+            rows_of[place[i]] = [i] if sizes[i] == 0 else backed_off(words[i], grams)
+        lengths = np.array([len(rows_of[p]) for p in range(len(rows_of))], np.int64)
+        flat = np.array([r for p in range(len(rows_of)) for r in rows_of[p]], np.int64)
+        ends = np.cumsum(lengths)
+        total = np.array(texts_.column("sums").to_pylist(), float).reshape(n, n_langs)
+        by_size = np.zeros((n, ORDER + 1))
+        by_size[:, 0] = texts_.column("n_common").to_numpy()
+        for i, (places, times) in enumerate(zip(texts_.column("places").to_pylist(), texts_.column("times").to_pylist())):
+            at, weight = expanded(places), expanded(times)
+            if not len(at):
+                continue
+            many = lengths[at]
+            to = np.cumsum(many)
+            rows = flat[np.arange(to[-1]) + np.repeat(ends[at] - to, many)]
+            weight = np.repeat(weight, many)
+            total[i] += entries.added(rows, weight, np.zeros(len(rows), np.int64), 1, n_langs)[0]
+            by_size[i] += np.bincount(sizes[rows], weight, ORDER + 1)
+        total += by_size @ least
+        told, tokens = texts_.column("letters").to_pylist(), texts_.column("tokens").to_numpy()
+        names, shares = [], []
+        for i in range(n):
+            if not n_langs or not told[i]:
+                names.append(UNKNOWN)
+                shares.append(0.0)
+                continue
+            best = int(total[i].argmax())
+            names.append(model_langs[best])
+            shares.append(float(1 / np.exp((total[i] - total[i, best]) / math.sqrt(tokens[i])).sum()))
+        kept = [texts_.column(c).combine_chunks() for c in ("doc_id", "held_out")]
+        return pa.Table.from_batches([record(PREDICTED, [*kept, names, shares])])
+
+    return work
+
+
+def _filled(lists: pa.ChunkedArray) -> pa.ChunkedArray:
+    """Empty lists for nulls."""
+    return pc.fill_null(lists, pa.scalar([], lists.type))
+
+
+PREDICTED = [
+    ("doc_id", pa.int64()),
+    ("held_out", pa.bool_()),
+    ("lang_pred", pa.string()),
+    ("score", pa.float64()),
+]
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -246,17 +402,9 @@ def identify(docs: DataFrame) -> DataFrame:
     to the language that sorts first; rows with null (not held out) or equal ids are scored each; other columns are
     not read.
     """
-    chunks = dealt(docs)
-    model = train(chunks)
-    langs, sums = model.langs, model.sums
-
-    def work(rows: pa.Table, found: pa.Table) -> pa.Table:
-        scorer = Scorer(langs, sums, found)
-        predicted = [scorer.predict(t) for t in rows.column("text").to_pylist()]
-        kept = [rows.column(c).combine_chunks() for c in ("doc_id", "held_out")]
-        return pa.Table.from_batches([record(PREDICTED, [*kept, *([p[i] for p in predicted] for i in range(2))])])
-
-    rows = chunks.where("text is not null").select("chunk", "doc_id", "held_out", "text").groupBy("chunk")
+    model = train(docs)
+    chunks = dealt(docs, common_words(model))
+    rows = chunks.where("word IS NULL").drop("place", "word").groupBy("chunk")
     found = looked_up(chunks, model).groupBy("chunk")
     schema = "doc_id long, held_out boolean, lang_pred string, score double"
-    return rows.cogroup(found).applyInArrow(work, schema)
+    return rows.cogroup(found).applyInArrow(scored(model.langs, model.sums), schema)
