@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -28,13 +29,13 @@ from probelake.session import stage
 
 ORDER = 5
 #: Characters of a chunk of texts, one text at least; a text counts for so many more.
-CHUNK = 8_000_000
+CHUNK = 32_000_000
 EACH = 100
 #: Entries (word, language) that are broadcast at most, of words up to so many characters.
-ENTRIES = 400_000
+ENTRIES = 1_000_000
 LONGEST = 64
 #: Counts that a task holds before it sends them on, and characters of a word whose n-grams are made at a time.
-HELD = 300_000
+HELD = 500_000
 PIECE = 50_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -222,63 +223,77 @@ def common_words(model: Model) -> Common:
     return Common(model.langs, rows.toArrow())
 
 
-def _deal(batches: Iterator[pa.RecordBatch], common: Common) -> Iterator[pa.RecordBatch]:
-    """What is left to score of each text, by chunk, and the words that a chunk has numbered for it."""
-    chunk, chars = TaskContext.get().partitionId() << 32, 0
-    rare: dict[str, int] = {}
-    tokens: dict[str, tuple[list[int], list[int]]] = {}
+class Tokens:
+    """Numbers for the tokens of a chunk, and the words of each token: common ones, and others by their place."""
 
-    def of(token: str) -> tuple[list[int], list[int]]:
-        known, left = [], []
+    def __init__(self, common: dict[str, int]):
+        self.known, self.places, self.numbers = common, {}, {}
+        self.common, self.rare = (array("q"), array("q", [0])), (array("q"), array("q", [0]))
+
+    def number(self, token: str) -> int:
         for word in words_of(token):
-            number = common.numbers.get(word)
-            if number is None:
-                left.append(rare.setdefault(word, len(rare)))
+            at = self.known.get(word)
+            if at is None:
+                self.rare[0].append(self.places.setdefault(word, len(self.places)))
             else:
-                known.append(number)
-        tokens[token] = known, left
-        return known, left
+                self.common[0].append(at)
+        for values, ends in (self.common, self.rare):
+            ends.append(len(values))
+        return self.numbers.setdefault(token, len(self.numbers))
+
+    def numbered(self, tokens: list[str]) -> list[int]:
+        found = list(map(self.numbers.get, tokens))
+        if None in found:
+            for i, x in enumerate(found):
+                if x is None:
+                    number = self.numbers.get(tokens[i])
+                    found[i] = self.number(tokens[i]) if number is None else number
+        return found
+
+    def expanded(self, kind: tuple[array, array], tokens: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of tokens, each with its text."""
+        values, at = (np.array(x, np.int64) for x in kind)
+        many = at[tokens + 1] - at[tokens]
+        to = np.cumsum(many)
+        flat = np.arange(to[-1] if len(to) else 0) + np.repeat(at[tokens + 1] - to, many)
+        return values[flat], np.repeat(text, many)
+
+
+def _deal(batches: Iterator[pa.RecordBatch], common: Common) -> Iterator[pa.RecordBatch]:
+    """What is left to score of each text, by chunk, and the words that a chunk has numbered for it."""
+    chunk, chars, tokens = TaskContext.get().partitionId() << 32, 0, Tokens(common.numbers)
 
     def words() -> pa.RecordBatch:
-        n = len(rare)
-        return record(DEALT, [[chunk] * n, range(n), list(rare), *[pa.nulls(n, kind) for _, kind in DEALT[3:]]])
+        n = len(tokens.places)
+        return record(DEALT, [[chunk] * n, range(n), list(tokens.places), *[pa.nulls(n, kind) for _, kind in DEALT[3:]]])
 
     for batch in batches:
         for piece in pieces(batch):
             values, n = texts(piece), piece.num_rows
-            told, n_tokens = [], []
-            text_of, numbers, times = [], [], []
-            left: list[tuple[bytes, bytes]] = []
-            for i, text in enumerate(values):
+            told = [any(map(str.isalpha, text)) for text in values]
+            flat, n_tokens = [], []
+            for text in values:
                 split = text.split()
                 n_tokens.append(len(split))
-                told.append(any(map(str.isalpha, text)))
-                open_ = Counter()
-                for token, k in Counter(split).items():
-                    found = tokens.get(token)
-                    known, others = of(token) if found is None else found
-                    for number in known:
-                        numbers.append(number)
-                        times.append(k)
-                    text_of += [i] * len(known)
-                    for number in others:
-                        open_[number] += k
-                left.append((compact(np.array(list(open_), np.int64)), compact(np.array(list(open_.values()), np.int64))))
+                flat += tokens.numbered(split)
                 chars += len(text) + EACH
-            rows, weight, where = (np.array(x, np.int64) for x in (numbers, times, text_of))
-            sums = common.entries.added(rows, weight, where, n, common.n_langs)
-            n_common = np.bincount(where, weight, n).astype(np.int64)
+            flat, text_of = np.array(flat, np.int64), np.repeat(np.arange(n), n_tokens)
+            rows, where = tokens.expanded(tokens.common, flat, text_of)
+            sums = common.entries.added(rows, np.ones(len(rows)), where, n, common.n_langs)
+            n_common = np.bincount(where, minlength=n)
+            places, where = tokens.expanded(tokens.rare, flat, text_of)
+            both, times = np.unique(where << 32 | places, return_counts=True)
+            cuts = np.searchsorted(both >> 32, np.arange(n + 1))
+            left = [(both[x:y] & 0xFFFFFFFF, times[x:y]) for x, y in zip(cuts[:-1], cuts[1:])]
             lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * common.n_langs, sums.ravel())
             none = [pa.nulls(n, kind) for _, kind in DEALT[1:3]]
             yield record(DEALT, [
                 [chunk] * n, *none, piece.column("doc_id"), piece.column("held_out"), told, n_tokens, n_common, lists,
-                [p for p, _ in left], [t for _, t in left],
+                [compact(p) for p, _ in left], [compact(t) for _, t in left],
             ])
             if chars >= CHUNK:
                 yield words()
-                chunk, chars = chunk + 1, 0
-                rare.clear()
-                tokens.clear()
+                chunk, chars, tokens = chunk + 1, 0, Tokens(common.numbers)
     yield words()
 
 
