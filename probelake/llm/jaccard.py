@@ -184,9 +184,15 @@ def _prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, commo
                 yield record(kinds, [np.concatenate(keys).view(np.int64), np.concatenate(commons), nodes, sizes])
 
 
-def _sets(piece: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
-    sets = sets_of(texts(piece), width)
-    yield record([("node", pa.int64()), ("shingles", pa.binary())], [[node_of(s) for s in sets], [s.tobytes() for s in sets]])
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(node, shingles), each node once a task."""
+    seen: set[int] = set()
+    for batch in batches:
+        for piece in pieces(batch):
+            found = {node_of(s): s.tobytes() for s in sets_of(texts(piece), width)}
+            new = [node for node in found if node not in seen]
+            seen.update(new)
+            yield record([("node", pa.int64()), ("shingles", pa.binary())], [new, [found[node] for node in new]])
 
 
 # --- R-tree ------------------------------------------------------------------------------------------------------
@@ -422,7 +428,9 @@ def _connected(profile: DataFrame, rows: DataFrame, width: int, percent: int) ->
     schema = "key long, common boolean, node long, n long"
     texts_only = rows.select("text")
     prefixes = texts_only.mapInArrow(lambda batches: _prefixes(batches, width, percent, common.value), schema)
-    blocks = stage(_tiled(_blocks(prefixes), percent), "jaccard-blocks")
+    # Staged before its tiles are made, which read it several times.
+    blocks = stage(_blocks(prefixes), "jaccard-prefixes")
+    blocks = stage(_tiled(blocks, percent), "jaccard-blocks")
     nodes = profile.where(F.col("node").isNotNull()).groupBy("node")
     nodes = stage(nodes.agg(F.min(F.struct("row", "n", "counts", "fine")).alias("of")).select("node", "of.*"), "jaccard-nodes")
 
@@ -434,8 +442,10 @@ def _connected(profile: DataFrame, rows: DataFrame, width: int, percent: int) ->
         """The candidates that are similar, by the sets of the texts that they concern."""
         involved = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = involved.join(nodes, "node").select(F.col("row").alias("wanted"))
-        chosen = rows.join(wanted, F.col("row") == F.col("wanted"), "left_semi").dropDuplicates(["row"])
-        sets = map_texts(chosen.select("text"), lambda p: _sets(p, width), "node long, shingles binary")
+        # Rows with the same id and text may be chosen several times; the sets, not the texts, move to be told apart.
+        chosen = rows.join(wanted, F.col("row") == F.col("wanted"), "left_semi").select("text")
+        sets = chosen.mapInArrow(lambda batches: _sets(batches, width), "node long, shingles binary")
+        sets = sets.dropDuplicates(["node"])
         both = _with_both(candidates, stage(sets, f"{name}-sets"), {"shingles": "other_shingles"})
         return stage(both.mapInArrow(lambda batches: _verified(batches, percent), PAIRS_SCHEMA), f"{name}-links")
 

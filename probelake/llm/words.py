@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes hashed at a time.
-STEP = 1 << 22
+STEP = 1 << 18
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
