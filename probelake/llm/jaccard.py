@@ -47,6 +47,8 @@ SMALL = 8
 ROUNDS = 1
 DRAWS = 8
 BLOCKS = 2
+#: Blocks of a node that are listed with it, see ``_searched``.
+LISTED = 16
 LEAF = 16
 FANOUT = 8
 STEP = np.uint64(0x9FB21C651E98DF25)
@@ -251,16 +253,33 @@ def tree_pairs(n: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray,
     return order[a], order[b]
 
 
+def _is_first(key: int, x: set[int], y: set[int]) -> bool:
+    """Whether no block before this one is listed for both nodes; so it is for the first that they are in together."""
+    return min(x & y, default=key) >= key
+
+
 def _pairs_of(table: pa.Table, percent: int) -> pa.RecordBatch:
     unit, node, n, part, root = (table.column(c).to_numpy() for c in ("unit", "node", "n", "part", "root"))
     at = points(table.column("counts").to_pylist())
     cuts = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1], [True]]))
     pairs = []
+    if "keys" in table.column_names:
+        key, lists, sets = table.column("key").to_numpy(), table.column("keys"), {}
+
+        def keys(i: int) -> set[int]:
+            if i not in sets:
+                sets[i] = set(lists[i].as_py())
+            return sets[i]
+
     for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         a, b = (x + low for x in tree_pairs(n[low:high], at[low:high], percent))
         # Two tiles are joined across only (a tile with itself is part 2); one root means linked already.
         ok = ((part[a] != part[b]) | (part[a] == 2)) & (root[a] != root[b])
-        pairs.append((node[a[ok]], node[b[ok]]))
+        a, b = a[ok], b[ok]
+        if "keys" in table.column_names:
+            first = [_is_first(own, x, y) for own, x, y in zip(key[a].tolist(), map(keys, a.tolist()), map(keys, b.tolist()))]
+            a, b = a[first], b[first]
+        pairs.append((node[a], node[b]))
     a, b = (np.concatenate([p[i] for p in pairs]) for i in range(2))
     return record(PAIRS, [np.minimum(a, b), np.maximum(a, b)])
 
@@ -391,7 +410,7 @@ def _units(rows: DataFrame) -> DataFrame:
     pairs = tiles.join(other, "key").where(near)
     pairs = pairs.withColumn("unit", F.xxhash64("key", "band", "salt", "band2", "salt2"))
     itself = (F.col("band") == F.col("band2")) & (F.col("salt") == F.col("salt2"))
-    kept = ["unit", "part", "node", "n", "root"]
+    kept = ["unit", "key", "part", "node", "n", "root"]
     left = pairs.withColumn("part", F.when(itself, 2).otherwise(0)).drop("band2", "salt2")
     right = pairs.where(~itself).withColumn("part", F.lit(1)).drop("band", "salt")
     right = right.withColumnsRenamed({"band2": "band", "salt2": "salt"})
@@ -400,7 +419,13 @@ def _units(rows: DataFrame) -> DataFrame:
 
 
 def _searched(units: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    rows = units.join(nodes.select("node", "counts"), "node")
+    """Pairs whose points don't rule out that they are similar.
+
+    Near copies meet in all blocks of the shingles that they share. A row comes with the first ``LISTED`` blocks of its node,
+    and a pair that meets in one of them is given by none behind it; in the first block of all it is given always.
+    """
+    lists = units.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LISTED).alias("keys"))
+    rows = units.join(nodes.select("node", "counts"), "node").join(lists, "node")
     rows = rows.repartition("unit").sortWithinPartitions("unit")
     return rows.mapInArrow(lambda batches: _joined(batches, percent), PAIRS_SCHEMA).distinct()
 
@@ -435,7 +460,7 @@ def _connected(profile: DataFrame, rows: DataFrame, width: int, percent: int) ->
     nodes = stage(nodes.agg(F.min(F.struct("row", "n", "counts", "fine")).alias("of")).select("node", "of.*"), "jaccard-nodes")
 
     small = blocks.where(F.col("total") <= SMALL)
-    units = small.select(F.col("key").alias("unit"), F.lit(2).alias("part"), "node", "n", F.col("node").alias("root"))
+    units = small.select(F.col("key").alias("unit"), "key", F.lit(2).alias("part"), "node", "n", F.col("node").alias("root"))
     large = blocks.where(F.col("total") > SMALL)
 
     def verified(candidates: DataFrame, name: str) -> DataFrame:
