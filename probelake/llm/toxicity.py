@@ -37,6 +37,8 @@ LEAST_GAIN = 14.0
 LEAST_PRECISION = 0.7
 ROUNDS = 30
 RIDGE = 0.5
+#: Features whose part of the gradient is worked out at a time.
+BLOCK = 1_000_000
 THRESHOLD = 0.3
 REMEMBERED = 300_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -67,7 +69,8 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[float]]:
     """Texts and labels of the labelled rows to learn from, and for how many rows one of class 0 and 1 stands.
 
-    ``toxic`` is the larger one of several labels.
+    At most ``TOXIC`` and ``CLEAN`` rows, whatever the tables hold: ``toxic`` is the larger one of several labels, and of
+    several texts of one doc_id it is the least.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -78,8 +81,9 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[float]]:
     ids = chosen[0].unionByName(chosen[1]).withColumnRenamed("doc_id", "__id")
     rows = docs.where(~held_out()).select("doc_id", "text")
     # At most TOXIC + CLEAN ids, whatever the size of the corpus.
-    rows = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).select("toxic", "text")
-    return stage(rows, "toxicity-sample"), times
+    rows = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    return stage(rows.select("toxic", "text"), "toxicity-sample"), times
 
 
 def surprise(both: np.ndarray, alone: np.ndarray, n: float, n_toxic: float) -> np.ndarray:
@@ -119,18 +123,26 @@ def label_model(votes: np.ndarray, weights: np.ndarray, start: np.ndarray, share
     return posterior
 
 
-def regression(rows: list[list[int]], target: np.ndarray, width: int, counted: np.ndarray) -> np.ndarray:
+def regression(
+    at: np.ndarray, which: np.ndarray, target: np.ndarray, width: int, counted: np.ndarray, block: int = BLOCK
+) -> np.ndarray:
     """Weights (the constant last) of a ridge logistic regression on sets of features, by gradient steps.
 
-    ``counted`` is how much each row counts.
+    Row i has the features ``which[at[i]:at[i + 1]]`` and counts ``counted[i]``. The gradient is summed over blocks of rows
+    with about ``block`` features.
     """
-    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    which = np.array([f for r in rows for f in r], dtype=np.int64)
     weights, momentum, scale = np.zeros(width + 1), np.zeros(width + 1), np.full(width + 1, 1e-9)
+    cuts = np.unique(np.append(np.searchsorted(at, np.arange(0, at[-1], block)), len(target)))
+    cuts = np.append(0, cuts[cuts > 0])
     for step in range(300):
-        sums = weights[-1] + np.bincount(at, weights[which], len(rows))
-        error = counted * (1 / (1 + np.exp(-np.clip(sums, -30, 30))) - target)
-        slope = np.append(np.bincount(which, error[at], width), error.sum())
+        slope = np.zeros(width + 1)
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            features = which[at[low] : at[high]]
+            row = np.repeat(np.arange(high - low), np.diff(at[low : high + 1]))
+            sums = weights[-1] + np.bincount(row, weights[features], high - low)
+            error = counted[low:high] * (1 / (1 + np.exp(-np.clip(sums, -30, 30))) - target[low:high])
+            slope[:-1] += np.bincount(features, error[row], width)
+            slope[-1] += error.sum()
         slope += RIDGE * np.append(weights[:-1], 0.0)
         momentum = 0.9 * momentum + 0.1 * slope
         scale = 0.99 * scale + 0.01 * slope**2
@@ -197,22 +209,27 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
                 found = [sorted(blank.present(t)) for t in texts(piece)]
                 yield record([("found", pa.list_(pa.int32())), ("toxic", pa.int32())], [found, piece.column("toxic").cast("int32")])
 
-    table = rows.mapInArrow(present, "found array<int>, toxic int").toArrow()
-    labelled = sorted(zip(table.column("found").to_pylist(), table.column("toxic").to_pylist()))
-    vectors = [found for found, _ in labelled]
+    table = rows.mapInArrow(present, "found array<int>, toxic int").orderBy("found", "toxic").toArrow()
+    lists = table.column("found").combine_chunks()
+    at, which = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+    toxic = table.column("toxic").to_numpy()
+    del table
     # Rows count by what they stand for, and all of them as many as were drawn.
-    counted = np.array([times[toxic] for _, toxic in labelled])
+    counted = np.array(times)[toxic]
     counted *= len(counted) / counted.sum()
-    place = {v: i + 1 for i, v in enumerate(voters)}
-    votes = np.zeros((len(vectors), len(voters) + 1))
-    for i, found in enumerate(vectors):
-        fired = [place[f] for f in found if f in place]
-        votes[i, fired or [0]] = 1.0
+    place = np.zeros(len(names), np.int64)
+    place[voters] = np.arange(1, len(voters) + 1)
+    voter = place[which]
+    row = np.repeat(np.arange(len(toxic)), np.diff(at))[voter > 0]
+    votes = np.zeros((len(toxic), len(voters) + 1), np.uint8)
+    votes[row, voter[voter > 0]] = 1
+    votes[:, 0] = ~votes.any(1)
     start = np.clip(np.append(0.01, both[voters] / alone[voters]), 0.01, 0.99)
-    patterns, inverse = np.unique(votes, axis=0, return_inverse=True)
+    _, first, inverse = np.unique(np.packbits(votes, axis=1), axis=0, return_index=True, return_inverse=True)
     inverse = inverse.ravel()
+    patterns = votes[first].astype(float)
     posterior = label_model(patterns, np.bincount(inverse, counted), start, share)[inverse]
-    weights = regression(vectors, posterior, len(names), counted)
+    weights = regression(at, which, posterior, len(names), counted)
     return Classifier(names, weights[:-1], float(weights[-1]))
 
 
@@ -237,7 +254,10 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """The documents, all columns, that score below ``THRESHOLD``."""
+    """The documents, all columns, that score below ``THRESHOLD``.
+
+    A null text scores as an empty one; rows with null or equal ids are judged each; an empty table gives an empty one.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def work(piece: pa.RecordBatch):
