@@ -73,25 +73,31 @@ def contained(column: str, allowed: Sequence[str]) -> Constraint:
 
 
 def measure(
-    df: DataFrame, constraints: Sequence[Constraint], by: Sequence[str] = (), groups: DataFrame | None = None
+    df: DataFrame,
+    constraints: Sequence[Constraint],
+    by: Sequence[str] = (),
+    groups: DataFrame | None = None,
+    distinct: Sequence[str] = (),
 ) -> DataFrame:
     """All metrics as rows (``by`` columns, ``position`` in the list, ``metric``).
 
-    ``groups`` (``by`` columns) names groups that are measured even if they have no rows: their size is 0.
+    ``groups`` (``by`` columns) names groups that are measured even if they have no rows: their size is 0. ``distinct``
+    names columns of which no group has a value twice, as after a deduplication: their values are not counted again.
 
     Size, completeness and containment are one aggregation with partial sums in every task, so a group
     with most of the rows costs no more than others. Uniqueness counts rows per value first.
     """
     by = list(by)
+    known = {i for i, c in enumerate(constraints) if c.kind == UNIQUENESS and c.column in distinct}
     metrics = F.array(
         *[
-            F.struct(F.lit(i).alias("position"), c.metric().alias("metric"))
+            F.struct(F.lit(i).alias("position"), (_all_once(c.column) if i in known else c.metric()).alias("metric"))
             for i, c in enumerate(constraints)
         ]
     )
     parts = df.groupBy(*by).agg(metrics.alias("metrics")).select(*by, F.inline("metrics"))
     for i, constraint in enumerate(constraints):
-        if constraint.kind == UNIQUENESS:
+        if constraint.kind == UNIQUENESS and i not in known:
             parts = parts.unionByName(_uniqueness(df, constraint.column, by, i))
     if groups is not None:
         nothing = [F.lit(0.0 if c.kind == SIZE else None).cast("double") for c in constraints]
@@ -100,6 +106,10 @@ def measure(
     return parts.groupBy(*by, "position").agg(F.max("metric").alias("metric"))
 
 
+def _all_once(column: str) -> Column:
+    return F.when(F.count(F.col(column)) > 0, F.lit(1.0))
+
+
 def _uniqueness(df: DataFrame, column: str, by: list[str], position: int) -> DataFrame:
     counts = (
         df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("rows"))
@@ -119,9 +129,10 @@ def report(
     name: str = fixed.CHECK_NAME,
     level: str = fixed.CHECK_LEVEL,
     groups: DataFrame | None = None,
+    distinct: Sequence[str] = (),
 ) -> DataFrame:
     """One row per constraint (and value of ``by``) with its status and that of the whole check."""
-    return report_of(measure(df, constraints, by, groups), constraints, by, name, level)
+    return report_of(measure(df, constraints, by, groups, distinct), constraints, by, name, level)
 
 
 def report_of(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,13 +92,15 @@ def log_quality(
     run_id: str,
     by: list[str],
     groups: DataFrame | None = None,
+    distinct: Sequence[str] = (),
 ) -> DataFrame:
     """Check ``rows``, add the report to the log and return this run's part of the log.
 
-    ``groups`` names values of ``by`` that are reported on even if they have no rows.
+    ``groups`` and ``distinct`` are those of ``quality.measure``.
     """
     checked_run_id(run_id)
-    return log_report(quality.report(rows, generation.constraints, by, groups=groups), path, run_id, by)
+    checked = quality.report(rows, generation.constraints, by, groups=groups, distinct=distinct)
+    return log_report(checked, path, run_id, by)
 
 
 def log_report(checked: DataFrame, path: str, run_id: str, by: list[str]) -> DataFrame:
@@ -152,7 +155,7 @@ def _from_shaped(
     generation = cfg.generation
     rows = deduplicate_stored(shaped, "row_id", "first", SURVIVOR_ORDER, by, cfg.null_keys)
     folders = date_folders(objects, cfg.raw).withColumnRenamed("source_date", FOLDER_DATE) if by else None
-    checked = log_quality(rows, generation, cfg.logs, run_id, by, folders)
+    checked = log_quality(rows, generation, cfg.logs, run_id, by, folders, ["row_id"])
     decided = checked.withColumnRenamed("bucket_date", FOLDER_DATE) if by else checked
     clean = quality.remediate(
         rows, decided, generation.constraints, generation.droppable, by, cfg.substring_match

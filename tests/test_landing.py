@@ -164,7 +164,7 @@ def test_no_task_has_a_whole_group(spark):
 def test_large_files_are_copied_by_tasks_of_their_own(spark):
     sizes = lambda *mib: spark.createDataFrame([(float(m),) for m in mib], "size_mb double")
     assert copy_tasks(sizes(5000, 5000)) == 2
-    assert copy_tasks(sizes(*[1] * 500)) == 64
+    assert copy_tasks(sizes(*[1] * 500)) == spark.sparkContext.defaultParallelism
     assert copy_tasks(sizes(*[1024] * 500)) == 500
     assert copy_tasks(sizes(*[512] * 10_000, *[0.001] * 20_000)) == 20_001
     assert copy_tasks(sizes(1).limit(0)) == 1

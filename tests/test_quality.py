@@ -158,3 +158,14 @@ def test_a_large_group_is_spread_when_the_plan_is_too_large_to_broadcast(spark,
         clean = quality.remediate(rows, report, checks, by=["day"])
         sizes = [r.n for r in clean.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 25_000 and max(sizes) < 25_000 / 3
+
+
+def test_values_known_to_be_distinct_are_not_counted(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("a", None), ("b", None)], "g string, x int")
+    checks = [quality.unique("x"), quality.has_rows()]
+    plain, known = (
+        sorted(map(str, quality.measure(rows, checks, ["g"], distinct=d).collect())) for d in ((), ("x",))
+    )
+    assert plain == known
+    plan = quality.measure(rows, checks, ["g"], distinct=["x"])._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan
