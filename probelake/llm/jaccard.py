@@ -430,15 +430,16 @@ def _searched(units: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(lambda batches: _joined(batches, percent), PAIRS_SCHEMA).distinct()
 
 
-def _drawn(rows: DataFrame, draw: int) -> DataFrame:
-    """Pairs of a few random neighbours for each node, of different roots, however many blocks the node is in."""
+def _drawn(rows: DataFrame, draw: int, percent: int) -> DataFrame:
+    """Pairs of a few random neighbours for each node, of different roots and like sizes, however many blocks it is in."""
     rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("key", F.lit(draw))))
     some = rows.withColumn("rank", rank).where(F.col("rank") <= BLOCKS)
     first = draw * DRAWS
     dealt = some.withColumn("draw", F.explode(F.sequence(F.lit(first + 1), F.lit(first + DRAWS))))
     tile = Window.partitionBy("key", "band", "salt", "draw").orderBy(F.xxhash64("node", "draw"))
-    near = dealt.withColumns({"other": F.lag("node").over(tile), "other_root": F.lag("root").over(tile)})
-    near = near.where(F.col("root") != F.col("other_root"))
+    near = dealt.withColumns({f"other_{c}": F.lag(c).over(tile) for c in ("node", "root", "n")}).withColumnRenamed("other_node", "other")
+    alike = 100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n")
+    near = near.where((F.col("root") != F.col("other_root")) & alike)
     return near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
@@ -481,12 +482,12 @@ def _connected(profile: DataFrame, rows: DataFrame, width: int, percent: int) ->
         return stage(rows.join(several.select("key"), "key"), "jaccard-apart")
 
     left = large.withColumn("root", F.col("node"))
-    pairs = _drawn(left, 0).unionByName(_searched(units, nodes, percent)).distinct()
+    pairs = _drawn(left, 0, percent).unionByName(_searched(units, nodes, percent)).distinct()
     compared = pairs = _bounded_pairs(pairs, nodes, percent)
     links = verified(pairs, "jaccard")
     for draw in range(1, ROUNDS):
         left = apart(components(links))
-        pairs = _drawn(left, draw).join(compared, ["a", "b"], "left_anti")
+        pairs = _drawn(left, draw, percent).join(compared, ["a", "b"], "left_anti")
         pairs = _bounded_pairs(pairs, nodes, percent)
         compared = compared.unionByName(pairs)
         links = links.unionByName(verified(pairs, "jaccard-more"))
