@@ -20,7 +20,7 @@ from probelake.operators.dedup import deduplicate, deduplicate_stored
 from probelake.plans.config import FOLDER_DATE, GEN_2, Generation, LakeConfig
 from probelake.schemas import measurement_schema, prune, trusted_fields
 from probelake.session import NARROW, UTC, scratch, settings, sized_for, stage
-from probelake.sources.readers import RAW_FILES, date_folders, list_objects, read
+from probelake.sources.readers import GZIP_RATIO, RAW_FILES, date_folders, list_objects, read
 from probelake.sources.sinks import publish
 
 # Copies of a measurement differ, if at all, in when and by which report they were sent.
@@ -138,14 +138,15 @@ def _build_trusted(
     generation = cfg.generation
     if objects is None:
         objects = list_objects(spark, cfg.raw, glob=RAW_FILES)
-    raw_bytes = objects.agg(F.sum("length")).first()[0]
+    text = F.when(F.col("path").endswith(".gz"), F.col("length") * GZIP_RATIO).otherwise(F.col("length"))
+    stored_bytes, raw_bytes = objects.agg(F.sum("length"), F.sum(text)).first()
     if not raw_bytes:
         return None
     by = [FOLDER_DATE] if generation.per_folder else []
     with settings(spark, UTC):
-        with sized_for(spark, raw_bytes, raw_bytes):
+        with sized_for(spark, stored_bytes, raw_bytes):
             shaped = stage(shape(read_raw(spark, cfg), generation), "trusted")
-        with sized_for(spark, raw_bytes, raw_bytes // NARROW):
+        with sized_for(spark, stored_bytes, raw_bytes // NARROW):
             return _from_shaped(spark, cfg, run_id, objects, shaped, by)
 
 

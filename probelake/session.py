@@ -17,6 +17,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 UTC = {"spark.sql.session.timeZone": "UTC"}
 
 # Appends and file copies must not run twice at the same time, so speculation stays off.
+#: Of tables, also in sessions that were not made here.
+COMPRESSION = "zstd"
 SETTINGS = {
     **UTC,
     "spark.speculation": "false",
@@ -28,7 +30,7 @@ SETTINGS = {
     "spark.shuffle.accurateBlockSkewedFactor": "5",
     # Page bodies are most of every row; zstd moves and stores a good third less than the defaults.
     "spark.io.compression.codec": "zstd",
-    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.parquet.compression.codec": COMPRESSION,
     "spark.ui.enabled": "false",
 }
 
@@ -126,7 +128,7 @@ def stage(df: DataFrame, name: str, result: bool = False) -> DataFrame:
     ``scratch`` it is made in; a ``result`` outlives that.
     """
     path = scratch_path(df.sparkSession, name, result)
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -139,7 +141,7 @@ def staged(df: DataFrame, name: str, input_bytes: int = 0) -> Iterator[DataFrame
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     try:
         with sized_for(spark, input_bytes, input_bytes):
-            df.write.parquet(path)
+            df.write.option("compression", COMPRESSION).parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)

@@ -14,7 +14,10 @@ from probelake.schemas import measurement_schema
 from probelake.session import scratch_path
 from probelake.sources import versions
 
-RAW_FILES = "*.json"
+#: Lines of JSON as they are or compressed, which Spark tells by the name.
+RAW_FILES = "{*.json,*.json.gz}"
+#: Bytes of text in a byte of a compressed file, to size jobs by.
+GZIP_RATIO = 8
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint"
 
 

@@ -11,7 +11,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probelake.session import SHUFFLE_PARTITIONS
+from probelake.session import COMPRESSION, SHUFFLE_PARTITIONS
 from probelake.sources import versions
 from probelake.sources.versions import Part
 
@@ -49,6 +49,7 @@ def write_partitioned(
         df.write.partitionBy(*partition_by)
         .mode(mode)
         .option("partitionOverwriteMode", overwrite)
+        .option("compression", COMPRESSION)
         .parquet(path)
     )
 

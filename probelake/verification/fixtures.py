@@ -9,6 +9,7 @@ from probelake.functions.paths import base_name
 from probelake.session import stage
 from probelake.sources.readers import list_objects
 from probelake.sources.sinks import copy_objects
+from probelake.sources.versions import empty_folder
 
 COUNTRY_OF_EVENT = {"click": "BR", "view": "RU", "purchase": "US", "signup": "DE", "error": "FR"}
 COUNTRY_OF_PRIORITY = {
@@ -110,13 +111,14 @@ def measurements(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataF
 
 
 def write_source_objects(lines: DataFrame, scratch: str) -> str:
-    """Write text lines as measurement files ``<date>/<time>-<country>-<asn>-<type>-<part>.json``.
+    """Write text lines as compressed measurement files ``<date>/<time>-<country>-<asn>-<type>-<part>.json.gz``.
 
     ``lines`` has the columns value, day, country. Returns the root of the files.
     """
-    parts, source = f"{scratch}/parts", f"{scratch}/source"
-    lines.hint("rebalance", "day", "country").write.partitionBy("day", "country").text(parts)
-    objects = list_objects(lines.sparkSession, parts, glob="*.txt")
+    spark, parts, source = lines.sparkSession, f"{scratch}/parts", f"{scratch}/source"
+    together = lines.hint("rebalance", "day", "country").write.partitionBy("day", "country")
+    together.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(parts)
+    objects = list_objects(spark, parts, glob="*.txt.gz")
     day = F.regexp_extract("path", r"/day=([^/]*)/", 1)
     country = F.regexp_extract("path", r"/country=([^/]*)/", 1)
     name = F.concat_ws(
@@ -125,9 +127,10 @@ def write_source_objects(lines: DataFrame, scratch: str) -> str:
         country,
         F.lit("AS0"),
         F.lit("web_connectivity"),
-        F.regexp_replace(base_name(F.col("path")), r"\.txt$", ".json"),
+        F.regexp_replace(base_name(F.col("path")), r"\.txt\.gz$", ".json.gz"),
     )
     keyed = objects.select("path", F.concat_ws("/", day, name).alias("dest_key"))
     copies = copy_objects(keyed, source)
     copies.write.format("noop").mode("overwrite").save()
+    empty_folder(spark, parts)
     return source
