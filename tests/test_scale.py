@@ -10,7 +10,9 @@ from test_streaming import ids, put
 from probelake.operators.dedup import deduplicate, deduplicate_stored
 from probelake.plans.config import LakeConfig
 from probelake.plans.trusted import build_trusted
+from probelake.sources import versions
 from probelake.sources.readers import list_objects, read_measurements
+from probelake.streaming import state
 from probelake.streaming.incremental import run_incremental
 from probelake.verification.fixtures import write_source_objects
 
@@ -62,3 +64,19 @@ def test_many_repeated_keys_move_no_wide_row(spark, tmp_path, null_keys, order):
     assert "Exchange hash" not in found._jdf.queryExecution().executedPlan().toString()
     beyond = deduplicate_stored(stored, few_keys=10, few_rows=100, **options)
     assert beyond.exceptAll(expected).isEmpty() and beyond.count() == expected.count()
+
+
+def test_a_batch_writes_its_own_keys(spark, tmp_path, monkeypatch):
+    """Not those of the batches before it in the same buckets, until a bucket has many versions; an older copy stays."""
+    monkeypatch.setattr(state, "BUCKETS", 1)
+    monkeypatch.setattr(state, "MANY_VERSIONS", 2)
+    raw, trusted, checkpoint = (str(tmp_path / n) for n in ("raw", "trusted", "checkpoint"))
+    written = []
+    for i in range(3):
+        rows = [(f"{i}-{k}", "BR") for k in range(3)] + [("again", "BR")]
+        put(tmp_path / "raw" / "f", f"{i}.json", rows, test_start_time=f"2020-01-01 00:00:0{(i + 1) % 3}")
+        run_incremental(spark, raw, trusted, checkpoint)
+        keys = f"{checkpoint}.kept/keys"
+        written.append(spark.read.parquet(f"{versions.versions_path(keys)}/version=batch{i}").count())
+    assert written == [4, 4, 10]
+    assert ids(spark, trusted) == sorted([f"{i}-{k}" for i in range(3) for k in range(3)] + ["again"])
