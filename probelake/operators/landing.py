@@ -12,6 +12,8 @@ from probelake.functions.paths import destination_key, key_part, relative_key, t
 from probelake.session import stage
 
 PART, CLASS = "__in_part", "__class"
+#: Rows by part of a group that are sent to every task, some 100 bytes each; if they are more, joins sort both sides.
+FEW_PLACES = 200_000
 
 
 def manifest(objects: DataFrame, root: str, date_index: int = 0) -> DataFrame:
@@ -72,7 +74,8 @@ def within_budget(
     most two rounds for each class whatever the files are, nine classes with the usual limits, and one round if all fits.
 
     The files of a group lie in parts by order of their keys, so no task has more than a part of a group. What goes from
-    round to round is a row per group.
+    round to round is a row per group. Files never go through the driver, however small their table is stored: its size
+    says little about its rows.
     """
     if min_mib <= 0:
         raise ValueError("min_mib must be above 0: it bounds the number of files taken")
@@ -81,6 +84,7 @@ def within_budget(
     candidates = candidates.repartitionByRange(*group, key)
     candidates = stage(candidates.select("*", F.spark_partition_id().alias(PART), budget.class_of().alias(CLASS)), "candidates")
     parts = stage(candidates.groupBy(*group, PART).agg(F.sum(size).alias("sum")), "parts")
+    budget.few = parts.count() <= FEW_PLACES
     state = parts.select(*group).distinct().select(
         "*", F.lit(None).cast(files.schema[key].dataType).alias("after"), F.lit(0.0).alias("used"),
         F.lit(len(budget.bounds) + 1).alias("last"),
@@ -94,9 +98,9 @@ def within_budget(
             nothing = f"struct<key:{files.schema[key].dataType.simpleString()}>"
             rounds.append(state.select("*", F.lit(None).cast(nothing).alias("event")))
             break
-        told = budget.same_group(state, event)
+        told = stage(budget.same_group(state, event), "budget")
         rounds.append(told.drop("next"))
-        state = stage(told.where("next IS NOT NULL").select(*group, "next.*"), "budget")
+        state = told.where("next IS NOT NULL").select(*group, "next.*")
     return budget.taken(candidates, parts, rounds).select(files.columns)
 
 
@@ -109,6 +113,7 @@ class _Budget:
 
     def __init__(self, group: list[str], key: str, size: str, limit: float, least: float):
         self.group, self.key, self.size, self.limit = group, key, size, limit
+        self.few = False
         self.bounds = []
         while (bound := least * 2.0 ** (len(self.bounds) + 1)) <= limit:
             self.bounds.append(bound)
@@ -120,9 +125,11 @@ class _Budget:
         return total
 
     def _by_group(self, small: DataFrame, more: Sequence[str] = ()) -> tuple[DataFrame, list[Column]]:
-        """``small`` with other names for the columns that it is joined by, and the condition."""
+        """``small`` with other names for the columns that it is joined by, and the condition. By the sizes that Spark
+        expects it could send the other side to every task."""
         names = [*self.group, *more]
         renamed = small.select(*[F.col(c).alias(f"__{c}") if c in names else F.col(c) for c in small.columns])
+        renamed = renamed.hint("broadcast" if self.few else "merge")
         return renamed, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names]
 
     def same_group(self, state: DataFrame, event: DataFrame) -> DataFrame:

@@ -161,6 +161,22 @@ def test_no_task_has_a_whole_group(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_files_are_never_sent_to_the_driver(spark, monkeypatch, few):
+    """Many alike files take few bytes; a join that goes by these takes them for its small side."""
+    if not few:
+        monkeypatch.setattr(landing, "FEW_PLACES", 0)
+    plans, staged = [], landing.stage
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(landing, "stage", lambda df, name: plans.append(plan_of(df)) or staged(df, name))
+    files = [(d, "BR", f"{i:05d}", 1.0 + i % 7) for d in ("1", "2", None) for i in range(5000)]
+    result = within_budget(spark.createDataFrame(files, FILES), 100.0, 0.3)
+    plans.append(plan_of(result))
+    assert {(r.source_date, r.country, r.key) for r in result.collect()} == first_fit(files, 100.0, 0.3)
+    assert not [p for p in plans if "BuildLeft" in p or "NestedLoop" in p]
+    assert ("BuildRight" if few else "SortMergeJoin") in plans[-1] and (few or not [p for p in plans if "Broadcast" in p])
+
+
 def test_large_files_are_copied_by_tasks_of_their_own(spark):
     sizes = lambda *mib: spark.createDataFrame([(float(m),) for m in mib], "size_mb double")
     assert copy_tasks(sizes(5000, 5000)) == 2
