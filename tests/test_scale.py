@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from test_streaming import ids, put
 
 from probelake.operators.dedup import deduplicate, deduplicate_stored
-from probelake.plans.config import LakeConfig
+from probelake.plans.config import FOLDER_DATE, LakeConfig
 from probelake.plans.trusted import build_trusted
+from probelake.session import settings
 from probelake.sources import versions
 from probelake.sources.readers import list_objects, read_measurements
-from probelake.streaming import state
-from probelake.streaming.incremental import run_incremental
+from probelake.streaming import incremental, state
+from probelake.streaming.incremental import raw_rows, run_incremental
 from probelake.verification.fixtures import write_source_objects
 
 
@@ -80,3 +81,34 @@ def test_a_batch_writes_its_own_keys(spark, tmp_path, monkeypatch):
         written.append(spark.read.parquet(f"{versions.versions_path(keys)}/version=batch{i}").count())
     assert written == [4, 4, 10]
     assert ids(spark, trusted) == sorted([f"{i}-{k}" for i in range(3) for k in range(3)] + ["again"])
+
+
+def odd_file(folder):
+    """A compressed file with a name and lines that are hard to read."""
+    lines = [
+        b'{"id":"1","test_keys":{"blocking":{"a": 1},"queries":[{"answers":[{"ipv4":"1"}]}]}}', b"", b" \t ", b'{"id":"2"', b"no", b"null", b"5",
+        b"[]", b'[{"id":"3"},{"id": "4"}]', b'[{"id":"6"},', b"[null]", b'{"id":{"a": 1.50}}', b'{"id":NaN}', b'{"id":"\xff","input":"\xc3\xa9"}',
+        b'{"id":"7"}\r{"id":"8"}', b'{"id":"9","test_runtime":"x"}', b"{}",
+    ]
+    folder.mkdir(parents=True)
+    file = folder / "a [1] {x}+%20.json.gz"
+    file.write_bytes(gzip.compress(b"\n".join(lines) + b"\n" + b"".join(b'{"id":"n%d"}\n' % i for i in range(3000))))
+    return file
+
+
+def test_lines_of_a_compressed_file_are_parsed_by_all_cores(spark, tmp_path, monkeypatch):
+    """The rows are those of a scan of the file, in whatever piece a line is."""
+    raw = f"{tmp_path}/raw"
+    file = odd_file(tmp_path / "raw" / "01")
+    files = spark.createDataFrame([(f"file:{file}", file.stat().st_size)], "path string, length long")
+    whole = raw_rows(files, raw)
+    assert whole.rdd.getNumPartitions() == 1
+    monkeypatch.setattr(incremental, "DEALT_BYTES", 1)
+    monkeypatch.setattr(incremental, "scratch_path", lambda *_: f"{tmp_path}/pieces")
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        dealt = raw_rows(files, raw)
+    assert len(list((tmp_path / "pieces").rglob("part-*"))) > 1
+    text = lambda rows: sorted(map(str, rows.collect()))
+    scan = spark.read.schema(incremental._raw_schema()).option("recursiveFileLookup", "true").json(raw)
+    assert text(dealt) == text(whole) and text(whole.drop(FOLDER_DATE)) == text(scan)
+    assert {r[0] for r in dealt.select(FOLDER_DATE).collect()} == {"01"} and dealt.count() > 3010
